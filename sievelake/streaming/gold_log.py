@@ -1,0 +1,140 @@
+"""The per-domain table without a transaction log.
+
+Layout below a table path:
+
+    log/<run>/<batch>            states of one micro-batch, replaced whole on replay
+    base/<run>/<batch>-<buckets> states of all batches up to that one, folded
+
+A run is one stream checkpoint. Readers fold the newest base of every run with the log
+behind it. A base is a bucketed table: the fold takes it without a shuffle and shuffles
+only the log, and a lookup by domain opens a single bucket.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sievelake.operators import gold
+from sievelake.schemas import GOLD_PARTIAL
+from sievelake.tables import folders
+
+CATALOG_DATABASE = "sievelake_gold"
+
+
+def _batch(number: int) -> str:
+    return f"{number:012d}"
+
+
+def append(batch: DataFrame, path: str, run: str, number: int, as_of=None) -> None:
+    """Write the states of one micro-batch; writing it again replaces it."""
+    gold.partial(batch, as_of).write.mode("overwrite").parquet(
+        f"{path}/log/{run}/{_batch(number)}"
+    )
+
+
+def _complete(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders whose write has finished."""
+    return [p.rsplit("/", 1)[0] for p in folders.glob(spark, f"{pattern}/_SUCCESS")]
+
+
+def _name(folder: str) -> str:
+    return folder.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _runs(spark: SparkSession, path: str) -> list[str]:
+    return sorted({_name(p) for p in folders.glob(spark, f"{path}/log/*")})
+
+
+def _parts(
+    spark: SparkSession, path: str, run: str, upto: int | None = None
+) -> tuple[str | None, list[str]]:
+    """Newest base of a run, and the log folders it does not hold yet."""
+    limit = _batch(upto) if upto is not None else None
+    bases = [
+        b
+        for b in _complete(spark, f"{path}/base/{run}/*")
+        if limit is None or _name(b).split("-")[0] < limit
+    ]
+    base = bases[-1] if bases else None
+    done = _name(base).split("-")[0] if base else ""
+    log = [
+        p
+        for p in _complete(spark, f"{path}/log/{run}/*")
+        if _name(p) > done and (limit is None or _name(p) <= limit)
+    ]
+    return base, log
+
+
+def _table_name(base: str) -> str:
+    return "base_" + hashlib.sha256(base.split(":", 1)[-1].encode()).hexdigest()[:20]
+
+
+def _bucketed(spark: SparkSession, base: str) -> DataFrame:
+    """A base as the bucketed table it was written as, in whichever catalog is there."""
+    buckets = int(_name(base).split("-")[1])
+    full = f"`{CATALOG_DATABASE}`.`{_table_name(base)}`"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in GOLD_PARTIAL)
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{CATALOG_DATABASE}`")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet "
+        f"CLUSTERED BY (domain) SORTED BY (domain) INTO {buckets} BUCKETS LOCATION '{base}'"
+    )
+    return spark.table(full)
+
+
+def _states(spark: SparkSession, parts: list[tuple[str | None, list[str]]]) -> DataFrame:
+    """All states of the given bases and log folders, aligned on the buckets."""
+    logs = [folder for _, log in parts for folder in log]
+    bases = [base for base, _ in parts if base]
+    states = (
+        spark.read.schema(GOLD_PARTIAL).parquet(*logs)
+        if logs
+        else spark.createDataFrame([], GOLD_PARTIAL)
+    )
+    if bases:
+        states = states.repartition(int(_name(bases[0]).split("-")[1]), "domain")
+    for base in bases:
+        states = _bucketed(spark, base).unionByName(states)
+    return states
+
+
+def snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """Folded states of everything written so far."""
+    parts = [_parts(spark, path, run) for run in _runs(spark, path)]
+    return gold.fold(_states(spark, parts))
+
+
+def read(spark: SparkSession, path: str, as_of=None) -> DataFrame:
+    """The per-domain table in its published columns."""
+    return gold.finish(snapshot(spark, path), as_of)
+
+
+def compact(spark: SparkSession, path: str, run: str, upto: int, buckets: int) -> None:
+    """Fold a run up to a batch into a new base. Repeating it gives the same base."""
+    states = gold.fold(_states(spark, [_parts(spark, path, run, upto)]))
+    target = f"{path}/base/{run}/{_batch(upto)}-{buckets}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{CATALOG_DATABASE}`")
+    (
+        states.repartition(buckets, F.col("domain"))
+        .write.mode("overwrite")
+        .bucketBy(buckets, "domain")
+        .sortBy("domain")
+        .option("path", target)
+        .saveAsTable(f"`{CATALOG_DATABASE}`.`{_table_name(target)}`")
+    )
+
+
+def superseded(spark: SparkSession, path: str) -> list[str]:
+    """Folders no reader needs any more, for ``upkeep.vacuum``."""
+    spare = []
+    for run in _runs(spark, path):
+        base, log = _parts(spark, path, run)
+        if base:
+            everything = _complete(spark, f"{path}/base/{run}/*") + _complete(
+                spark, f"{path}/log/{run}/*"
+            )
+            spare += [p for p in everything if p != base and p not in log]
+    return spare
