@@ -1,7 +1,8 @@
 """Domain names: cleaning and validation as plain column expressions.
 
-Both rules are one anchored regular expression plus a length and last-label check, so
-they stay inside generated code and need no Python worker.
+Each rule is one anchored regular expression that is evaluated once per row. It matches a
+whole text or nothing, so extracting all matches gives an array of one name or none:
+take its first item to keep every row, or explode it to keep only rows with a name.
 """
 
 from __future__ import annotations
@@ -10,22 +11,20 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from sievelake.functions.text import WHITESPACE_CLASS as WS
-from sievelake.settings import (
-    MAX_DOMAIN_LENGTH,
-    MIN_DOMAIN_LENGTH,
-    REJECTED_LAST_LABELS,
-)
+from sievelake.settings import MAX_DOMAIN_LENGTH, REJECTED_LAST_LABELS
 
-# Labels of at most 63 characters that end in a letter or digit; only the first label
-# must not start with a hyphen; the last one is letters only.
+# A name of at most 253 characters. Labels have at most 63 and end in a letter or digit;
+# only the first one must not start with a hyphen; the last one is letters only and not a
+# reserved label. The shortest text of that form has the four characters a name needs.
 NAME = (
+    rf"(?![a-z0-9.-]{{{MAX_DOMAIN_LENGTH}}}\.*[a-z0-9-])"
     r"[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?"
     r"(?:\.[a-z0-9-]{0,62}[a-z0-9])*"
-    r"\.[a-z]{2,}"
+    rf"\.(?!(?:{'|'.join(REJECTED_LAST_LABELS)})(?![a-z0-9-]))[a-z]{{2,}}"
 )
 
 # A name and nothing else but surrounding whitespace.
-EXACT = rf"\A{WS}*({NAME}){WS}*\z"
+EXACT = rf"\A{WS}*+({NAME}){WS}*+\z"
 
 # A name inside a URL-like text. Prefixes are possessive: once a scheme or "www." is
 # there it is always dropped. Behind the name: spaces then dots, and then either the
@@ -33,25 +32,28 @@ EXACT = rf"\A{WS}*({NAME}){WS}*\z"
 DIRTY = (
     rf"(?s)\A{WS}*+(?:https://)?+(?:http://)?+(?:ftp://)?+(?://)?+(?:www\.)*+{WS}*+"
     rf"({NAME})"
-    rf"{WS}*\.*(?:{WS}*\z|(?::[^:/?#]*)?(?:[/?#].*)?\z)"
+    rf"{WS}*+\.*+(?:{WS}*+\z|(?::[^:/?#]*+)?+(?:[/?#].*+)?+\z)"
 )
 
 
-def accept(host: Column) -> Column:
-    """The lower-case host when its length and last label are allowed, else null."""
-    last = F.substring_index(host, ".", -1)
-    fits = F.length(host).between(MIN_DOMAIN_LENGTH, MAX_DOMAIN_LENGTH)
-    return F.when(fits & ~last.isin(REJECTED_LAST_LABELS), host)
+def names(text: Column, pattern: str) -> Column:
+    """Array with the name the pattern finds in the text, or empty."""
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+
+
+def cleaned(domain: Column) -> Column:
+    """Array with the bare lower-case domain of a dirty one, or empty."""
+    return names(F.lower(domain), DIRTY)
 
 
 def clean(domain: Column) -> Column:
     """Bare lower-case domain of a dirty one; null when nothing valid is left."""
-    return accept(F.regexp_extract(F.lower(domain), DIRTY, 1))
+    return F.get(cleaned(domain), F.lit(0))
 
 
 def is_valid(domain: Column) -> Column:
     """True for a well-formed public domain, false for anything else and for null."""
-    return accept(F.regexp_extract(F.lower(domain), EXACT, 1)).isNotNull()
+    return F.coalesce(F.lower(domain).rlike(EXACT), F.lit(False))
 
 
 def register_sql(spark: SparkSession) -> None:
@@ -59,18 +61,11 @@ def register_sql(spark: SparkSession) -> None:
 
     SQL functions are inlined by the optimizer, unlike a Python UDF.
     """
-    labels = ", ".join(f"'{label}'" for label in REJECTED_LAST_LABELS)
-    for name, pattern, kind, result in (
-        ("clean_domain", DIRTY, "STRING", "host"),
-        ("is_valid_domain", EXACT, "BOOLEAN", "host IS NOT NULL"),
-    ):
-        spark.sql(
-            f"""
-            CREATE OR REPLACE TEMPORARY FUNCTION {name}(domain STRING) RETURNS {kind}
-            RETURN SELECT {result} FROM (
-              SELECT CASE WHEN length(name) BETWEEN {MIN_DOMAIN_LENGTH} AND {MAX_DOMAIN_LENGTH}
-                           AND substring_index(name, '.', -1) NOT IN ({labels})
-                          THEN name END AS host
-              FROM (SELECT regexp_extract(lower(domain), R'{pattern}', 1) AS name))
-            """
-        )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION clean_domain(domain STRING) RETURNS STRING "
+        f"RETURN get(regexp_extract_all(lower(domain), R'{DIRTY}', 1), 0)"
+    )
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION is_valid_domain(domain STRING) RETURNS BOOLEAN "
+        f"RETURN coalesce(lower(domain) RLIKE R'{EXACT}', false)"
+    )

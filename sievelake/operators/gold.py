@@ -26,7 +26,7 @@ def partial(silver: DataFrame, as_of=None) -> DataFrame:
         seen.alias("seen"),
         F.col("source"),
         F.col("bronze_offset").alias("offset"),
-        F.array_sort(F.map_entries("metadata")).alias("entries"),
+        F.sort_array(F.map_entries("metadata")).alias("entries"),
     )
     return (
         silver.groupBy("domain")
@@ -37,7 +37,7 @@ def partial(silver: DataFrame, as_of=None) -> DataFrame:
             F.max(seen).alias("last_seen"),
             F.min(F.when(F.col("metadata").isNotNull(), first)).alias("earliest"),
         )
-        .withColumn("sources", F.array_sort("sources"))
+        .withColumn("sources", F.sort_array("sources"))
         .withColumn("updated", moment(as_of))
     )
 
@@ -54,7 +54,7 @@ def fold(states: DataFrame) -> DataFrame:
             F.min("earliest").alias("earliest"),
             F.max("updated").alias("updated"),
         )
-        .withColumn("sources", F.array_sort(F.array_distinct("sources")))
+        .withColumn("sources", F.sort_array(F.array_distinct("sources")))
     )
 
 
@@ -113,7 +113,7 @@ def merge_upsert(target: DataFrame, updates: DataFrame, as_of=None) -> DataFrame
             .alias(name)
         )
 
-    sources = F.array_sort(
+    sources = F.sort_array(
         F.array_union(
             F.from_json("old.source_list", "array<string>"),
             F.from_json("new.source_list", "array<string>"),

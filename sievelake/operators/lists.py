@@ -7,30 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievelake.functions.domains import NAME, accept
+from sievelake.functions.domains import NAME, names
 from sievelake.functions.text import WHITESPACE_CLASS as WS
 from sievelake.functions.text import split_lines, strip
 from sievelake.functions.times import moment
 
-# What an entry looks like in each list format.
-HOSTS_ENTRY = rf"(?i)\A(?:0\.0\.0\.0|127\.0\.0\.1){WS}+({NAME})\z"
-ADBLOCK_ENTRY = rf"(?is)\A\|\|({NAME})\^(?:\$.*)?\z"
+# What an entry looks like in each list format. Comments, headers and
+# anything malformed simply do not match.
+HOSTS_ENTRY = rf"(?i)\A{WS}*+(?:0\.0\.0\.0|127\.0\.0\.1){WS}++({NAME}){WS}*+\z"
+ADBLOCK_ENTRY = rf"(?is)\A{WS}*+\|\|({NAME})\^(?:{WS}*+|\$.*+)\z"
 
 
-def hosts_domain(line: Column) -> Column:
-    """Domain of a stripped hosts line, null for comments and anything malformed."""
-    return accept(F.lower(F.regexp_extract(line, HOSTS_ENTRY, 1)))
+def hosts_names(line: Column) -> Column:
+    """Array with the name of a hosts line, or empty."""
+    return names(line, HOSTS_ENTRY)
 
 
-def adblock_domain(line: Column) -> Column:
-    """Domain of a stripped adblock rule, null for comments and path or element rules."""
-    return accept(F.lower(F.regexp_extract(line, ADBLOCK_ENTRY, 1)))
+def adblock_names(line: Column) -> Column:
+    """Array with the name of a domain rule, or empty for path and element rules."""
+    return names(line, ADBLOCK_ENTRY)
 
 
 # Parsers by format name; pass an extended mapping to support another format.
 FORMATS: dict[str, Callable[[Column], Column]] = {
-    "hosts": hosts_domain,
-    "adblock": adblock_domain,
+    "hosts": hosts_names,
+    "adblock": adblock_names,
 }
 
 
@@ -40,7 +41,7 @@ def lines(documents: DataFrame) -> DataFrame:
     Line numbers start at 1 and count blank and comment lines. All other columns are kept.
     """
     kept = [c for c in documents.columns if c != "content"]
-    return documents.filter(F.col("content") != "").select(
+    return documents.select(
         *kept, F.posexplode(split_lines(F.col("content"))).alias("line_number", "line")
     ).withColumn("line_number", F.col("line_number").cast("bigint") + 1)
 
@@ -65,24 +66,21 @@ def parse(
     The parser is picked by the format the registry gives for the source. Lines that are
     no entry of that format are dropped; sources of an unknown format give no entry.
     """
-    line = F.col("line")
-    domain = F.lit(None).cast("string")
-    for name, domain_of in formats.items():
-        domain = F.when(F.col("format") == name, domain_of(line)).otherwise(domain)
+    found = F.lit(None).cast("array<string>")
+    for name, names_of in formats.items():
+        found = F.when(F.col("format") == name, names_of(F.col("line"))).otherwise(found)
     known = registry.select("source", "format", "category").filter(
         F.col("format").isin(list(formats))
     )
     return (
-        numbered.withColumn("line", strip(line))
-        .join(known, "source")
-        .withColumn("domain", domain)
-        .filter(F.col("domain").isNotNull())
+        numbered.join(known, "source")
+        .select("*", F.explode(found).alias("name"))
         .select(
-            "domain",
+            F.lower("name").alias("domain"),
             "category",
             "source",
             F.col("format").alias("source_format"),
-            F.col("line").alias("raw_entry"),
+            strip(F.col("line")).alias("raw_entry"),
             moment(as_of).alias("ingestion_timestamp"),
             merged_metadata(F.col("line_number"), F.col("fetch_metadata")).alias("metadata"),
             "path",

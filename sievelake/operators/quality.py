@@ -37,5 +37,5 @@ def health(components: DataFrame) -> DataFrame:
     return components.agg(
         F.coalesce(F.bool_and(~down), F.lit(False)).alias("all_healthy"),
         F.count_if(down).alias("failed_count"),
-        F.to_json(F.array_sort(F.collect_set(F.when(down, F.col("component"))))).alias("failed"),
+        F.to_json(F.sort_array(F.collect_set(F.when(down, F.col("component"))))).alias("failed"),
     )

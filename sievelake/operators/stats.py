@@ -73,13 +73,13 @@ def run(entries: DataFrame, failures: DataFrame) -> DataFrame:
     """One row on an ingest run, from parsed entries and failed documents.
 
     sources_processed, sources_failed, domains_fetched, domains_validated and
-    domains_published come out of a single pass over the entries.
+    domains_published come out of a single pass over the entries. All entries of a source
+    have the category the registry gives it.
     """
-    first = F.min(F.struct("path", "line_number", "category"))["category"]
     kept = (
         entries.withColumn("domain", domains.clean(F.col("domain")))
-        .groupBy("source", "domain")
-        .agg(F.count("*").alias("n"), first.alias("category"))
+        .groupBy("source", "category", "domain")
+        .agg(F.count("*").alias("n"))
     )
     validated = F.col("domain").isNotNull()
     published = validated & F.coalesce(F.col("category").isin(list(TOPICS)), F.lit(False))

@@ -44,5 +44,6 @@ def clean_and_validate(
     entries: DataFrame, order: Sequence[str] = ("path", "line_number")
 ) -> DataFrame:
     """Entries under their cleaned domain; what cannot be cleaned is dropped."""
-    cleaned = entries.withColumn("domain", domains.clean(F.col("domain")))
-    return dedupe(cleaned.filter(F.col("domain").isNotNull()), order)
+    others = [c for c in entries.columns if c != "domain"]
+    cleaned = entries.select(F.explode(domains.cleaned(F.col("domain"))).alias("domain"), *others)
+    return dedupe(cleaned, order)

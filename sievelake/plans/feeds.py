@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievelake.operators import bronze, messages, silver
+from sievelake.operators import messages, silver
 from sievelake.sources.registry import registry
 
 AS_OF = "2024-02-01 00:00:00"
@@ -30,6 +30,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose long texts are to be taken apart.
+
+    A large table is read in many splits. One too small to give every core a split is
+    spread first, since a row of text here becomes thousands of rows.
+    """
+    table = load(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries of events, with message offset and time."""
     domain = F.concat(F.lit("d"), F.col("user_id").cast("string"), F.lit(".example.org"))
@@ -76,7 +87,22 @@ def transport(entries: DataFrame) -> DataFrame:
 
 
 def bronze_rows(entries: DataFrame) -> DataFrame:
-    return bronze.transform(transport(entries), AS_OF)
+    """Entries as rows of the raw table, without the way through a message."""
+    return entries.select(
+        "domain",
+        "category",
+        "source",
+        "source_format",
+        "raw_entry",
+        "ingestion_timestamp",
+        "metadata",
+        messages.topic_of(F.col("category")).alias("kafka_topic"),
+        F.lit(0).cast("bigint").alias("kafka_partition"),
+        F.col("offset").alias("kafka_offset"),
+        F.col("timestamp").alias("kafka_timestamp"),
+        F.lit(AS_OF).cast("timestamp").alias("bronze_timestamp"),
+        F.to_date("ingestion_timestamp").alias("ingestion_date"),
+    )
 
 
 def silver_rows(entries: DataFrame) -> DataFrame:
@@ -153,7 +179,7 @@ def list_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     body = F.concat_ws("\n", F.when(slot < 2, hosts).otherwise(rules))
     documents = (
-        load(spark, sf_dir, "pages")
+        texts(spark, sf_dir, "pages")
         .withColumns({"host": host, "words": words, "slot": slot, "source": source})
         .withColumn("content", F.when(F.col("page_id") % 25 == 7, "").otherwise(body))
     )

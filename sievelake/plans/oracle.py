@@ -258,7 +258,7 @@ ORACLE = {
     FROM ({cleaned(f'({judged(f"({DIRTY})")})')}) GROUP BY kind""",
     "clean_words": f"""
     SELECT cleaned AS domain, count(*) AS mentions
-    FROM ({cleaned("(SELECT unnest(string_split_regex(text, '[ \\n]+')) AS domain FROM documents)")})
+    FROM ({cleaned("(SELECT unnest(string_split_regex(text, '[^A-Za-z0-9.-]+')) AS domain FROM documents)")})
     WHERE cleaned IS NOT NULL GROUP BY cleaned""",
     "silver_flags": f"""
     SELECT cleaned AS domain, category, source, source_format, raw_entry,

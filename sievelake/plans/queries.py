@@ -61,12 +61,11 @@ def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Domains among all words of the documents, with their number of mentions."""
-    words = feeds.load(spark, sf_dir, "documents").select(
-        F.explode(F.split("text", "[ \n]+", -1)).alias("word")
+    words = feeds.texts(spark, sf_dir, "documents").select(
+        F.explode(F.split("text", "[^A-Za-z0-9.-]+", -1)).alias("word")
     )
     return (
-        words.select(domains.clean(F.col("word")).alias("domain"))
-        .filter(F.col("domain").isNotNull())
+        words.select(F.explode(domains.cleaned(F.col("word"))).alias("domain"))
         .groupBy("domain")
         .agg(F.count("*").alias("mentions"))
     )
@@ -121,7 +120,7 @@ def bronze_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = feeds.load(spark, sf_dir, "documents").select(
+    documents = feeds.texts(spark, sf_dir, "documents").select(
         "doc_id", F.col("text").alias("content")
     )
     return lists.lines(documents)

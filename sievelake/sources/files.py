@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievelake.functions.text import LINE_BREAK
+from sievelake.tables import folders
 
 LANDED = "value STRING, source STRING"
 
@@ -31,29 +32,29 @@ def list_documents(
 ) -> DataFrame:
     """One row per file: source, path, content_length (characters) and fetch_metadata.
 
-    The listing itself reads no content, so empty files show up too. ``manifest`` (source,
-    http_status, content_type, source_url, all text) adds what the fetch recorded.
+    Scans leave out files without content, so these come from the folder listing.
+    ``manifest`` (source, http_status, content_type, source_url, all text) adds what the
+    fetch recorded.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .load(landing)
-        .select("source", F.col("path"), F.col("length").alias("bytes"))
-    )
     # Every line counted with its line feed; the last one may lack it.
     size = F.sum(F.octet_length("value") + 1)
     counted = (
         _scan(spark, landing)
-        .groupBy("path")
+        .groupBy("source", "path")
         .agg(
             (
                 F.sum(F.length("value") + 1)
-                - F.when(size > F.first("file_size"), 1).otherwise(0)
+                - F.when(size > F.max("file_size"), 1).otherwise(0)
             ).alias("content_length")
         )
     )
-    documents = listed.join(counted, "path", "left").withColumn(
-        "content_length", F.coalesce("content_length", F.lit(0)).cast("bigint")
+    empty = [(path,) for path in folders.glob(spark, f"{landing}/source=*/*", empty=True)]
+    blank = spark.createDataFrame(empty, "path string").select(
+        F.url_decode(F.regexp_extract("path", "/source=([^/]*)/", 1)).alias("source"),
+        "path",
+        F.lit(0).cast("bigint").alias("content_length"),
     )
+    documents = counted.unionByName(blank)
     if manifest is not None:
         documents = documents.join(manifest, "source", "left")
     fetched = [
@@ -123,10 +124,10 @@ def document_stream(
     One file is one row, which numbers its lines without a second scan; use it for lists
     of ordinary size and ``list_lines`` in batch for anything larger.
     """
-    reader = spark.readStream.schema(LANDED).option("wholetext", "true")
+    reader = spark.readStream.schema(LANDED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.text(landing).select(
+    return reader.text(landing, wholetext=True).select(
         "source",
         F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("content"),

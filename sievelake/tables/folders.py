@@ -18,10 +18,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def glob(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match, sorted."""
+def glob(spark: SparkSession, pattern: str, empty: bool = False) -> list[str]:
+    """Paths that match, sorted; with ``empty`` only files without content."""
     target, fs = _resolve(spark, pattern)
-    return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
+    return sorted(
+        found.getPath().toString()
+        for found in fs.globStatus(target) or []
+        if not empty or (found.isFile() and found.getLen() == 0)
+    )
 
 
 def modified(spark: SparkSession, path: str) -> float:
