@@ -1,0 +1,48 @@
+"""Every registered query against its SQL twin on the smallest given tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def db():
+    connection = duckdb.connect()
+    for file in os.listdir(SF_DIR):
+        table = file.removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{file}'")
+    return connection
+
+
+def sorted_rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], sorted(tuple(str(r[i]) for i in order) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query_equals_sql(spark, db, name):
+    frame = contract.queries()[name](spark, SF_DIR)
+    ours = sorted_rows(frame.columns, frame.collect())
+    result = db.execute(contract.oracle_sql()[name])
+    theirs = sorted_rows([c[0] for c in result.description], result.fetchall())
+    assert ours == theirs and ours[1]
+
+
+def test_every_sql_has_a_query():
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_hash_is_unique_per_domain(spark):
+    rows = contract.queries()["gold_domain_hash"](spark, SF_DIR).collect()
+    assert rows and len({r.domain for r in rows}) == len(rows)
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
