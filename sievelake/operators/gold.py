@@ -58,6 +58,25 @@ def fold(states: DataFrame) -> DataFrame:
     )
 
 
+def combine(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``fold`` of two tables of states that each hold a domain once, as a join.
+
+    A side that is bucketed by domain is not shuffled.
+    """
+    none = F.array().cast("array<string>")
+    joined = left.alias("l").join(right.alias("r"), F.col("l.domain") == F.col("r.domain"), "full")
+    sources = F.array_union(F.coalesce("l.sources", none), F.coalesce("r.sources", none))
+    return joined.select(
+        F.coalesce("l.domain", "r.domain").alias("domain"),
+        F.greatest("l.has_malware", "r.has_malware").alias("has_malware"),
+        F.sort_array(sources).alias("sources"),
+        F.least("l.first_seen", "r.first_seen").alias("first_seen"),
+        F.greatest("l.last_seen", "r.last_seen").alias("last_seen"),
+        F.least("l.earliest", "r.earliest").alias("earliest"),
+        F.greatest("l.updated", "r.updated").alias("updated"),
+    )
+
+
 def is_active(last_seen: Column, as_of=None) -> Column:
     """ "true" when last seen within the activity window before the given time."""
     since = moment(as_of) - F.expr(f"INTERVAL {ACTIVE_DAYS} DAYS")

@@ -346,16 +346,17 @@ def gold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches in the log, two of them folded into a bucketed base."""
+    """Four batches: one in a bucketed base, one folded behind it, two in the log."""
     path = folders.scratch(spark, "gold")
     rows = silver.valid_only(feeds.silver_rows(feeds.sightings(spark, sf_dir)))
-    cuts = ["2024-01-01", "2024-01-08", "2024-01-20", "2025-01-01"]
+    cuts = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2025-01-01"]
     seen = F.col("ingestion_timestamp")
-    for number in range(3):
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for number in range(4):
         batch = rows.filter((seen >= cuts[number]) & (seen < cuts[number + 1]))
         gold_log.append(batch, path, "run", number, feeds.AS_OF)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    gold_log.compact(spark, path, "run", 1, buckets)
+        if number < 2:
+            gold_log.compact(spark, path, "run", number, buckets, whole=number == 0)
     return published(gold_log.read(spark, path, feeds.AS_OF))
 
 

@@ -9,6 +9,8 @@ from sievelake.functions.text import LINE_BREAK
 from sievelake.tables import folders
 
 LANDED = "value STRING, source STRING"
+# About 200 MB of split starts; at 128 MB a split that is over 100 TB of lists.
+BROADCAST_SPLITS = 1_000_000
 
 
 def _scan(spark: SparkSession, landing: str) -> DataFrame:
@@ -75,10 +77,11 @@ def list_lines(
 ) -> DataFrame:
     """Numbered lines of all files: source, path, line_number, line, fetch_metadata.
 
-    A file of any size is read in splits. Numbering takes one cheap extra scan that counts
-    the lines of each split; running totals over the splits of a file give every split its
-    first line number. Row ids grow in file order within a split, and both scans cut the
-    same files alike, so the position in the split is the distance from its lowest id.
+    A file of any size is read in splits. A first job counts the lines of each split and
+    writes a small table of where every split starts to count, by running totals over the
+    splits of a file. Row ids grow in file order within a split, so the position in it is
+    the distance from its lowest id. Should the session cut the files differently later
+    on, the ids leave the range of their split and the reading job fails.
     """
     # The scan ends lines at line feeds; other line breaks, as in ``lists.lines``, are few.
     without_return = F.regexp_replace("value", r"\r\z", "")
@@ -92,25 +95,33 @@ def list_lines(
         )
         .withColumn("id", F.monotonically_increasing_id())
     )
-    splits = pieces.groupBy("path", "block").agg(
-        F.min("id").alias("first_id"), F.count("*").alias("n")
-    )
     before = (
         Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = (
-        splits.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .drop("n")
+    starts_path = folders.scratch(spark, "splits")
+    (
+        pieces.groupBy("path", "block")
+        .agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
+        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .join(
             list_documents(spark, landing, manifest).select("path", "fetch_metadata"),
             "path",
             "left",
         )
+        .write.parquet(starts_path)
+    )
+    starts = spark.read.parquet(starts_path)
+    # One short row per split: broadcast while that is small, and shuffle beyond.
+    if starts.count() <= BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
+    position = F.col("id") - F.col("first_id") + 1
+    checked = F.when(position.between(1, F.col("n")), position).otherwise(
+        F.raise_error(F.lit("list files were cut differently when their lines were counted"))
     )
     return pieces.join(starts, ["path", "block"]).select(
         "source",
         "path",
-        (F.col("before") + F.col("id") - F.col("first_id") + 1).alias("line_number"),
+        (F.col("before") + checked).alias("line_number"),
         "line",
         "fetch_metadata",
     )

@@ -2,37 +2,53 @@
 
 Layout below a table path:
 
-    log/<run>/<batch>            states of one micro-batch, replaced whole on replay
-    base/<run>/<batch>-<buckets> states of all batches up to that one, folded
-
-A run is one stream checkpoint. Readers fold the newest base of every run with the log
-behind it. A base is a bucketed table: the fold takes it without a shuffle and shuffles
-only the log, and a lookup by domain opens a single bucket.
+    log/<run>/<thousand>/<batch>   states of one micro-batch, replaced on replay
+    recent/<run>/<from>-<upto>     states of the batches since the last base, folded
+    base/<run>/<upto>-<buckets>    states of all batches so far, folded
+
+A run is one stream checkpoint. Readers take the newest base of each run, the newest
+recent part that follows it, and the log after that. Only the base is large: it is a
+bucketed table that joins with the rest without a shuffle of its own. Most compactions
+rewrite the recent part; only every so often is it merged into a new base.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Collection
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievelake.operators import gold
 from sievelake.schemas import GOLD_PARTIAL
-from sievelake.tables import folders
+from sievelake.settings import VACUUM_RETENTION_HOURS
+from sievelake.tables import folders, upkeep
 
 CATALOG_DATABASE = "sievelake_gold"
 
 
-def _batch(number: int) -> str:
+@dataclass(frozen=True)
+class Parts:
+    """What to read of one run."""
+
+    base: str | None
+    recent: list[str]
+    log: list[str]
+    first: int  # the first batch that is not in the base
+
+
+def _digits(number: int) -> str:
     return f"{number:012d}"
 
 
-def append(batch: DataFrame, path: str, run: str, number: int, as_of=None) -> None:
-    """Write the states of one micro-batch; writing it again replaces it."""
-    gold.partial(batch, as_of).write.mode("overwrite").parquet(
-        f"{path}/log/{run}/{_batch(number)}"
-    )
+def _name(folder: str) -> str:
+    return folder.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _numbers(folder: str) -> list[int]:
+    return [int(n) for n in _name(folder).split("-")]
 
 
 def _complete(spark: SparkSession, pattern: str) -> list[str]:
@@ -40,101 +56,145 @@ def _complete(spark: SparkSession, pattern: str) -> list[str]:
     return [p.rsplit("/", 1)[0] for p in folders.glob(spark, f"{pattern}/_SUCCESS")]
 
 
-def _name(folder: str) -> str:
-    return folder.rstrip("/").rsplit("/", 1)[-1]
-
-
 def _runs(spark: SparkSession, path: str) -> list[str]:
     return sorted({_name(p) for p in folders.glob(spark, f"{path}/log/*")})
 
 
-def _parts(
-    spark: SparkSession, path: str, run: str, upto: int | None = None
-) -> tuple[str | None, list[str]]:
-    """Newest base of a run, and the log folders it does not hold yet."""
-    limit = _batch(upto) if upto is not None else None
-    bases = [
-        b
-        for b in _complete(spark, f"{path}/base/{run}/*")
-        if limit is None or _name(b).split("-")[0] < limit
-    ]
-    base = bases[-1] if bases else None
-    done = _name(base).split("-")[0] if base else ""
+def append(batch: DataFrame, path: str, run: str, number: int, as_of=None) -> None:
+    """Write the states of one micro-batch; writing it again replaces it."""
+    gold.partial(batch, as_of).write.mode("overwrite").parquet(
+        f"{path}/log/{run}/{_digits(number // 1000)}/{_digits(number)}"
+    )
+
+
+def parts(spark: SparkSession, path: str, run: str, upto: int | None = None) -> Parts:
+    """What holds a run; with ``upto`` what a compaction of that batch starts from."""
+    bases = _complete(spark, f"{path}/base/{run}/*")
+    recents = _complete(spark, f"{path}/recent/{run}/*")
+    if upto is not None:
+        bases = [b for b in bases if _numbers(b)[0] < upto]
+        recents = [r for r in recents if _numbers(r)[1] < upto]
+    base = max(bases, key=_numbers, default=None)
+    first = _numbers(base)[0] + 1 if base else 0
+    recents = [r for r in recents if _numbers(r)[0] == first]
+    recent = max(recents, key=_numbers, default=None)
+    start = _numbers(recent)[1] + 1 if recent else first
     log = [
-        p
-        for p in _complete(spark, f"{path}/log/{run}/*")
-        if _name(p) > done and (limit is None or _name(p) <= limit)
+        batch
+        for group in folders.glob(spark, f"{path}/log/{run}/*")
+        if _numbers(group)[0] >= start // 1000
+        for batch in _complete(spark, f"{group}/*")
+        if _numbers(batch)[0] >= start and (upto is None or _numbers(batch)[0] <= upto)
     ]
-    return base, log
+    return Parts(base, [recent] if recent else [], log, first)
 
 
-def _table_name(base: str) -> str:
-    return "base_" + hashlib.sha256(base.split(":", 1)[-1].encode()).hexdigest()[:20]
+def _table(base: str) -> str:
+    """Catalog name of a base."""
+    digest = hashlib.sha256(base.split(":", 1)[-1].encode()).hexdigest()
+    return f"`{CATALOG_DATABASE}`.`base_{digest[:20]}`"
 
 
 def _bucketed(spark: SparkSession, base: str) -> DataFrame:
     """A base as the bucketed table it was written as, in whichever catalog is there."""
-    buckets = int(_name(base).split("-")[1])
-    full = f"`{CATALOG_DATABASE}`.`{_table_name(base)}`"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in GOLD_PARTIAL)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{CATALOG_DATABASE}`")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet "
-        f"CLUSTERED BY (domain) SORTED BY (domain) INTO {buckets} BUCKETS LOCATION '{base}'"
-    )
-    return spark.table(full)
-
-
-def _states(spark: SparkSession, parts: list[tuple[str | None, list[str]]]) -> DataFrame:
-    """All states of the given bases and log folders, aligned on the buckets."""
-    logs = [folder for _, log in parts for folder in log]
-    bases = [base for base, _ in parts if base]
-    states = (
-        spark.read.schema(GOLD_PARTIAL).parquet(*logs)
-        if logs
-        else spark.createDataFrame([], GOLD_PARTIAL)
+        f"CREATE TABLE IF NOT EXISTS {_table(base)} ({columns}) USING parquet CLUSTERED BY "
+        f"(domain) SORTED BY (domain) INTO {_numbers(base)[1]} BUCKETS LOCATION '{base}'"
     )
-    if bases:
-        states = states.repartition(int(_name(bases[0]).split("-")[1]), "domain")
-    for base in bases:
-        states = _bucketed(spark, base).unionByName(states)
-    return states
-
-
-def snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """Folded states of everything written so far."""
-    parts = [_parts(spark, path, run) for run in _runs(spark, path)]
-    return gold.fold(_states(spark, parts))
-
-
-def read(spark: SparkSession, path: str, as_of=None) -> DataFrame:
-    """The per-domain table in its published columns."""
-    return gold.finish(snapshot(spark, path), as_of)
-
-
-def compact(spark: SparkSession, path: str, run: str, upto: int, buckets: int) -> None:
-    """Fold a run up to a batch into a new base. Repeating it gives the same base."""
-    states = gold.fold(_states(spark, [_parts(spark, path, run, upto)]))
-    target = f"{path}/base/{run}/{_batch(upto)}-{buckets}"
+    spark.catalog.refreshTable(_table(base))
+    return spark.table(_table(base))
+
+
+def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], GOLD_PARTIAL)
+    return spark.read.schema(GOLD_PARTIAL).parquet(*paths)
+
+
+def _snapshot(spark: SparkSession, run: Parts, domains: Collection[str] | None) -> DataFrame:
+    def wanted(states: DataFrame) -> DataFrame:
+        return states if domains is None else states.filter(F.col("domain").isin(list(domains)))
+
+    newer = wanted(_files(spark, run.recent + run.log))
+    if run.base is None:
+        return gold.fold(newer)
+    aligned = newer.repartition(_numbers(run.base)[1], "domain")
+    return gold.combine(wanted(_bucketed(spark, run.base)), gold.fold(aligned))
+
+
+def snapshot(
+    spark: SparkSession, path: str, domains: Collection[str] | None = None
+) -> DataFrame:
+    """Folded states of everything written so far, or only of some domains."""
+    states = [
+        _snapshot(spark, parts(spark, path, run), domains) for run in _runs(spark, path)
+    ] or [_files(spark, [])]
+    whole = states[0]
+    for other in states[1:]:
+        whole = gold.combine(whole, other)
+    return whole
+
+
+def read(
+    spark: SparkSession, path: str, as_of=None, domains: Collection[str] | None = None
+) -> DataFrame:
+    """The per-domain table in its published columns.
+
+    Give ``domains`` to look some up: they prune the buckets and files to open, which a
+    filter on the result cannot do.
+    """
+    return gold.finish(snapshot(spark, path, domains), as_of)
+
+
+def compact(
+    spark: SparkSession, path: str, run: str, upto: int, buckets: int, whole: bool = False
+) -> None:
+    """Fold the log up to a batch into the recent part, or with ``whole`` into a new base.
+
+    Repeating it, as a replayed batch does, writes the same once more.
+    """
+    old = parts(spark, path, run, upto)
+    if not whole:
+        gold.fold(_files(spark, old.recent + old.log)).write.mode("overwrite").parquet(
+            f"{path}/recent/{run}/{_digits(old.first)}-{_digits(upto)}"
+        )
+        return
+    states = _snapshot(spark, old, None)
+    if old.base is None or _numbers(old.base)[1] != buckets:
+        states = states.repartition(buckets, "domain")
+    target = f"{path}/base/{run}/{_digits(upto)}-{buckets}"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{CATALOG_DATABASE}`")
     (
-        states.repartition(buckets, F.col("domain"))
-        .write.mode("overwrite")
+        states.write.mode("overwrite")
         .bucketBy(buckets, "domain")
         .sortBy("domain")
         .option("path", target)
-        .saveAsTable(f"`{CATALOG_DATABASE}`.`{_table_name(target)}`")
+        .saveAsTable(_table(target))
     )
 
 
 def superseded(spark: SparkSession, path: str) -> list[str]:
-    """Folders no reader needs any more, for ``upkeep.vacuum``."""
+    """Folders that later compactions have made unnecessary."""
     spare = []
     for run in _runs(spark, path):
-        base, log = _parts(spark, path, run)
-        if base:
-            everything = _complete(spark, f"{path}/base/{run}/*") + _complete(
-                spark, f"{path}/log/{run}/*"
-            )
-            spare += [p for p in everything if p != base and p not in log]
+        needed = parts(spark, path, run)
+        written = [
+            folder
+            for pattern in ("base/{}/*", "recent/{}/*", "log/{}/*/*")
+            for folder in _complete(spark, f"{path}/{pattern.format(run)}")
+        ]
+        spare += [p for p in written if p not in {needed.base, *needed.recent, *needed.log}]
     return spare
+
+
+def vacuum(
+    spark: SparkSession, path: str, retention_hours: float = VACUUM_RETENTION_HOURS
+) -> list[str]:
+    """Delete superseded folders older than the retention, with their catalog entries."""
+    gone = upkeep.vacuum(spark, superseded(spark, path), retention_hours)
+    for folder in gone:
+        if "/base/" in folder:
+            spark.sql(f"DROP TABLE IF EXISTS {_table(folder)}")
+    return gone

@@ -75,14 +75,17 @@ def gold(
     name: str = "gold_stream",
     max_files_per_trigger: int | None = None,
     compact_every: int = COMPACT_EVERY_BATCHES,
+    whole_every: int = 10,
     buckets: int | None = None,
     as_of=None,
 ) -> StreamingQuery:
     """Valid rows of the cleaned table to the per-domain log and base.
 
     The stream keeps no state: each micro-batch writes its own mergeable states under its
-    batch number, so a replay replaces them and late rows simply fold in. ``buckets``
-    should put a few hundred MB in each bucket; it defaults to the shuffle partitions.
+    batch number, so a replay replaces them and late rows simply fold in. Every
+    ``compact_every`` batches the log is folded into the recent part, and every
+    ``whole_every`` times that into the base. ``buckets`` should put a few hundred MB in
+    each bucket; it defaults to the shuffle partitions.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     fallback = hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
@@ -93,7 +96,8 @@ def gold(
         gold_log.append(batch, path, run, number, as_of)
         if (number + 1) % compact_every == 0:
             try:
-                gold_log.compact(session, path, run, number, buckets)
+                whole = (number + 1) // compact_every % whole_every == 0
+                gold_log.compact(session, path, run, number, buckets, whole)
             except Exception:
                 # The log is complete without it; the next round folds more.
                 log.exception("compaction of %s up to batch %d failed", path, number)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sievelake.operators import lists
@@ -150,6 +151,19 @@ def landing(tmp_path):
     return str(tmp_path), contents
 
 
+def shuffled_lines(spark, path):
+    """The same lines by the way taken when there are too many splits to broadcast."""
+    limit, files.BROADCAST_SPLITS = files.BROADCAST_SPLITS, 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = files.list_lines(spark, path)
+        assert "BroadcastHashJoin" not in frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        files.BROADCAST_SPLITS = limit
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return frame
+
+
 def test_line_numbers_of_split_files(spark, landing):
     """Files cut into many splits still number their lines as a whole."""
     path, contents = landing
@@ -157,12 +171,19 @@ def test_line_numbers_of_split_files(spark, landing):
     spark.conf.set("spark.sql.files.openCostInBytes", "10")
     try:
         frame = files.list_lines(spark, path)
+        by_shuffle = shuffled_lines(spark, path)
         blocks = files._scan(spark, path).select("path", "block").distinct().count()
         rows = frame.collect()
+        assert sorted(by_shuffle.select("path", "line_number", "line").collect()) == sorted(
+            (r.path, r.line_number, r.line) for r in rows
+        )
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert blocks > 20
+    # The same frame under another cut of the files must not number them wrongly.
+    with pytest.raises(PySparkException, match="cut differently"):
+        frame.select("*").collect()
     got = {}
     for row in rows:
         name = row.source + "/" + row.path.rsplit("/", 1)[-1]

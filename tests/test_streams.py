@@ -10,7 +10,7 @@ from sievelake.sinks.publish import publish
 from sievelake.sources import layers
 from sievelake.sources.topics import message_stream
 from sievelake.streaming import gold_log, pipeline
-from sievelake.tables import folders, upkeep
+from sievelake.tables import folders
 
 AS_OF = "2024-02-01"
 BASE = datetime(2024, 1, 31)
@@ -119,18 +119,21 @@ def test_two_sources_and_both_categories(spark, tmp_path):
 
 def test_gold_restarts_under_compaction(spark, tmp_path):
     """Small batches, a base every second one, and a restart in between."""
-    lake = Lake(spark, tmp_path, compact_every=2, buckets=3)
-    for day in range(4):
+    lake = Lake(spark, tmp_path, compact_every=1, whole_every=3, buckets=3)
+    for day in range(5):
         lake.send([(f"d{i}.com", "malware" if i == day else "ads_trackers", f"s{day}", day * 1440 + i) for i in range(6)])
         lake.catch_up()
     assert same(lake.gold(), lake.batch_gold())
-    bases = folders.glob(spark, f"{lake.root}/gold/base/*/*")
-    logs = folders.glob(spark, f"{lake.root}/gold/log/*/*")
-    assert len(bases) >= 2 and len(logs) >= 4
-    spare = gold_log.superseded(spark, f"{lake.root}/gold")
-    assert set(bases[:-1]) <= set(spare) and bases[-1] not in spare
-    assert upkeep.vacuum(spark, spare) == []
-    assert sorted(upkeep.vacuum(spark, spare, retention_hours=-1)) == sorted(spare)
+    path = f"{lake.root}/gold"
+    n = len(folders.glob(spark, f"{path}/log/*/*/*"))
+    bases = [p.rsplit("/", 1)[-1] for p in folders.glob(spark, f"{path}/base/*/*")]
+    assert n >= 5 and bases == [f"{i:012d}-3" for i in range(2, n, 3)]
+    recents = [p.rsplit("/", 1)[-1] for p in folders.glob(spark, f"{path}/recent/*/*")]
+    assert recents[:3] == [f"{0:012d}-{0:012d}", f"{0:012d}-{1:012d}", f"{3:012d}-{3:012d}"]
+    spare = gold_log.superseded(spark, path)
+    assert len(spare) > n and gold_log.vacuum(spark, path) == []
+    assert sorted(gold_log.vacuum(spark, path, retention_hours=-1)) == sorted(spare)
+    assert gold_log.superseded(spark, path) == []
     assert same(lake.gold(), lake.batch_gold())
 
 
@@ -154,8 +157,9 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     expected = once.collect()
     gold_log.append(two, path, "run", 1, AS_OF)
     assert sorted(gold_log.read(spark, path, AS_OF).collect()) == sorted(expected)
-    gold_log.compact(spark, path, "run", 1, 2)
-    gold_log.compact(spark, path, "run", 1, 2)
+    for whole in (False, True):
+        gold_log.compact(spark, path, "run", 1, 2, whole)
+        gold_log.compact(spark, path, "run", 1, 2, whole)
     assert sorted(gold_log.read(spark, path, AS_OF).collect()) == sorted(expected)
     # Another checkpoint counts from zero again, next to the first run.
     gold_log.append(silver_rows(spark, [("a.com", "malware", "u", 9)]), path, "again", 0, AS_OF)
@@ -167,22 +171,44 @@ def test_half_written_folders_are_not_read(spark, tmp_path):
     path = str(tmp_path)
     gold_log.append(silver_rows(spark, [("a.com", "malware", "s", 1)]), path, "run", 0, AS_OF)
     gold_log.append(silver_rows(spark, [("b.com", "malware", "s", 1)]), path, "run", 1, AS_OF)
-    folders.delete(spark, f"{path}/log/run/{1:012d}/_SUCCESS")
+    folders.delete(spark, f"{path}/log/run/{0:012d}/{1:012d}/_SUCCESS")
     assert [r.domain for r in gold_log.read(spark, path).collect()] == ["a.com"]
 
 
+def test_any_mix_of_base_recent_and_log(spark, tmp_path):
+    """Ten batches under different compactions against one pass, also with a new bucket count."""
+    batches = [
+        silver_rows(spark, [(f"d{i}.com", "malware" if i == b else "ads_trackers", f"s{b}", b * 100 + i) for i in range(b, b + 9)])
+        for b in range(6)
+    ]
+    for case, plan in enumerate(["", "w", "r", "wr", "w-r-", "rrwr-w", "-w--rr", "wwwwww"]):
+        path = f"{tmp_path}/{case}"
+        everything = None
+        for b, batch in enumerate(batches):
+            gold_log.append(batch, path, "run", b, AS_OF)
+            everything = batch if everything is None else everything.unionByName(batch)
+            step = plan[b : b + 1]
+            if step in ("w", "r"):
+                gold_log.compact(spark, path, "run", b, 3 + b % 2, whole=step == "w")
+        table = gold_log.read(spark, path, AS_OF)
+        assert same(table, gold.aggregate(everything, AS_OF)), plan
+        assert table.count() == 14 and table.select("domain").distinct().count() == 14
+        one = gold_log.read(spark, path, AS_OF, domains=["d5.com"]).collect()
+        assert [(r.domain, r.source_count) for r in one] == [("d5.com", 6)]
+
+
 def test_base_is_read_without_a_shuffle_and_pruned_by_bucket(spark, tmp_path):
     path = str(tmp_path)
     rows = [(f"d{i}.com", "malware", "s", i) for i in range(50)]
     gold_log.append(silver_rows(spark, rows), path, "run", 0, AS_OF)
-    gold_log.compact(spark, path, "run", 0, 4)
+    gold_log.compact(spark, path, "run", 0, 7, whole=True)
     gold_log.append(silver_rows(spark, rows[:5]), path, "run", 1, AS_OF)
     table = gold_log.read(spark, path, AS_OF)
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
-    one = table.filter("domain = 'd7.com'")
+    one = gold_log.read(spark, path, AS_OF, domains=["d7.com"])
     plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "SelectedBucketsCount: 1 out of 4" in plan and "EqualTo(domain,d7.com)" in plan
+    assert "SelectedBucketsCount: 1 out of 7" in plan and "EqualTo(domain,d7.com)" in plan
     assert one.count() == 1 and table.count() == 50
 
 
