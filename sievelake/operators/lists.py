@@ -49,9 +49,10 @@ def lines(documents: DataFrame) -> DataFrame:
 def merged_metadata(line_number: Column, fetched: Column) -> Column:
     """Line number plus the fetch metadata; a key the fetch already has wins."""
     own = F.create_map(F.lit("line_number"), line_number.cast("string"))
-    fetched = F.coalesce(fetched, F.create_map().cast("map<string,string>"))
-    return F.map_concat(
-        F.map_filter(own, lambda key, _: ~F.map_contains_key(fetched, key)), fetched
+    return (
+        F.when(fetched.isNull(), own)
+        .when(F.map_contains_key(fetched, "line_number"), fetched)
+        .otherwise(F.map_concat(own, fetched))
     )
 
 

@@ -51,11 +51,7 @@ def run(
     as_of=None,
 ) -> Ingest:
     """Ingest a landing folder and publish to Kafka (options) or to a folder."""
-    job = plan(
-        files.list_lines(spark, landing, manifest),
-        files.list_documents(spark, landing, manifest),
-        registry,
-        as_of,
-    )
+    landed = files.scan_lists(spark, landing, manifest)
+    job = plan(landed.lines, landed.documents, registry, as_of)
     publish(job.messages, kafka=kafka, path=path)
     return job

@@ -291,6 +291,9 @@ ORACLE = {
     "dedupe_lenient": f"""
     SELECT domain, source, off AS page_id, kind FROM ({judged(f'({DIRTY})')}) WHERE valid
     QUALIFY row_number() OVER (PARTITION BY source, domain ORDER BY off, kind) = 1""",
+    "dedupe_strict": f"""
+    SELECT source, category, count(*) AS domains, sum(line_number)::BIGINT AS line_numbers
+    FROM ({DEDUPED}) GROUP BY source, category""",
     "validation_stats": statistics(
         "clean", "d IS NOT NULL", "count(d)", "0", "(count(*) - count(d))",
         f"SELECT source, cleaned AS d FROM ({cleaned(f'({DIRTY})')})",
@@ -332,6 +335,10 @@ ORACLE = {
     UNION ALL
     SELECT 'overall', NULL, sum(malware)::BIGINT, sum(ads_trackers)::BIGINT,
            sum(total)::BIGINT, sum(failed)::BIGINT FROM s""",
+    "publish_topics": f"""
+    SELECT category || '_domains' AS topic, count(*) AS messages,
+           sum(off)::BIGINT AS offsets, min(domain) AS first_key
+    FROM ({SIGHTINGS}) WHERE source <> 'signup' GROUP BY category""",
     "category_counts": f"""
     SELECT category, count(*) AS domains FROM ({SIGHTINGS}) GROUP BY category""",
     "row_count": f"SELECT count(*) AS n FROM ({SIGHTINGS})",

@@ -173,6 +173,14 @@ def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dedupe_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed entries are all valid, so the strict mode lets them through."""
+    kept = validate.strict(_entries(spark, sf_dir))
+    return kept.groupBy("source", "category").agg(
+        F.count("*").alias("domains"), F.sum("line_number").alias("line_numbers")
+    )
+
+
 def dedupe_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = feeds.dirty_entries(spark, sf_dir).select(
         "domain", "source", F.col("offset").alias("page_id"), "kind"
@@ -202,7 +210,7 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists.lines(feeds.list_documents(spark, sf_dir)).select(
         F.col("line").alias("value"), "source"
     ).write.partitionBy("source").text(landing)
-    numbered = files.list_lines(spark, landing)
+    numbered = files.scan_lists(spark, landing).lines
     per_file = numbered.groupBy("source", "path").agg(
         F.count("*").alias("n"), F.max("line_number").alias("last")
     )
@@ -235,6 +243,20 @@ def to_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def publish_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages sent to a folder and read back, by topic."""
+    path = folders.scratch(spark, "topics")
+    unrouted = F.when(F.col("source") == "signup", "unclassified").otherwise(F.col("category"))
+    entries = feeds.sightings(spark, sf_dir).withColumn("category", unrouted)
+    publish(feeds.transport(entries), path=path)
+    sent = spark.read.schema(schemas.TRANSPORT).parquet(path)
+    return sent.groupBy("topic").agg(
+        F.count("*").alias("messages"),
+        F.sum("offset").alias("offsets"),
+        F.min(F.col("key").cast("string")).alias("first_key"),
+    )
+
+
 def publish_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sign-ups carry a category without a topic, which counts as failed."""
     unrouted = F.when(F.col("source") == "signup", "unclassified").otherwise(F.col("category"))
@@ -439,11 +461,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         parse_failures,
         dedupe_first,
         dedupe_lenient,
+        dedupe_strict,
         validation_stats,
         run_stats,
         list_files,
         to_messages,
         publish_stats,
+        publish_topics,
         category_counts,
         row_count,
         sample_day,

@@ -9,12 +9,18 @@ from pyspark.sql.streaming import StreamingQuery
 from sievelake.schemas import TRANSPORT
 
 
+# Partitions that a folder of messages pretends to have.
+PARTITIONS = 16
+
+
 def publish(
     messages: DataFrame, *, kafka: dict[str, str] | None = None, path: str | None = None
 ) -> None:
     """Send all messages that have a topic to Kafka (options) or append them to a folder.
 
-    Messages without a topic are left out; ``stats.publish`` counts them as failed.
+    Messages without a topic are left out; ``stats.publish`` counts them as failed. In a
+    folder, partition, offset and time are filled in unless the messages bring their own;
+    offsets then only order the messages of one call.
     """
     if (kafka is None) == (path is None):
         raise ValueError("give either Kafka options or a path")
@@ -23,7 +29,7 @@ def publish(
         routed.select("key", "value", "topic").write.format("kafka").options(**kafka).save()
         return
     stamps = {
-        "partition": F.pmod(F.hash("key"), F.lit(16)),
+        "partition": F.pmod(F.hash("key"), F.lit(PARTITIONS)),
         "offset": F.monotonically_increasing_id(),
         "timestamp": F.current_timestamp(),
         "timestampType": F.lit(0),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +15,28 @@ LANDED = "value STRING, source STRING"
 BROADCAST_SPLITS = 1_000_000
 
 
-def _scan(spark: SparkSession, landing: str) -> DataFrame:
-    """Raw lines with the file split they start in. Only line feeds end a line here."""
+@dataclass(frozen=True)
+class Lists:
+    """Landed lists.
+
+    ``documents`` has one row per file: source, path, content_length (characters) and
+    fetch_metadata. ``lines`` has their numbered lines: source, path, line_number, line
+    and the fetch_metadata of the file.
+    """
+
+    documents: DataFrame
+    lines: DataFrame
+
+
+def _pieces(spark: SparkSession, landing: str) -> DataFrame:
+    """Lines with the file split they start in and an id that grows in file order.
+
+    The scan ends lines at line feeds; the other, rare line breaks are split afterwards.
+    """
+    value = F.col("value")
+    without_return = F.when(
+        F.endswith(value, F.lit("\r")), F.left(value, F.length(value) - 1)
+    ).otherwise(value)
     return (
         spark.read.schema(LANDED)
         .option("lineSep", "\n")
@@ -25,106 +47,98 @@ def _scan(spark: SparkSession, landing: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("block"),
             F.col("_metadata.file_size").alias("file_size"),
             "value",
+            F.posexplode(F.split(without_return, LINE_BREAK, -1)).alias("piece", "line"),
         )
+        .withColumn("id", F.monotonically_increasing_id())
     )
 
 
-def list_documents(
-    spark: SparkSession, landing: str, manifest: DataFrame | None = None
-) -> DataFrame:
-    """One row per file: source, path, content_length (characters) and fetch_metadata.
-
-    Scans leave out files without content, so these come from the folder listing.
-    ``manifest`` (source, http_status, content_type, source_url, all text) adds what the
-    fetch recorded.
-    """
-    # Every line counted with its line feed; the last one may lack it.
-    size = F.sum(F.octet_length("value") + 1)
-    counted = (
-        _scan(spark, landing)
-        .groupBy("source", "path")
-        .agg(
-            (
-                F.sum(F.length("value") + 1)
-                - F.when(size > F.max("file_size"), 1).otherwise(0)
-            ).alias("content_length")
-        )
-    )
+def _empty_files(spark: SparkSession, landing: str) -> DataFrame:
+    """Files without content, which a scan leaves out, from the folder listing."""
     empty = [(path,) for path in folders.glob(spark, f"{landing}/source=*/*", empty=True)]
-    blank = spark.createDataFrame(empty, "path string").select(
+    return spark.createDataFrame(empty, "path string").select(
         F.url_decode(F.regexp_extract("path", "/source=([^/]*)/", 1)).alias("source"),
         "path",
         F.lit(0).cast("bigint").alias("content_length"),
     )
-    documents = counted.unionByName(blank)
+
+
+def _fetched(files: DataFrame, manifest: DataFrame | None) -> DataFrame:
+    """Files with their fetch_metadata: the length, and what the manifest knows."""
     if manifest is not None:
-        documents = documents.join(manifest, "source", "left")
-    fetched = [
-        c for c in ("http_status", "content_length", "content_type", "source_url")
-        if c in documents.columns
+        files = files.join(manifest, "source", "left")
+    names = ["http_status", "content_length", "content_type", "source_url"]
+    pairs = [
+        x
+        for name in names
+        if name in files.columns
+        for x in (F.lit(name), F.col(name).cast("string"))
     ]
-    pairs = [x for c in fetched for x in (F.lit(c), F.col(c).cast("string"))]
-    return documents.select(
-        "source",
-        "path",
-        "content_length",
-        F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()).alias("fetch_metadata"),
-    )
+    known = F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+    others = [name for name in names if name in files.columns and name != "content_length"]
+    return files.withColumn("fetch_metadata", known).drop(*others)
 
 
-def list_lines(
-    spark: SparkSession, landing: str, manifest: DataFrame | None = None
-) -> DataFrame:
-    """Numbered lines of all files: source, path, line_number, line, fetch_metadata.
+def scan_lists(spark: SparkSession, landing: str, manifest: DataFrame | None = None) -> Lists:
+    """The lists of a landing folder; files of any size are read in splits.
 
-    A file of any size is read in splits. A first job counts the lines of each split and
-    writes a small table of where every split starts to count, by running totals over the
-    splits of a file. Row ids grow in file order within a split, so the position in it is
-    the distance from its lowest id. Should the session cut the files differently later
-    on, the ids leave the range of their split and the reading job fails.
+    A first job counts the lines and characters of every split and writes a small table of
+    where each split starts to count, by running totals over the splits of a file. Ids
+    grow in file order within a split, so the position in it is the distance from its
+    lowest id. Should the session cut the files differently later on, the ids leave the
+    range of their split and the reading job fails.
+
+    ``manifest`` (source, http_status, content_type, source_url, all text) adds what the
+    fetch recorded.
     """
-    # The scan ends lines at line feeds; other line breaks, as in ``lists.lines``, are few.
-    without_return = F.regexp_replace("value", r"\r\z", "")
-    pieces = (
-        _scan(spark, landing)
-        .select(
-            "source",
-            "path",
-            "block",
-            F.explode(F.split(without_return, LINE_BREAK, -1)).alias("line"),
-        )
-        .withColumn("id", F.monotonically_increasing_id())
-    )
-    before = (
-        Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = _pieces(spark, landing)
+    # Every line counted with its line feed; the last one of a file may lack it.
+    once = F.col("piece") == 0
+    counted = pieces.groupBy("source", "path", "block").agg(
+        F.min("id").alias("first_id"),
+        F.count("*").alias("n"),
+        F.sum(F.when(once, F.length("value") + 1)).alias("characters"),
+        F.sum(F.when(once, F.octet_length("value") + 1)).alias("bytes"),
+        F.max("file_size").alias("file_size"),
     )
+    file = Window.partitionBy("path")
+    before = file.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    unended = F.when(F.sum("bytes").over(file) > F.col("file_size"), 1).otherwise(0)
     starts_path = folders.scratch(spark, "splits")
-    (
-        pieces.groupBy("path", "block")
-        .agg(F.min("id").alias("first_id"), F.count("*").alias("n"))
-        .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .join(
-            list_documents(spark, landing, manifest).select("path", "fetch_metadata"),
+    _fetched(
+        counted.select(
+            "source",
             "path",
-            "left",
-        )
-        .write.parquet(starts_path)
-    )
+            "block",
+            "first_id",
+            "n",
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"),
+            (F.sum("characters").over(file) - unended).alias("content_length"),
+        ),
+        manifest,
+    ).write.parquet(starts_path)
     starts = spark.read.parquet(starts_path)
+    documents = (
+        starts.filter("block = 0")
+        .select("source", "path", "content_length", "fetch_metadata")
+        .unionByName(_fetched(_empty_files(spark, landing), manifest))
+    )
+    splits = starts.drop("source", "content_length")
     # One short row per split: broadcast while that is small, and shuffle beyond.
-    if starts.count() <= BROADCAST_SPLITS:
-        starts = F.broadcast(starts)
+    if splits.count() <= BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
     position = F.col("id") - F.col("first_id") + 1
     checked = F.when(position.between(1, F.col("n")), position).otherwise(
         F.raise_error(F.lit("list files were cut differently when their lines were counted"))
     )
-    return pieces.join(starts, ["path", "block"]).select(
+    lines = pieces.join(splits, ["path", "block"]).select(
         "source",
         "path",
         (F.col("before") + checked).alias("line_number"),
         "line",
         "fetch_metadata",
     )
+    return Lists(documents, lines)
 
 
 def document_stream(
@@ -133,7 +147,7 @@ def document_stream(
     """Stream of whole list files for ``lists.lines``: source, path, content, fetch_metadata.
 
     One file is one row, which numbers its lines without a second scan; use it for lists
-    of ordinary size and ``list_lines`` in batch for anything larger.
+    of ordinary size and ``scan_lists`` in batch for anything larger.
     """
     reader = spark.readStream.schema(LANDED)
     if max_files_per_trigger:

@@ -156,7 +156,7 @@ def shuffled_lines(spark, path):
     limit, files.BROADCAST_SPLITS = files.BROADCAST_SPLITS, 0
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        frame = files.list_lines(spark, path)
+        frame = files.scan_lists(spark, path).lines
         assert "BroadcastHashJoin" not in frame._jdf.queryExecution().executedPlan().toString()
     finally:
         files.BROADCAST_SPLITS = limit
@@ -170,9 +170,9 @@ def test_line_numbers_of_split_files(spark, landing):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
     spark.conf.set("spark.sql.files.openCostInBytes", "10")
     try:
-        frame = files.list_lines(spark, path)
+        frame = files.scan_lists(spark, path).lines
         by_shuffle = shuffled_lines(spark, path)
-        blocks = files._scan(spark, path).select("path", "block").distinct().count()
+        blocks = files._pieces(spark, path).select("path", "block").distinct().count()
         rows = frame.collect()
         assert sorted(by_shuffle.select("path", "line_number", "line").collect()) == sorted(
             (r.path, r.line_number, r.line) for r in rows
@@ -199,7 +199,7 @@ def test_documents_know_their_length(spark, landing):
         [("h", "200", "text/plain", "https://h.example.net/list")],
         "source string, http_status string, content_type string, source_url string",
     )
-    rows = files.list_documents(spark, path, manifest).collect()
+    rows = files.scan_lists(spark, path, manifest).documents.collect()
     lengths = {r.source + "/" + r.path.rsplit("/", 1)[-1]: r.content_length for r in rows}
     assert lengths == {name: len(content) for name, content in contents.items()}
     metadata = {r.source: r.fetch_metadata for r in rows if "one" in r.path or "three" in r.path}
@@ -209,6 +209,9 @@ def test_documents_know_their_length(spark, landing):
         "content_type": "text/plain",
         "source_url": "https://h.example.net/list",
     }
+    assert {r.path.rsplit("/", 1)[-1]: r.fetch_metadata for r in rows}["empty.txt"] == {
+        "content_length": "0"
+    }
     assert metadata["a"] == {"content_length": str(len(contents["a/three.txt"]))}
 
 

@@ -176,12 +176,12 @@ def test_half_written_folders_are_not_read(spark, tmp_path):
 
 
 def test_any_mix_of_base_recent_and_log(spark, tmp_path):
-    """Ten batches under different compactions against one pass, also with a new bucket count."""
+    """Four batches under different compactions, also with a new bucket count, against one pass."""
     batches = [
         silver_rows(spark, [(f"d{i}.com", "malware" if i == b else "ads_trackers", f"s{b}", b * 100 + i) for i in range(b, b + 9)])
-        for b in range(6)
+        for b in range(4)
     ]
-    for case, plan in enumerate(["", "w", "r", "wr", "w-r-", "rrwr-w", "-w--rr", "wwwwww"]):
+    for case, plan in enumerate(["", "w", "r-r", "wr", "rw-r", "wwww"]):
         path = f"{tmp_path}/{case}"
         everything = None
         for b, batch in enumerate(batches):
@@ -192,9 +192,9 @@ def test_any_mix_of_base_recent_and_log(spark, tmp_path):
                 gold_log.compact(spark, path, "run", b, 3 + b % 2, whole=step == "w")
         table = gold_log.read(spark, path, AS_OF)
         assert same(table, gold.aggregate(everything, AS_OF)), plan
-        assert table.count() == 14 and table.select("domain").distinct().count() == 14
+        assert table.count() == 12 and table.select("domain").distinct().count() == 12
         one = gold_log.read(spark, path, AS_OF, domains=["d5.com"]).collect()
-        assert [(r.domain, r.source_count) for r in one] == [("d5.com", 6)]
+        assert [(r.domain, r.source_count) for r in one] == [("d5.com", 4)]
 
 
 def test_base_is_read_without_a_shuffle_and_pruned_by_bucket(spark, tmp_path):
