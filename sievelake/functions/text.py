@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +18,7 @@ WHITESPACE_CLASS = (
     r"[ \t\n\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+RARE_LINE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 
 
 def strip(text: Column) -> Column:
@@ -28,3 +32,15 @@ def split_lines(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(
         F.split(closed, LINE_BREAK, -1)
     )
+
+
+def split_line(line: Column) -> Column:
+    """Array of lines within one that was read up to a line feed.
+
+    Nearly always that is the line itself, which plain searches tell faster than a split.
+    """
+    ended = F.when(
+        F.endswith(line, F.lit("\r")), F.left(line, F.length(line) - 1)
+    ).otherwise(line)
+    several = reduce(or_, [F.contains(line, F.lit(c)) for c in RARE_LINE_BREAKS])
+    return F.when(several, F.split(ended, LINE_BREAK, -1)).otherwise(F.array(line))

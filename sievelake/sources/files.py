@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sievelake.functions.text import LINE_BREAK
+from sievelake.functions.text import split_line
 from sievelake.tables import folders
 
 LANDED = "value STRING, source STRING"
@@ -33,10 +33,6 @@ def _pieces(spark: SparkSession, landing: str) -> DataFrame:
 
     The scan ends lines at line feeds; the other, rare line breaks are split afterwards.
     """
-    value = F.col("value")
-    without_return = F.when(
-        F.endswith(value, F.lit("\r")), F.left(value, F.length(value) - 1)
-    ).otherwise(value)
     return (
         spark.read.schema(LANDED)
         .option("lineSep", "\n")
@@ -47,7 +43,7 @@ def _pieces(spark: SparkSession, landing: str) -> DataFrame:
             F.col("_metadata.file_block_start").alias("block"),
             F.col("_metadata.file_size").alias("file_size"),
             "value",
-            F.posexplode(F.split(without_return, LINE_BREAK, -1)).alias("piece", "line"),
+            F.posexplode(split_line(F.col("value"))).alias("piece", "line"),
         )
         .withColumn("id", F.monotonically_increasing_id())
     )
