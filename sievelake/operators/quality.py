@@ -31,7 +31,8 @@ def not_null(table: DataFrame, columns: Sequence[str]) -> DataFrame:
 def health(components: DataFrame) -> DataFrame:
     """Roll-up of (component, healthy): all_healthy, failed_count, failed (sorted JSON).
 
-    A missing flag counts as failed; no component at all counts as unhealthy.
+    A missing flag counts as failed; no component at all counts as unhealthy. Components
+    are services or sources, so the list of failed ones is short.
     """
     down = ~F.coalesce(F.col("healthy"), F.lit(False))
     return components.agg(

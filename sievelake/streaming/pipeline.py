@@ -111,3 +111,28 @@ def gold(
         .trigger(**trigger(interval))
         .start()
     )
+
+
+def views(
+    spark: SparkSession,
+    *,
+    bronze: str | None = None,
+    silver: str | None = None,
+    gold: str | None = None,
+    as_of=None,
+) -> list[str]:
+    """Make layers written by the streams queryable from SQL; returns the view names.
+
+    The views read by path, and so see exactly the files the streams have committed. Call
+    again to see later files.
+    """
+    frames = {}
+    if bronze:
+        frames["bronze_domains"] = layers.table(spark, bronze, schemas.BRONZE)
+    if silver:
+        frames["silver_domains"] = layers.table(spark, silver, schemas.SILVER)
+    if gold:
+        frames["gold_domains"] = gold_log.read(spark, gold, as_of)
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+    return list(frames)

@@ -51,7 +51,8 @@ def register_table(
     """Enter an external table over ``path``, and find its partitions; returns its name.
 
     A table that is registered elsewhere stays where it is, with a warning, unless
-    ``replace`` points it to the new folder. No data is ever deleted.
+    ``replace`` points it to the new folder. No data is ever deleted. This is for folders
+    written by batch jobs; ``pipeline.views`` shows those a stream is still writing.
     """
     full = f"`{database}`.`{name}`"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`")

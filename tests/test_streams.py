@@ -100,6 +100,9 @@ def test_stream_equals_batch_and_restart_adds_only_new_rows(spark, tmp_path):
     lake.catch_up()
     assert (lake.count("bronze"), lake.count("silver"), lake.gold().count()) == (8, 8, 5)
     assert same(lake.gold(), lake.batch_gold())
+    names = pipeline.views(spark, **{n: f"{lake.root}/{n}" for n in ("bronze", "silver", "gold")})
+    counts = {n: spark.sql(f"SELECT count(*) FROM {n}").first()[0] for n in names}
+    assert counts == {"bronze_domains": 8, "silver_domains": 8, "gold_domains": 5}
     site = lake.gold().filter("domain = 'malware-site.com'").first()
     assert (site.category, site.source_count) == ("malware", 3)
     assert site.first_seen == BASE - timedelta(minutes=6000) and site.metadata == {"m": "-6000"}
