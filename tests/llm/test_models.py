@@ -1,0 +1,103 @@
+"""Toxicity and quality: held-out accuracy, restored spellings, edge cases."""
+
+import numpy as np
+import pytest
+
+from sievelake.llm import quality, queries, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def held_out_rows(spark, name, label):
+    scored = queries.QUERIES[name](spark, SF).filter("held_out").collect()
+    labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    return [(r.score, r.predicted, labels[r.doc_id]) for r in scored if r.doc_id in labels]
+
+
+def auc(rows):
+    ones, zeros = [r[0] for r in rows if r[2]], [r[0] for r in rows if not r[2]]
+    return np.mean([(a > b) + 0.5 * (a == b) for a in ones for b in zeros])
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    return toxicity.train(docs, labels)
+
+
+def test_toxicity_held_out(spark):
+    rows = held_out_rows(spark, "op6_toxicity", "toxic")
+    assert np.mean([p == y for _, p, y in rows]) >= 0.95
+    assert auc(rows) >= 0.93
+
+
+def test_quality_held_out(spark):
+    rows = held_out_rows(spark, "op10_quality", "quality")
+    assert np.mean([p == y for _, p, y in rows]) >= 0.95
+    assert auc(rows) >= 0.95
+
+
+@pytest.mark.parametrize("text", ["1d10t", "i d i o t", "idiooooot", "i-d-i-o-t", "m0r0n", "$cum", "tr4sh", "l.o.s.e.r", "(1own", "w0rthle$$", "p@thetic", "STUPID!!!", "'moron,'", "m o r o n"])
+def test_restored_spellings_are_scored(model, text):
+    reader = toxicity.Reader(model.characters, set(model.evidence))
+    assert model.score(reader(f"Anly the of {text} hend reand.")) >= 0.5
+
+
+@pytest.mark.parametrize("text", [None, "", "the and of 1984 in 3.5 % of a b c", "A$$$ enenat$$$ re%%%", "mail7@example.com AKIA44 192.168.0.1", "x " * 20_000])
+def test_clean_texts_stay_clean(model, text):
+    reader = toxicity.Reader(model.characters, set(model.evidence))
+    assert model.score(reader(text)) < 0.5
+
+
+def test_viterbi_equals_trying_everything():
+    rng = np.random.default_rng(0)
+    model = np.log(rng.dirichlet(np.ones(toxicity.SYMBOLS), (toxicity.SYMBOLS,) * 3)).astype(np.float32)
+    from itertools import product
+
+    for text in ("1d10t", "aa1", "x!!y", "s$s"):
+        best = None
+        for path in product(*toxicity._choices(text, False)):
+            word = "".join(p for p, _ in path)
+            s = [0, 0, 0, *toxicity.symbols(word).tolist(), 0]
+            total = sum(float(model[tuple(s[i : i + 4])]) for i in range(len(s) - 3)) - sum(c for _, c in path)
+            best = max(best or (total, word), (total, word))
+        assert toxicity.restore(text, model) == best[1]
+
+
+@pytest.mark.parametrize("operator,label", [(toxicity.toxicity, "toxic"), (quality.quality, "quality")])
+def test_edges(spark, operator, label):
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate([None, "", "a b", "a b", "z " * 50_000])] + [(None, "q", "s"), (2, "again", None)], "doc_id long, text string, score string")
+    none = spark.createDataFrame([], f"doc_id long, {label} int")
+    odd = spark.createDataFrame([(None, 1), (1, None), (2, 1), (2, 0), (3, 7), (99, 1)], f"doc_id long, {label} int")
+    for labels in (none, odd):
+        found = operator(docs, labels).collect()
+        assert len(found) == 7 and all(0 <= r.score <= 1 for r in found)
+        assert next(r for r in found if r.doc_id is None).held_out is False
+    assert operator(docs.limit(0), none).collect() == []
+
+
+def test_character_model_counts_every_text(spark):
+    docs = spark.createDataFrame([("ab",), (None,), ("AB " * 9,)], "text string")
+    p = np.exp(toxicity.character_model(docs))
+    assert np.allclose(p.sum(axis=-1), 1, atol=1e-3)
+    assert p[0, 0, 0].argmax() == 1 and p[0, 0, 1].argmax() == 2
+
+
+def test_word_vectors_do_not_depend_on_partitions(spark):
+    rows = [(f"w{i % 7} and w{i % 3} or the",) for i in range(50)]
+    one = quality.word_vectors(spark.createDataFrame(rows, "text string").coalesce(1))
+    many = quality.word_vectors(spark.createDataFrame(rows, "text string").repartition(5))
+    assert (one == many).all() and one.any()
+
+
+def test_temperature_lowers_the_loss_of_sharp_logits():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((400, 3))
+    y = (x[:, 0] + rng.standard_normal(400) > 0).astype(float)
+    net = quality._fit(x[:200], y[:200])
+
+    def loss(n):
+        p = np.clip(n.probabilities(x[200:]), 1e-9, 1 - 1e-9)
+        return -np.mean(y[200:] * np.log(p) + (1 - y[200:]) * np.log(1 - p))
+
+    assert loss(quality._calibrated(net, x[200:], y[200:])) <= loss(net)
