@@ -212,8 +212,8 @@ def _differenced(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for other in others:
             if other is not None and other.host == row.host and other.block == row.block:
                 lines_there = np.asarray(other.hashes, np.int64)
-                # A page with the very same lines is a copy and tells nothing.
-                if not np.array_equal(own, lines_there):
+                # Without an article, a page with the very same lines is a copy and tells nothing.
+                if not (row.all_open and np.array_equal(own, lines_there)):
                     shared |= common_lines(own, lines_there)
         return {"host": row.host, "path": row.path, "print": row.print, "shared": shared.tolist()}
 
@@ -238,8 +238,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     navigation, headers, footers, sidebars, notices, adverts, forms or comments are not.
     Lines that the markup leaves open are main text unless they are shared, in order, with
     the page before or after by path on the same host. Pages with the same lines at the same
-    path are one page there, and a neighbour with the very same lines is not compared. A
-    null html counts as empty and gives an empty text; null and odd URLs have an empty host.
+    path are one page there, and a page without an article is not compared with a neighbour
+    that has the very same lines. A null html counts as empty and gives an empty text; null and odd URLs have an empty host.
     Repeated rows are kept; other columns are ignored.
 
     Only hashes of open lines travel to the neighbours. The global order is cut in blocks
@@ -255,9 +255,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     )
     place = ["host", "path", "print"]
     unsure = rows.filter(F.size("hashes") > 0).select(
-        "row_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), F.xxhash64("hashes").alias("print"), "hashes"
+        "row_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), F.xxhash64("hashes").alias("print"), "hashes", F.forall("is_open", lambda o: o).alias("all_open")
     )
-    different = unsure.groupBy(*place).agg(F.any_value("hashes").alias("hashes"))
+    different = unsure.groupBy(*place).agg(F.any_value("hashes").alias("hashes"), F.min("all_open").alias("all_open"))
     ranged = stored(
         different.repartitionByRange(*place)
         .sortWithinPartitions(*place)
@@ -275,9 +275,9 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.when(F.col("rank") % PAGES_PER_BLOCK == 0, F.struct((block - 1).alias("block"), F.lit(True).alias("guest"))),
         F.when((F.col("rank") + 1) % PAGES_PER_BLOCK == 0, F.struct((block + 1).alias("block"), F.lit(True).alias("guest"))),
     )
-    seated = ranked.select(*place, "hashes", "rank", F.explode(F.filter(seats, lambda s: s.isNotNull())).alias("s"))
+    seated = ranked.select(*place, "hashes", "all_open", "rank", F.explode(F.filter(seats, lambda s: s.isNotNull())).alias("s"))
     judged = (
-        seated.select(*place, "hashes", "rank", "s.block", "s.guest")
+        seated.select(*place, "hashes", "all_open", "rank", "s.block", "s.guest")
         .repartition("block")
         .sortWithinPartitions("block", "rank")
         .mapInPandas(_differenced, "host string, path string, print long, shared array<boolean>")
