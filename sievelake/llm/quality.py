@@ -52,8 +52,9 @@ class Tokens:
         tokens = (text or "").lower().split()
         if len(self.known) > KEPT_TOKENS:
             self.known.clear()
-        for token in set(tokens) - self.known.keys():
-            self.known[token] = bucket(token)
+        for token in set(tokens):
+            if token not in self.known:
+                self.known[token] = bucket(token)
         return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
 
 
