@@ -17,8 +17,13 @@ def moment(as_of: Column | datetime | str | None = None) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
+def utc(stamp: Column) -> Column:
+    """The wall clock of UTC at an instant, whatever the zone of the session."""
+    return F.to_utc_timestamp(stamp, F.current_timezone())
+
+
 def iso_text(stamp: Column) -> Column:
-    """ISO 8601 text with offset; the fraction is left out when it is zero."""
-    whole = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ssxxx")
-    fine = F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+    """ISO 8601 text in UTC with offset; the fraction is left out when it is zero."""
+    whole = F.date_format(utc(stamp), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    fine = F.date_format(utc(stamp), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     return F.when(F.date_trunc("second", stamp) == stamp, whole).otherwise(fine)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievelake.functions.times import moment
+from sievelake.functions.times import moment, utc
 from sievelake.schemas import MESSAGE_VALUE
 
 
@@ -30,5 +30,5 @@ def transform(messages: DataFrame, as_of=None) -> DataFrame:
             "kafka_timestamp",
             moment(as_of).alias("bronze_timestamp"),
         )
-        .withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
+        .withColumn("ingestion_date", F.to_date(utc(F.col("ingestion_timestamp"))))
     )

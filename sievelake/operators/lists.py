@@ -98,10 +98,10 @@ def failures(
     """Documents that fail their source (source, path, reason), and sources without any.
 
     ``documents`` needs source, path and ``content_length``. A failed document does not
-    stop the others.
+    stop the others. A document whose source the registry does not have is a failure.
     """
     known = registry.select("source", "format")
-    reason = F.when(
+    reason = F.when(F.col("listed").isNull(), F.lit("Unknown source")).when(
         ~F.coalesce(F.col("format").isin(list(formats)), F.lit(False)),
         F.concat(F.lit("Unknown format type: "), F.coalesce("format", F.lit("none"))),
     ).when(
@@ -110,7 +110,7 @@ def failures(
     )
     broken = (
         documents.select("source", "path", "content_length")
-        .join(known, "source")
+        .join(known.withColumn("listed", F.lit(True)), "source", "left")
         .select("source", "path", reason.alias("reason"))
         .filter(F.col("reason").isNotNull())
     )

@@ -11,8 +11,6 @@ from sievelake.functions.text import split_line
 from sievelake.tables import folders
 
 LANDED = "value STRING, source STRING"
-# About 200 MB of split starts; at 128 MB a split that is over 100 TB of lists.
-BROADCAST_SPLITS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -60,9 +58,16 @@ def _empty_files(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def _fetched(files: DataFrame, manifest: DataFrame | None) -> DataFrame:
-    """Files with their fetch_metadata: the length, and what the manifest knows."""
+    """Files with their fetch_metadata: the length, and what the manifest knows.
+
+    The manifest is by path, or by source where it has no path. Of rows with the same key
+    the greatest counts, so a key that repeats doubles no file.
+    """
     if manifest is not None:
-        files = files.join(manifest, "source", "left")
+        key = "path" if "path" in manifest.columns else "source"
+        others = [c for c in manifest.columns if c not in ("path", "source")]
+        one = manifest.groupBy(key).agg(F.max(F.struct(*others)).alias("row")).select(key, "row.*")
+        files = files.join(one, key, "left")
     names = ["http_status", "content_length", "content_type", "source_url"]
     pairs = [
         x
@@ -81,11 +86,11 @@ def scan_lists(spark: SparkSession, landing: str, manifest: DataFrame | None = N
     A first job counts the lines and characters of every split and writes a small table of
     where each split starts to count, by running totals over the splits of a file. Ids
     grow in file order within a split, so the position in it is the distance from its
-    lowest id. Should the session cut the files differently later on, the ids leave the
-    range of their split and the reading job fails.
+    lowest id. Should the session cut the files differently later on, lines have no split
+    or leave the range of theirs, and the reading job fails: it never gives fewer lines.
 
-    ``manifest`` (source, http_status, content_type, source_url, all text) adds what the
-    fetch recorded.
+    ``manifest`` (path or source, http_status, content_type, source_url, all text) adds
+    what the fetch recorded.
     """
     pieces = _pieces(spark, landing)
     # Every line counted with its line feed; the last one of a file may lack it.
@@ -119,20 +124,23 @@ def scan_lists(spark: SparkSession, landing: str, manifest: DataFrame | None = N
         .select("source", "path", "content_length", "fetch_metadata")
         .unionByName(_fetched(_empty_files(spark, landing), manifest))
     )
-    splits = starts.drop("source", "content_length")
-    # One short row per split: broadcast while that is small, and shuffle beyond.
-    if splits.count() <= BROADCAST_SPLITS:
-        splits = F.broadcast(splits)
+    # Numbers only, one short row per split; the text of the fetch is one row per file.
+    splits = starts.select("path", "block", "first_id", "n", "before")
+    files = starts.filter("block = 0").select("path", "fetch_metadata")
     position = F.col("id") - F.col("first_id") + 1
     checked = F.when(position.between(1, F.col("n")), position).otherwise(
         F.raise_error(F.lit("list files were cut differently when their lines were counted"))
     )
-    lines = pieces.join(splits, ["path", "block"]).select(
-        "source",
-        "path",
-        (F.col("before") + checked).alias("line_number"),
-        "line",
-        "fetch_metadata",
+    lines = (
+        pieces.join(splits, ["path", "block"], "left")
+        .join(files, "path", "left")
+        .select(
+            "source",
+            "path",
+            (F.col("before") + checked).alias("line_number"),
+            "line",
+            "fetch_metadata",
+        )
     )
     return Lists(documents, lines)
 

@@ -152,14 +152,12 @@ def landing(tmp_path):
 
 
 def shuffled_lines(spark, path):
-    """The same lines by the way taken when there are too many splits to broadcast."""
-    limit, files.BROADCAST_SPLITS = files.BROADCAST_SPLITS, 0
+    """The same lines by the plan that Spark takes when the splits are too many to broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         frame = files.scan_lists(spark, path).lines
         assert "BroadcastHashJoin" not in frame._jdf.queryExecution().executedPlan().toString()
     finally:
-        files.BROADCAST_SPLITS = limit
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     return frame
 
@@ -226,3 +224,41 @@ def test_document_stream(spark, landing, tmp_path):
         assert {r.line_number: r.line for r in got} == dict(
             enumerate(content.splitlines(), start=1)
         )
+
+
+@pytest.mark.parametrize("option", [("maxPartitionBytes", "97"), ("minPartitionNum", "40")])
+def test_smaller_splits_than_counted_lose_no_line(spark, landing, option):
+    path, _ = landing
+    frame = files.scan_lists(spark, path).lines
+    counted = frame.count()
+    spark.conf.set(f"spark.sql.files.{option[0]}", option[1])
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        cut = frame.select("*")
+        try:
+            assert cut.count() == counted and len(cut.collect()) == counted
+        except PySparkException as e:
+            assert "cut differently" in str(e)
+    finally:
+        spark.conf.unset(f"spark.sql.files.{option[0]}")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_repeated_manifest_rows_double_no_line(spark, landing):
+    path, contents = landing
+    plain = files.scan_lists(spark, path).lines.count()
+    schema = "source string, http_status string, content_type string, source_url string"
+    manifest = spark.createDataFrame([("h", "200", "t", "u"), ("h", "404", "t", "u")], schema)
+    assert files.scan_lists(spark, path, manifest).lines.count() == plain
+    name = next(r.path for r in files.scan_lists(spark, path).documents.collect() if "two" in r.path)
+    by_path = spark.createDataFrame([(name, "201")], "path string, http_status string")
+    found = files.scan_lists(spark, path, by_path).documents.collect()
+    assert {r.path: r.fetch_metadata.get("http_status") for r in found if r.source == "h"}[name] == "201"
+    assert sum("http_status" in r.fetch_metadata for r in found) == 1
+
+
+def test_documents_of_an_unregistered_source_fail(spark):
+    registry = spark.createDataFrame([("a", "hosts", "malware")], "source string, format string, category string")
+    documents = spark.createDataFrame([("a", "p", 3), ("stray", "q", 3)], "source string, path string, content_length long")
+    found = {(r.source, r.path, r.reason) for r in lists.failures(documents, registry).collect()}
+    assert found == {("stray", "q", "Unknown source")}

@@ -110,17 +110,32 @@ def test_times_are_read_with_their_offset(spark):
     assert text.first()[0] == "2025-10-05 01:30:45.123"
 
 
-def test_kafka_options():
-    options = topics.kafka_options("k:9092", ["a", "b"], "earliest", 500)
+def test_kafka_feed():
+    options = topics.KafkaFeed("k:9092", ["a", "b"], "earliest", 500).options()
     assert options["subscribe"] == "a,b"
     assert options["startingOffsets"] == "earliest"
     assert options["failOnDataLoss"] == "false"
     assert options["maxOffsetsPerTrigger"] == "500"
     assert options["kafka.max.poll.records"] == "500"
-    assert "maxOffsetsPerTrigger" not in topics.kafka_options("k:9092")
-    assert topics.kafka_options("k")["startingOffsets"] == "latest"
+    assert "maxOffsetsPerTrigger" not in topics.KafkaFeed("k:9092").options()
+    assert topics.KafkaFeed("k").options()["startingOffsets"] == "latest"
     assert topics.kafka_write_options("k", "t", "/c") == {
         "kafka.bootstrap.servers": "k",
         "topic": "t",
         "checkpointLocation": "/c",
     }
+
+
+def test_dates_and_times_are_utc_in_any_session(spark):
+    from pyspark.sql import functions as F
+
+    from sievelake.functions.times import iso_text, utc
+
+    stamp = F.timestamp_seconds(F.lit(1704848400))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = spark.range(1).select(iso_text(stamp).alias("t"), F.to_date(utc(stamp)).alias("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row.t == "2024-01-10T01:00:00+00:00" and str(row.d) == "2024-01-10"
