@@ -41,6 +41,7 @@ SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¡": "i", "*": "aeiou",
 }
+EDGE_SIGNS = "".join(c for c in SIGNS if not c.isalnum())
 # Costs of the channel, in natural logs: a sign for a letter, a sign that means nothing, a
 # letter written too often, and two words written as one.
 SIGN_COST, DROP_COST, REPEAT_COST, GAP_COST = 1.0, 3.0, 1.0, 4.0
@@ -107,7 +108,9 @@ def _choices(text: str, gaps: bool) -> list[list[tuple[str, float]]]:
         letters = [(c, 0.0)] if c.isalpha() else [(x, SIGN_COST) for x in SIGNS.get(c, "")]
         found = []
         for letter, cost in letters:
-            found.append((letter, cost + (REPEAT_COST if n > 1 else 0.0)))
+            # Two equal signs mean two letters or none, two equal letters perhaps one.
+            if n != 2 or c.isalpha():
+                found.append((letter, cost + (REPEAT_COST if n > 1 else 0.0)))
             if n == 2:
                 found.append((letter * 2, cost))
             elif n > 2:
@@ -157,10 +160,12 @@ def token_forms(token: str, model: np.ndarray) -> list[str]:
             forms.add(restore(core, model))
             if len(pieces) > 1:
                 forms.add(restore("".join(pieces), model))
-    # One sign at the edge may stand for a letter; several in a row do not.
-    first, last = (token[:1] in SIGNS and token[1:2].isalnum()), (token[-1:] in SIGNS and token[-2:-1].isalnum())
-    if (first or last) and 3 <= len(token) <= 40 and core:
-        forms.add(restore(token[0 if first and not token[0].isalnum() else token.index(core[0]) :], model))
+    # One or two signs at an edge may stand for letters; more in a row do not.
+    head = len(token) - len(token.lstrip(EDGE_SIGNS))
+    tail = len(token) - len(token.rstrip(EDGE_SIGNS))
+    whole = token[head if head > 2 else 0 : len(token) - (tail if tail > 2 else 0)]
+    if core and 3 <= len(whole) <= 40 and (whole[0] in EDGE_SIGNS or whole[-1] in EDGE_SIGNS):
+        forms.add(restore(whole, model))
     return [f for f in forms if f]
 
 
