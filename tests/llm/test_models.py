@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def held_out_rows(spark, name, label):
-    # The small tables hold out nine toxic texts; these hold out enough to measure.
+    # The small tables hold out 70 labelled texts, few of them toxic; these hold out more.
     sf = "/root/testdata/sf0.1"
     scored = queries.QUERIES[name](spark, sf).filter("held_out").collect()
     labels = {r.doc_id: r[label] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
