@@ -6,7 +6,7 @@ page is also a list document whose lines are made of its words. Plain selects on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievelake.operators import messages, silver
@@ -15,7 +15,8 @@ from sievelake.sources.registry import registry
 AS_OF = "2024-02-01 00:00:00"
 FETCHED = "2024-01-31 12:00:00"
 
-# The five list sources the pages are spread over; the last one has no known format.
+# The list sources. Pages are spread over the first four; the last has no known format and
+# gets documents only where failures are asked for.
 LIST_SOURCES = {
     "hosts-a": {"format": "hosts", "category": "malware"},
     "hosts-b": {"format": "hosts", "category": "ads_trackers"},
@@ -23,6 +24,7 @@ LIST_SOURCES = {
     "rules-b": {"format": "adblock", "category": "ads_trackers"},
     "other": {"format": "csv", "category": "ads_trackers"},
 }
+PAGE_SOURCES = ("hosts-a", "hosts-b", "rules-a", "rules-b")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,13 +157,13 @@ def list_registry(spark: SparkSession) -> DataFrame:
 
 
 def list_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each page as one list document of its source: all words of its HTML as names."""
+    """Every page as one list document of its source: all words of its HTML as names."""
     host = F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1)
     words = F.regexp_extract_all("html", F.lit("[A-Za-z0-9.-]+"), F.lit(0))
     id_text = F.col("page_id").cast("string")
-    slot = F.col("page_id") % 5
+    slot = F.col("page_id") % 4
     source = F.element_at(
-        F.array(*[F.lit(name) for name in LIST_SOURCES]), (slot + 1).cast("int")
+        F.array(*[F.lit(name) for name in PAGE_SOURCES]), (slot + 1).cast("int")
     )
     hosts = F.concat(
         F.array(F.concat(F.lit("# list "), id_text), F.lit(""), F.lit("127.0.0.1 localhost")),
@@ -181,7 +183,7 @@ def list_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = (
         texts(spark, sf_dir, "pages")
         .withColumns({"host": host, "words": words, "slot": slot, "source": source})
-        .withColumn("content", F.when(F.col("page_id") % 25 == 7, "").otherwise(body))
+        .withColumn("content", body)
     )
     # Odd pages bring a line number of their own, which wins over ours.
     fetched = F.when(
@@ -197,3 +199,29 @@ def list_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("content").cast("bigint").alias("content_length"),
         fetched.alias("fetch_metadata"),
     )
+
+
+def faulty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to fail beside the good ones: empty, of no known format, of no known source."""
+    page = F.col("page_id")
+    line = F.concat(F.lit("||"), "url", F.lit("^"))
+
+    def document(when: Column, source: str, content: Column) -> Column:
+        return F.when(when, F.struct(F.lit(source).alias("source"), content.alias("content")))
+
+    faults = F.array(
+        document(page % 25 == 7, "hosts-b", F.lit("")),
+        document(page % 5 == 4, "other", line),
+        document(page % 10 == 3, "stray", line),
+    )
+    return (
+        load(spark, sf_dir, "pages")
+        .select(page.alias("path"), F.explode(F.filter(faults, lambda f: f.isNotNull())).alias("f"))
+        .select(
+            "f.source",
+            "path",
+            "f.content",
+            F.length("f.content").cast("bigint").alias("content_length"),
+            F.create_map(F.lit("http_status"), F.lit("200")).alias("fetch_metadata"),
+        )
+    )

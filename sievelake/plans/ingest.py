@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from sievelake.operators import lists, messages, stats, validate
 from sievelake.sinks.publish import publish
 from sievelake.sources import files
+from sievelake.tables import folders
 
 
 @dataclass
 class Ingest:
-    """The frames of a run; all lazy."""
+    """The frames of a run. After ``run`` they read what it wrote, not the landing folder."""
 
     entries: DataFrame
     failures: DataFrame
@@ -21,15 +23,23 @@ class Ingest:
     messages: DataFrame
     statistics: DataFrame
     published: DataFrame
+    validation: DataFrame
 
 
 def plan(
-    numbered: DataFrame, documents: DataFrame, registry: DataFrame, as_of=None
+    numbered: DataFrame,
+    documents: DataFrame,
+    registry: DataFrame,
+    as_of=None,
+    keep: Callable[[str, DataFrame], DataFrame] = lambda _, frame: frame,
 ) -> Ingest:
-    """Parse, validate, route and count numbered lines and their documents."""
-    entries = lists.parse(numbered, registry, as_of)
+    """Parse, validate, route and count numbered lines and their documents.
+
+    ``keep`` may write the entries and the valid ones, and return them as read back.
+    """
+    entries = keep("entries", lists.parse(numbered, registry, as_of))
     failures = lists.failures(documents, registry)
-    valid = validate.clean_and_validate(entries)
+    valid = keep("valid", validate.clean_and_validate(entries))
     return Ingest(
         entries=entries,
         failures=failures,
@@ -37,6 +47,7 @@ def plan(
         messages=messages.to_messages(valid),
         statistics=stats.run(entries, failures),
         published=stats.publish(valid),
+        validation=stats.validation(entries),
     )
 
 
@@ -48,10 +59,21 @@ def run(
     manifest: DataFrame | None = None,
     kafka: dict[str, str] | None = None,
     path: str | None = None,
+    work: str | None = None,
     as_of=None,
 ) -> Ingest:
-    """Ingest a landing folder and publish to Kafka (options) or to a folder."""
+    """Ingest a landing folder and publish to Kafka (options) or to a folder.
+
+    The lines are read and parsed once into ``work`` (by default a folder in the shared
+    one). Messages and statistics come from there, so they count what was sent.
+    """
     landed = files.scan_lists(spark, landing, manifest)
-    job = plan(landed.lines, landed.documents, registry, as_of)
+    work = work or folders.scratch(spark, "ingest")
+
+    def keep(name: str, frame: DataFrame) -> DataFrame:
+        frame.write.parquet(f"{work}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{work}/{name}")
+
+    job = plan(landed.lines, landed.documents, registry, as_of, keep)
     publish(job.messages, kafka=kafka, path=path)
     return job

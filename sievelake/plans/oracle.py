@@ -105,10 +105,9 @@ DIRTY = " UNION ALL ".join(
 )
 
 DOCUMENTS = f"""
-    SELECT ['hosts-a', 'hosts-b', 'rules-a', 'rules-b', 'other'][page_id % 5 + 1] AS source,
+    SELECT ['hosts-a', 'hosts-b', 'rules-a', 'rules-b'][page_id % 4 + 1] AS source,
            page_id,
-           CASE WHEN page_id % 25 = 7 THEN ''
-                WHEN page_id % 5 < 2 THEN array_to_string(
+           CASE WHEN page_id % 4 < 2 THEN array_to_string(
                   ['# list ' || page_id, '', '127.0.0.1 localhost']
                   || list_transform(words, lambda w: '0.0.0.0 ' || w || '.' || host)
                   || ['0.0.0.0 ' || host || ' # note'], chr(10))
@@ -121,6 +120,12 @@ DOCUMENTS = f"""
     FROM (SELECT page_id, {HOST} AS host,
                  regexp_extract_all(html, '[A-Za-z0-9.-]+') AS words FROM pages)"""
 
+FAULTY = f"""
+    SELECT source, page_id, content FROM ({DOCUMENTS})
+    UNION ALL SELECT 'hosts-b', page_id, '' FROM pages WHERE page_id % 25 = 7
+    UNION ALL SELECT 'other', page_id, '||' || url || '^' FROM pages WHERE page_id % 5 = 4
+    UNION ALL SELECT 'stray', page_id, '||' || url || '^' FROM pages WHERE page_id % 10 = 3"""
+
 REGISTRY = """
     (VALUES ('hosts-a', 'hosts', 'malware'), ('hosts-b', 'hosts', 'ads_trackers'),
             ('rules-a', 'adblock', 'malware'), ('rules-b', 'adblock', 'ads_trackers'),
@@ -171,13 +176,14 @@ DEDUPED = f"""
 
 FAILURES = f"""
     SELECT source, page_id,
-           CASE WHEN format NOT IN ('hosts', 'adblock') THEN 'Unknown format type: ' || format
+           CASE WHEN format IS NULL THEN 'Unknown source'
+                WHEN format NOT IN ('hosts', 'adblock') THEN 'Unknown format type: ' || format
                 ELSE 'Empty content received from source' END AS reason
-    FROM ({DOCUMENTS}) JOIN {REGISTRY} USING (source)
-    WHERE format NOT IN ('hosts', 'adblock') OR content = ''
+    FROM ({FAULTY}) LEFT JOIN {REGISTRY} USING (source)
+    WHERE format IS NULL OR format NOT IN ('hosts', 'adblock') OR content = ''
     UNION ALL
     SELECT source, NULL, 'No document fetched' FROM {REGISTRY}
-    WHERE source NOT IN (SELECT source FROM ({DOCUMENTS}))"""
+    WHERE source NOT IN (SELECT source FROM ({FAULTY}))"""
 
 
 def statistics(mode: str, ok: str, total: str, invalid: str, lost: str, relation: str) -> str:
@@ -220,6 +226,38 @@ def published(relation: str) -> str:
 
 GOLD = published(gold(cleaned(f"({SIGHTINGS})")))
 
+# The constants of Murmur3 for 32 bits, in the order they are used.
+C1, C2, C3, C4, C5 = 0xCC9E2D51, 0x1B873593, 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35
+
+
+def times(x: str, factor: int) -> str:
+    """Product of 32-bit numbers, cut to 32 bits."""
+    return f"((({x}) * {factor}::UBIGINT) & 4294967295::UBIGINT)"
+
+
+def turned(x: str, bits: int) -> str:
+    return f"(((({x}) << {bits}) & 4294967295::UBIGINT) | (({x}) >> {32 - bits}))"
+
+
+def hashed(relation: str) -> str:
+    """Signed 32-bit Murmur3 (seed 42) of ASCII names: words of four bytes, then single bytes."""
+    byte = "ascii(substr(domain, {}, 1))::UBIGINT"
+    word = " | ".join(f"({byte.format(f'(4 * i + {n + 1})::BIGINT')} << {8 * n})" for n in range(4))
+    mixed = f"({times(turned('xor(h, k)', 13), 5)} + {C3}::UBIGINT) & 4294967295::UBIGINT"
+    return f"""
+    SELECT domain, CASE WHEN f >= 2147483648 THEN f::BIGINT - 4294967296 ELSE f::BIGINT END AS domain_hash
+    FROM (SELECT domain, xor(e, e >> 16) AS f
+    FROM (SELECT domain, {times('xor(d, d >> 13)', C5)} AS e
+    FROM (SELECT domain, {times('xor(c, c >> 16)', C4)} AS d
+    FROM (SELECT domain, xor(list_reduce([42::UBIGINT] || ks, lambda h, k: {mixed}), length(domain)::UBIGINT) AS c
+    FROM (SELECT domain, list_transform(list_transform(list_transform(ws,
+             lambda k: {times('k', C1)}), lambda k: {turned('k', 15)}), lambda k: {times('k', C2)}) AS ks
+    FROM (SELECT domain, list_transform(range(length(domain) // 4), lambda i: {word})
+                 || list_transform(range(length(domain) // 4 * 4, length(domain)),
+                                   lambda i: {byte.format('i + 1')}) AS ws
+          FROM ({relation})))))))"""
+
+
 MERGED = f"""
     WITH sighted AS ({cleaned(f'({SIGHTINGS})')}),
     o AS ({gold("SELECT * FROM sighted WHERE ts < TIMESTAMP '2024-01-15'",
@@ -310,6 +348,29 @@ ORACLE = {
            (SELECT count(*) FROM ({DEDUPED})) AS domains_validated,
            (SELECT count(*) FROM ({DEDUPED}) WHERE category IN ('malware', 'ads_trackers'))
              AS domains_published""",
+    "ingest_run": f"""
+    WITH t AS (SELECT category, source, count(*) AS n FROM ({DEDUPED}) GROUP BY ALL),
+    p AS (SELECT coalesce(sum(n) FILTER (WHERE category = 'malware'), 0)::BIGINT AS malware,
+                 coalesce(sum(n) FILTER (WHERE category = 'ads_trackers'), 0)::BIGINT AS ads,
+                 sum(n)::BIGINT AS n FROM t),
+    e AS (SELECT count(*) AS n, count(DISTINCT source) AS s FROM ({ENTRIES}))
+    SELECT 'sent' AS part, category || '_domains' AS measure, sum(n)::BIGINT AS value
+    FROM t GROUP BY category
+    UNION ALL SELECT 'published', 'malware', malware FROM p
+    UNION ALL SELECT 'published', 'ads_trackers', ads FROM p
+    UNION ALL SELECT 'published', 'total', n FROM p
+    UNION ALL SELECT 'published', 'failed', 0 FROM p
+    UNION ALL SELECT 'validation', 'total', n FROM e
+    UNION ALL SELECT 'validation', 'valid', n FROM p
+    UNION ALL SELECT 'validation', 'invalid', 0 FROM p
+    UNION ALL SELECT 'validation', 'duplicates', e.n - p.n FROM e, p
+    UNION ALL SELECT 'validation', 'uncleanable', 0 FROM p
+    UNION ALL SELECT 'run', 'sources_processed', s FROM e
+    UNION ALL SELECT 'run', 'sources_failed', count(DISTINCT source) FROM ({FAULTY})
+              WHERE source IN ('other', 'stray')
+    UNION ALL SELECT 'run', 'domains_fetched', n FROM e
+    UNION ALL SELECT 'run', 'domains_validated', n FROM p
+    UNION ALL SELECT 'run', 'domains_published', n FROM p""",
     "list_files": f"""
     WITH l AS (SELECT source, count(*) AS lines
                FROM ({numbered(f'({DOCUMENTS})', 'source, page_id', 'content')}) GROUP BY source),
@@ -347,10 +408,12 @@ ORACLE = {
            strftime(ts, '%Y-%m-%d') AS ingestion_date
     FROM ({EVENTS}) WHERE ts::DATE = DATE '2024-01-10' ORDER BY off LIMIT 10""",
     "gold_domains": GOLD,
+    "gold_domain_hash": hashed(f"SELECT domain FROM ({GOLD})"),
     "gold_merge": published(MERGED),
     "gold_stream": GOLD,
     "gold_compacted": GOLD,
     "gold_clustered": GOLD,
+    "catalog_gold": GOLD,
     "silver_compacted": f"""
     SELECT strftime(ts, '%Y-%m-%d') AS ingestion_date, source, count(*) AS n,
            sum(off)::BIGINT AS offsets
@@ -361,9 +424,10 @@ ORACLE = {
     SELECT layer, strftime(latest, {TIME}) AS latest,
            latest >= TIMESTAMP '2024-01-31 00:20:00' - to_minutes(age) AS fresh
     FROM (
-      SELECT 'bronze' AS layer, max(ts) AS latest, 30 AS age FROM ({EVENTS})
-      UNION ALL SELECT 'silver', max(ts), 60 FROM ({EVENTS})
-      UNION ALL SELECT 'gold', max(ts), 120 FROM ({EVENTS}) WHERE category = 'malware')""",
+      SELECT 'bronze' AS layer, max(ts) AS latest, 30 AS age FROM ({SIGHTINGS})
+      UNION ALL SELECT 'silver', max(ts), 60 FROM ({cleaned(f'({SIGHTINGS})')})
+      WHERE cleaned IS NOT NULL
+      UNION ALL SELECT 'gold', max(last_seen), 120 FROM ({gold(cleaned(f'({SIGHTINGS})'))}))""",
     "health": f"""
     SELECT coalesce(bool_and(healthy), false) AS all_healthy,
            count(*) FILTER (WHERE NOT healthy) AS failed_count,

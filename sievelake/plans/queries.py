@@ -162,7 +162,8 @@ def adblock_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = lists.failures(feeds.list_documents(spark, sf_dir), feeds.list_registry(spark))
+    documents = feeds.list_documents(spark, sf_dir).unionByName(feeds.faulty_documents(spark, sf_dir))
+    failed = lists.failures(documents, feeds.list_registry(spark))
     return failed.select("source", F.col("path").alias("page_id"), "reason")
 
 
@@ -197,7 +198,7 @@ def validation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = feeds.list_documents(spark, sf_dir)
+    documents = feeds.list_documents(spark, sf_dir).unionByName(feeds.faulty_documents(spark, sf_dir))
     job = ingest.plan(
         lists.lines(documents), documents, feeds.list_registry(spark), feeds.FETCHED
     )
@@ -229,6 +230,32 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists landed as files, ingested and sent: messages read back beside all statistics."""
+    root = folders.scratch(spark, "ingest-run")
+    documents = feeds.list_documents(spark, sf_dir).unionByName(feeds.faulty_documents(spark, sf_dir))
+    lists.lines(documents).select(F.col("line").alias("value"), "source").write.partitionBy(
+        "source"
+    ).text(f"{root}/landing")
+    job = ingest.run(
+        spark, f"{root}/landing", feeds.list_registry(spark), path=f"{root}/topics",
+        work=f"{root}/work", as_of=feeds.FETCHED,
+    )
+
+    def measured(part: str, frame: DataFrame, names: list[str]) -> DataFrame:
+        return frame.unpivot([], names, "measure", "value").withColumn("part", F.lit(part))
+
+    sent = spark.read.schema(schemas.TRANSPORT).parquet(f"{root}/topics")
+    by_topic = sent.groupBy("topic").agg(F.count("*").alias("value"))
+    overall = job.published.filter("level = 'overall'").drop("level", "source")
+    return (
+        by_topic.select(F.col("topic").alias("measure"), "value", F.lit("sent").alias("part"))
+        .unionByName(measured("run", job.statistics, job.statistics.columns))
+        .unionByName(measured("published", overall, overall.columns))
+        .unionByName(measured("validation", job.validation, job.validation.columns))
+    )
+
+
 # Messages
 
 
@@ -389,6 +416,15 @@ def gold_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(layers.table(spark, f"{path}/clustered", schemas.GOLD))
 
 
+def catalog_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-domain table published to the catalog and read by SQL."""
+    root = folders.scratch(spark, "gold")
+    rows = silver.valid_only(feeds.silver_rows(feeds.sightings(spark, sf_dir)))
+    gold_log.append(rows, f"{root}/log", "run", 0, feeds.AS_OF)
+    name = pipeline.publish_gold(spark, f"{root}/log", f"{root}/published", as_of=feeds.AS_OF)
+    return published(spark.sql(f"SELECT * FROM {name}"))
+
+
 def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folders.scratch(spark, "silver")
     rows = feeds.silver_rows(feeds.sightings(spark, sf_dir))
@@ -414,17 +450,15 @@ def table_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = feeds.silver_rows(feeds.events(spark, sf_dir))
+    entries = feeds.sightings(spark, sf_dir)
     by_layer = {
-        "bronze": rows,
-        "silver": silver.valid_only(rows),
-        "gold": rows.filter(F.col("category") == "malware"),
+        "bronze": (feeds.bronze_rows(entries), "ingestion_timestamp"),
+        "silver": (silver.valid_only(feeds.silver_rows(entries)), "ingestion_timestamp"),
+        "gold": (_gold(spark, sf_dir), "last_seen"),
     }
     checks = [
-        quality.freshness(
-            frame, layer, "ingestion_timestamp", FRESHNESS_MINUTES[layer], CHECKED_AT
-        )
-        for layer, frame in by_layer.items()
+        quality.freshness(frame, layer, column, FRESHNESS_MINUTES[layer], CHECKED_AT)
+        for layer, (frame, column) in by_layer.items()
     ]
     together = checks[0].unionByName(checks[1]).unionByName(checks[2])
     return together.select("layer", stamp("latest"), "fresh")
@@ -465,6 +499,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         validation_stats,
         run_stats,
         list_files,
+        ingest_run,
         to_messages,
         publish_stats,
         publish_topics,
@@ -477,6 +512,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         gold_stream,
         gold_compacted,
         gold_clustered,
+        catalog_gold,
         silver_compacted,
         table_stats,
         freshness,

@@ -27,6 +27,8 @@ from sievelake.settings import VACUUM_RETENTION_HOURS
 from sievelake.tables import folders, upkeep
 
 CATALOG_DATABASE = "sievelake_gold"
+# Written into a folder when it is whole; overwriting the folder removes it first.
+COMMITTED = "_committed"
 
 
 @dataclass(frozen=True)
@@ -52,19 +54,20 @@ def _numbers(folder: str) -> list[int]:
 
 
 def _complete(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders whose write has finished."""
-    return [p.rsplit("/", 1)[0] for p in folders.glob(spark, f"{pattern}/_SUCCESS")]
+    """Folders whose write has finished: the marker is ours, no setting turns it off."""
+    return [p.rsplit("/", 1)[0] for p in folders.glob(spark, f"{pattern}/{COMMITTED}")]
 
 
 def _runs(spark: SparkSession, path: str) -> list[str]:
-    return sorted({_name(p) for p in folders.glob(spark, f"{path}/log/*")})
+    """Runs of any part, as vacuum may have left no log."""
+    return sorted({_name(p) for p in folders.glob(spark, f"{path}/{{log,recent,base}}/*")})
 
 
 def append(batch: DataFrame, path: str, run: str, number: int, as_of=None) -> None:
     """Write the states of one micro-batch; writing it again replaces it."""
-    gold.partial(batch, as_of).write.mode("overwrite").parquet(
-        f"{path}/log/{run}/{_digits(number // 1000)}/{_digits(number)}"
-    )
+    target = f"{path}/log/{run}/{_digits(number // 1000)}/{_digits(number)}"
+    gold.partial(batch, as_of).write.mode("overwrite").parquet(target)
+    folders.touch(batch.sparkSession, f"{target}/{COMMITTED}")
 
 
 def parts(spark: SparkSession, path: str, run: str, upto: int | None = None) -> Parts:
@@ -157,9 +160,9 @@ def compact(
     """
     old = parts(spark, path, run, upto)
     if not whole:
-        gold.fold(_files(spark, old.recent + old.log)).write.mode("overwrite").parquet(
-            f"{path}/recent/{run}/{_digits(old.first)}-{_digits(upto)}"
-        )
+        target = f"{path}/recent/{run}/{_digits(old.first)}-{_digits(upto)}"
+        gold.fold(_files(spark, old.recent + old.log)).write.mode("overwrite").parquet(target)
+        folders.touch(spark, f"{target}/{COMMITTED}")
         return
     states = _snapshot(spark, old, None)
     if old.base is None or _numbers(old.base)[1] != buckets:
@@ -173,6 +176,7 @@ def compact(
         .option("path", target)
         .saveAsTable(_table(target))
     )
+    folders.touch(spark, f"{target}/{COMMITTED}")
 
 
 def superseded(spark: SparkSession, path: str) -> list[str]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -15,7 +16,8 @@ from sievelake.settings import COMPACT_EVERY_BATCHES, TRIGGERS
 from sievelake.sinks.append import append_stream, trigger
 from sievelake.sources import layers
 from sievelake.streaming import gold_log
-from sievelake.tables.catalog import ensure_table
+from sievelake.tables import folders, upkeep
+from sievelake.tables.catalog import ensure_table, register_table
 
 log = logging.getLogger(__name__)
 
@@ -113,6 +115,21 @@ def gold(
     )
 
 
+def publish_gold(
+    spark: SparkSession, gold: str, target: str, *, files: int | None = None, as_of=None
+) -> str:
+    """The per-domain table as it is now, as ``gold.domains`` in the catalog; returns the name.
+
+    Writes a new table sorted by domain below ``target`` and points the name to it; readers
+    of the one before keep it. A job of its own, run as often as consumers need it.
+    """
+    root = f"{target}/{uuid.uuid4().hex}"
+    gold_log.read(spark, gold, as_of).write.parquet(f"{root}/as_read")
+    upkeep.cluster(spark, f"{root}/as_read", schemas.GOLD, f"{root}/domains", files=files)
+    folders.delete(spark, f"{root}/as_read")
+    return register_table(spark, "gold", "domains", f"{root}/domains", schemas.GOLD, replace=True)
+
+
 def views(
     spark: SparkSession,
     *,

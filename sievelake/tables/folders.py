@@ -34,6 +34,18 @@ def modified(spark: SparkSession, path: str) -> float:
     return fs.getFileStatus(target).getModificationTime() / 1000
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below the path."""
+    target, fs = _resolve(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file at the path."""
+    target, fs = _resolve(spark, path)
+    fs.create(target, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target, fs = _resolve(spark, path)
     fs.delete(target, True)

@@ -18,6 +18,10 @@ from sievelake.sources.layers import table
 from sievelake.tables import folders
 
 
+# Bytes of input that make one file of a clustered table.
+FILE_BYTES = 256 << 20
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -47,11 +51,12 @@ def cluster(
 ) -> None:
     """Rewrite a table sorted by ``columns``, so that lookups skip files by their min/max.
 
-    The row id as last range column splits a value that fills more than one file.
+    Without ``files`` there are as many as give each ``FILE_BYTES`` of the input. The row
+    id as last range column splits a value that fills more than one file.
     """
+    files = files or max(1, -(-folders.size(spark, path) // FILE_BYTES))
     rows = table(spark, path, schema).withColumn("_id", F.monotonically_increasing_id())
-    by = [F.col(c) for c in columns] + [F.col("_id")]
-    ranged = rows.repartitionByRange(files, *by) if files else rows.repartitionByRange(*by)
+    ranged = rows.repartitionByRange(files, *[F.col(c) for c in columns], F.col("_id"))
     ranged.sortWithinPartitions(*columns).drop("_id").write.parquet(target)
 
 

@@ -40,6 +40,12 @@ def test_landing_to_messages_and_statistics(spark, tmp_path):
         "domains_validated": 4,
         "domains_published": 4,
     }
+    assert job.validation.first().asDict() == {
+        "total": 5, "valid": 4, "invalid": 0, "duplicates": 1, "uncleanable": 0,
+    }
+    # Lines were parsed once: what is left reads the written entries.
+    for frame in (job.messages, job.published, job.validation):
+        assert frame.inputFiles() and not any("/landing/" in f for f in frame.inputFiles())
     overall = job.published.filter("level = 'overall'").first()
     assert (overall.malware, overall.ads_trackers, overall.total) == (2, 2, 4)
     rows = bronze.transform(spark.read.schema(schemas.TRANSPORT).parquet(str(tmp_path / "topics")))

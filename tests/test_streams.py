@@ -174,7 +174,7 @@ def test_half_written_folders_are_not_read(spark, tmp_path):
     path = str(tmp_path)
     gold_log.append(silver_rows(spark, [("a.com", "malware", "s", 1)]), path, "run", 0, AS_OF)
     gold_log.append(silver_rows(spark, [("b.com", "malware", "s", 1)]), path, "run", 1, AS_OF)
-    folders.delete(spark, f"{path}/log/run/{0:012d}/{1:012d}/_SUCCESS")
+    folders.delete(spark, f"{path}/log/run/{0:012d}/{1:012d}/_committed")
     assert [r.domain for r in gold_log.read(spark, path).collect()] == ["a.com"]
 
 
