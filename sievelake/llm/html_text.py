@@ -292,8 +292,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     text = F.when(F.col("shared").isNull(), F.array_join("lines", " ")).otherwise(
         F.array_join(F.filter(kept, lambda x: x.isNotNull()), " ")
     )
-    return (
-        rows.join(judged, "row_id", "left")
-        .select("page_id", "url", text.alias("text"))
-        .withColumn("n_chars", F.length("text").cast("long"))
-    )
+    # A page without open lines is whole as parsed and does not travel.
+    sure = rows.filter(F.size("hashes") == 0).select("page_id", "url", F.array_join("lines", " ").alias("text"))
+    compared = rows.filter(F.size("hashes") > 0).join(judged, "row_id", "left").select("page_id", "url", text.alias("text"))
+    return sure.unionByName(compared).withColumn("n_chars", F.length("text").cast("long"))
