@@ -178,6 +178,30 @@ def test_half_written_folders_are_not_read(spark, tmp_path):
     assert [r.domain for r in gold_log.read(spark, path).collect()] == ["a.com"]
 
 
+def test_gold_is_read_without_log_folder_or_success_markers(spark, tmp_path):
+    path = str(tmp_path)
+    marker = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(marker, "false")
+    try:
+        gold_log.append(silver_rows(spark, [("a.com", "malware", "s", 1)]), path, "run", 0, AS_OF)
+        assert [r.domain for r in gold_log.read(spark, path).collect()] == ["a.com"]
+        gold_log.compact(spark, path, "run", 0, 2, whole=True)
+    finally:
+        conf.unset(marker)
+    folders.delete(spark, f"{path}/log")
+    assert [r.domain for r in gold_log.read(spark, path).collect()] == ["a.com"]
+
+
+def test_published_gold_is_a_catalog_table(spark, tmp_path):
+    path = str(tmp_path)
+    for number, domain in enumerate(("a.com", "b.com")):
+        rows = silver_rows(spark, [(domain, "malware", "s", 1)])
+        gold_log.append(rows, f"{path}/gold", "run", number, AS_OF)
+        assert pipeline.publish_gold(spark, f"{path}/gold", f"{path}/out", as_of=AS_OF) == "`gold`.`domains`"
+        assert spark.sql("SELECT count(*) AS n FROM gold.domains").first().n == number + 1
+
+
 def test_any_mix_of_base_recent_and_log(spark, tmp_path):
     """Four batches under different compactions, also with a new bucket count, against one pass."""
     batches = [
