@@ -30,6 +30,7 @@ from sievelake.llm.common import (
 )
 
 BUCKET_ROWS = 1024
+CAPS_AT_ONCE = 1024
 
 
 @dataclass(frozen=True)
@@ -209,11 +210,32 @@ def near_vectors(
     return whole.unionByName(single).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def _met_below(caps: list[np.ndarray], cap: np.ndarray) -> np.ndarray:
+    """Which two rows share a cap below the one they are in; a matrix of flags.
+
+    Products of 0-1 matrices of row and cap, ``CAPS_AT_ONCE`` columns each, count the shared
+    caps of all pairs together.
+    """
+    who = np.repeat(np.arange(len(caps)), [len(c) for c in caps])
+    every = np.concatenate([np.asarray(c, np.int64) for c in caps])
+    low = every < cap[who]
+    _, column, times = np.unique(every[low], return_inverse=True, return_counts=True)
+    who = who[low][times[column] > 1]
+    _, column = np.unique(column[times[column] > 1], return_inverse=True)
+    met = np.zeros((len(caps), len(caps)), bool)
+    for start in range(0, int(column.max(initial=-1)) + 1, CAPS_AT_ONCE):
+        some = (column >= start) & (column < start + CAPS_AT_ONCE)
+        holds = np.zeros((len(caps), CAPS_AT_ONCE), np.float32)
+        holds[who[some], column[some] - start] = 1
+        met |= holds @ holds.T > 0
+    return met
+
+
 def _linked(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links within one bucket: per class the copies linked, and an edge to a tree's root."""
     x, _ = _unit(group["embedding"])
     n, label, dims = len(group), group["label"].to_numpy(), group["embedding"].map(len).to_numpy()
-    caps, cap = group["caps"].tolist(), group["cap"].to_numpy()
+    cap = group["cap"].to_numpy()
     own, copies = group["own"].to_numpy(), group["copies"].to_numpy()
     across = group["part_a"].iloc[0] != group["part_b"].iloc[0]
     a, b = np.nonzero(np.triu(x @ x.T >= threshold, 1))
@@ -222,9 +244,10 @@ def _linked(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     if across:
         fits &= own[a] != own[b]
     a, b = a[fits], b[fits]
-    sets = [set(c) for c in caps]
-    first = np.fromiter((min(sets[i] & sets[j]) == cap[i] for i, j in zip(a.tolist(), b.tolist(), strict=True)), bool, len(a))
-    a, b = a[first], b[first]
+    if len(a):
+        met = _met_below(group["caps"].tolist(), cap)
+        first = ~met[a, b]
+        a, b = a[first], b[first]
     links = np.zeros(n, np.int64)
     np.add.at(links, a, copies[b])
     np.add.at(links, b, copies[a])
