@@ -1,6 +1,7 @@
 """SimHash near-duplicates by bit-sliced comparison.
 
-Fingerprints that agree in one of several groups of bits meet in a bucket. There their bits
+Fingerprints that agree in one of several groups of bits, or whose texts agree in the least
+hashes of their shingles, meet in a bucket. There their bits
 are stored as vertical planes, one bit of 64 neighbours in each machine word, and the
 distances of 64 pairs grow together in carry-save counters. A word of pairs is abandoned as
 soon as all of its distances exceed the radius.
@@ -36,16 +37,19 @@ PLANES_AT_ONCE = 8
 
 @dataclass(frozen=True)
 class Search:
-    """What a fingerprint is and which bits must agree for two of them to be compared.
+    """What a fingerprint is and what must agree for two of them to be compared.
 
     ``keys`` are bit ranges ``(first, last + 1)`` counted from the highest bit; a bucket is
-    one of ``keys`` with its value.
+    one of ``keys`` with its value. With ``bands``, a bucket is instead one of so many bands
+    with the least hashes of ``band_rows`` orders of the text's shingles.
     """
 
     words: int = 4
     bits: int = 64
     radius: int = 4
     keys: tuple[tuple[tuple[int, int], ...], ...] = field(default=())
+    bands: int = 0
+    band_rows: int = 3
 
 
 def exact_search(words: int = 4, radius: int = 4, spare: int = 2) -> Search:
@@ -61,55 +65,96 @@ def exact_search(words: int = 4, radius: int = 4, spare: int = 2) -> Search:
 
 # Five words and a similarity of 0.8. Two texts whose shingle sets have Jaccard 0.8 have a
 # cosine of 0.89 and differ in 15 % of the bits: 155 of 1024, give or take 11. The radius of
-# 166 takes 0.84 of them, and 0.99 at Jaccard 0.83, and lets in 0.01 at Jaccard 0.7. Each of
-# 21 separate ranges of 12 bits brings a pair at Jaccard 0.8 together with probability 0.14,
-# all of them with 0.96; at 0.85 with 0.99 and at 0.9 with 0.999.
-SIMILAR = Search(5, 1024, 166, tuple(((i * 12, i * 12 + 12),) for i in range(21)))
-
-_BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
-
-
-def _mixed(h: np.ndarray, turn: int) -> np.ndarray:
-    """Other 64 bits out of a 64-bit hash; turn 0 leaves it as it is."""
-    if turn == 0:
-        return h
+# 166 takes 0.84 of them, and 0.99 at Jaccard 0.83, and lets in 0.01 at Jaccard 0.7. A band
+# of three least hashes agrees with probability 0.8 ** 3, and one of eight bands with 0.997.
+# Texts without common shingles never share a band, so a bucket grows with its group of
+# copies and not with the corpus.
+SIMILAR = Search(5, 1024, 166, bands=8)
+
+# Shingles of one text that are mixed together.
+SHINGLES_AT_ONCE = 4096
+_BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
+
+
+def _mixed(h: np.ndarray, turns: range) -> np.ndarray:
+    """Other 64 bits out of each 64-bit hash, a row per turn; turn 0 leaves it as it is."""
+    if turns == range(1):
+        return h[None, :]
+    steps = np.array([0x9E3779B97F4A7C15 * turn % 2**64 for turn in turns], np.uint64)
     with np.errstate(over="ignore"):
-        h = h + np.uint64(0x9E3779B97F4A7C15 * turn % 2**64)
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return h ^ (h >> np.uint64(31))
+        x = h + steps[:, None]
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    x[steps == 0] = h
+    return x
 
 
-def fingerprint(text: str | None, words: int, bits: int) -> bytes:
-    """The fingerprint of a whole text; of a text without words, zero."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 of each shingle of a whole text, repeats included."""
     tokens = (text or "").encode().lower().split()  # on bytes: A-Z and ASCII white space only
     if not tokens:
-        return bytes(bits // 8)
+        return np.zeros(0, np.uint64)
     line = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1]).tolist()
     last = ends[min(words, len(tokens)) - 1 :].tolist()
     digest = xxhash.xxh64_digest
-    hashes = np.frombuffer(
+    return np.frombuffer(
         b"".join([digest(line[a:b], SEED) for a, b in zip(starts, last, strict=False)]), ">u8"
     ).astype(np.uint64)
-    out = []
-    for turn in range(bits // 64):
-        octets = _mixed(hashes, turn).astype(">u8").view(np.uint8).reshape(-1, 8)
-        seen = np.bincount((octets + np.arange(8) * 256).ravel(), minlength=2048).reshape(8, 256)
-        out.append(np.packbits((seen @ _BYTE_BITS).ravel() * 2 > len(hashes)).tobytes())
-    return b"".join(out)
+
+
+def _majority(hashes: np.ndarray, bits: int) -> bytes:
+    """The bits set in more than half of the hashes; of no hashes, zero.
+
+    All bytes are counted by place and value, and the values' bits weighed afterwards.
+    """
+    octets = bits // 8
+    seen = np.zeros(octets * 256)
+    for start in range(0, len(hashes), SHINGLES_AT_ONCE):
+        some = _mixed(hashes[start : start + SHINGLES_AT_ONCE], range(bits // 64))
+        value = some.astype(">u8").view(np.uint8).reshape(bits // 64, -1, 8)
+        place = value + (np.arange(octets) * 256).reshape(bits // 64, 1, 8)
+        seen += np.bincount(place.ravel(), minlength=octets * 256)
+    return np.packbits((seen.reshape(octets, 256) @ _BYTE_BITS).ravel() * 2 > len(hashes)).tobytes()
+
+
+def fingerprint(text: str | None, words: int, bits: int) -> bytes:
+    """The fingerprint of a whole text; of a text without words, zero."""
+    return _majority(shingle_hashes(text, words), bits)
+
+
+def _bands(hashes: np.ndarray, search: Search) -> list[int]:
+    """The text's bands; a text without words has none, and its fingerprint is zero."""
+    if not search.bands or not len(hashes):
+        return []
+    first, rows = search.bits // 64, search.band_rows
+    turns = range(first, first + search.bands * rows)
+    least = np.min(
+        [_mixed(hashes[a : a + SHINGLES_AT_ONCE], turns).min(axis=1) for a in range(0, len(hashes), SHINGLES_AT_ONCE)],
+        axis=0,
+    )
+    return [
+        xxhash.xxh64_intdigest(least[band * rows : (band + 1) * rows].tobytes(), band) - 2**63
+        for band in range(search.bands)
+    ]
 
 
 def fingerprints(docs: DataFrame, search: Search) -> DataFrame:
-    """``(doc_id, text_hash, fp)`` of each row; ``text_hash`` tells rows of one id apart."""
-    words, bits = search.words, search.bits
+    """``(doc_id, text_hash, fp, bands)`` of each row; ``text_hash`` tells rows of one id apart."""
 
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            yield pd.Series([fingerprint(t, words, bits) for t in batch])
+            fps, bands = [], []
+            for text in batch:
+                hashes = shingle_hashes(text, search.words)
+                fps.append(_majority(hashes, search.bits))
+                bands.append(_bands(hashes, search))
+            yield pd.DataFrame({"fp": fps, "bands": bands})
 
-    return docs.select("doc_id", _text_hash(docs).alias("text_hash"), F.pandas_udf(of, "binary")(F.col("text")).alias("fp"))
+    made = F.pandas_udf(of, "fp binary, bands array<long>")(F.col("text"))
+    return docs.select("doc_id", _text_hash(docs).alias("text_hash"), made.alias("made")).select("doc_id", "text_hash", "made.*")
 
 
 def _text_hash(docs: DataFrame) -> Column:
@@ -222,7 +267,11 @@ def _grouped(docs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
     on_workers(docs.sparkSession)
     rows = stored(fingerprints(docs, search))
     classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    keyed = classes.select("fp").mapInPandas(_with_keys(search), "key long, fp binary")
+    if search.bands:
+        # Texts of one fingerprint may differ, so each keeps its bands.
+        keyed = rows.select(F.explode("bands").alias("key"), "fp").distinct()
+    else:
+        keyed = classes.select("fp").mapInPandas(_with_keys(search), "key long, fp binary")
     parts = by_part(dealt(keyed, "key", "fp", BUCKET_ROWS), "key", "fp")
     links = parts.mapInPandas(_links(search.radius), "a binary, b binary")
     roots = components(links)

@@ -155,3 +155,20 @@ def test_fingerprint_agrees_with_spark_hash(spark):
     row = spark.range(1).select(F.xxhash64(F.lit("one two")).alias("h")).first()
     assert plain_fingerprint("one two") == row.h % 2**64
     assert int.from_bytes(simhash.fingerprint("One two", 4, 64), "big") == row.h % 2**64
+
+
+def test_many_bits_and_chunks(monkeypatch):
+    """The wide fingerprint against counting bit by bit, and the same whatever the chunk."""
+    text = " ".join(f"w{i % 37} v{i % 11}" for i in range(150))
+    hashes = simhash.shingle_hashes(text, 5)
+    bits = "".join(
+        str(int(2 * sum(int(h) >> place & 1 for h in simhash._mixed(hashes, range(turn, turn + 1))[0]) > len(hashes)))
+        for turn in range(16)
+        for place in range(63, -1, -1)
+    )
+    expected, bands = int(bits, 2).to_bytes(128, "big"), simhash._bands(hashes, simhash.SIMILAR)
+    assert simhash.fingerprint(text, 5, 1024) == expected
+    monkeypatch.setattr(simhash, "SHINGLES_AT_ONCE", 7)
+    assert simhash.fingerprint(text, 5, 1024) == expected
+    assert simhash._bands(hashes, simhash.SIMILAR) == bands and len(set(bands)) == 8
+    assert simhash._bands(simhash.shingle_hashes(" \t", 5), simhash.SIMILAR) == []
