@@ -189,13 +189,18 @@ def _exceeding(counter: list[np.ndarray], over: np.ndarray, radius: int) -> np.n
 
 
 def near_pairs(
-    octets: np.ndarray, group: np.ndarray, radius: int, own: np.ndarray | None = None
+    octets: np.ndarray,
+    group: np.ndarray,
+    radius: int,
+    own: np.ndarray | None = None,
+    tree: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows ``p`` and ``p + d`` of one group within ``radius`` bits, for d = 1, 2, ...
 
     ``octets`` holds a fingerprint per row, ``group`` ascending numbers. Rows with the same
     ``own`` are not compared where their group's part says so, which is when ``own`` is given
-    as a value of 0 or more.
+    as a value of 0 or more. Rows with the same ``tree`` are known to be linked and not
+    compared either; the caller may change it between two steps.
     """
     n = len(octets)
     lanes = -(-n // 64) * 64
@@ -211,6 +216,8 @@ def near_pairs(
             return
         if own is not None:
             alive[: n - d] &= (own[d:] < 0) | (own[d:] != own[:-d])
+        if tree is not None:
+            alive[: n - d] &= tree[d:] != tree[:-d]
         lane = np.packbits(alive, bitorder="little").view(np.uint64)
         live = np.flatnonzero(lane)
         if not len(live):
@@ -252,8 +259,11 @@ def _links(radius: int):
             # Where two pieces meet, a piece's own rows have met before.
             own = np.where(frame["part_a"] == frame["part_b"], -1, frame["own"])
             forest = Forest(len(frame))
-            for a, b in near_pairs(octets, group_numbers(frame, keys), radius, own):
+            every = np.arange(len(frame))
+            tree = every.copy()
+            for a, b in near_pairs(octets, group_numbers(frame, keys), radius, own, tree):
                 forest.join(a, b)
+                tree[:] = forest.roots(every)
             child, root = forest.edges()
             if len(child):
                 fp = frame["fp"].to_numpy()
