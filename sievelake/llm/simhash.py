@@ -33,6 +33,8 @@ from sievelake.llm.common import (
 SEED = 42
 BUCKET_ROWS = 4096
 PLANES_AT_ONCE = 8
+# Pairs of rows whose distances grow together.
+LANES_AT_ONCE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -195,7 +197,7 @@ def near_pairs(
     own: np.ndarray | None = None,
     tree: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows ``p`` and ``p + d`` of one group within ``radius`` bits, for d = 1, 2, ...
+    """Rows ``p`` and ``p + d`` of one group within ``radius`` bits, several d at a time.
 
     ``octets`` holds a fingerprint per row, ``group`` ascending numbers. Rows with the same
     ``own`` are not compared where their group's part says so, which is when ``own`` is given
@@ -208,30 +210,41 @@ def near_pairs(
     bits[:, :n] = np.unpackbits(octets, axis=1).T
     packed = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
     planes = packed[:, : lanes // 64]
+    width = packed.shape[1]
     places = radius.bit_length()
-    for d in range(1, n):
-        alive = np.zeros(lanes, np.uint8)
-        alive[: n - d] = group[d:] == group[:-d]
-        if not alive.any():
+    d = 1
+    while d < n:
+        # Several distances in the list at once, few at first: they connect most copies.
+        steps = np.arange(d, min(n, d + max(1, min(d, LANES_AT_ONCE // lanes))))
+        d += len(steps)
+        lane = np.zeros((len(steps), lanes // 64), np.uint64)
+        together = False
+        for number, step in enumerate(steps.tolist()):
+            alive = np.zeros(lanes, np.uint8)
+            alive[: n - step] = group[step:] == group[:-step]
+            if not alive.any():
+                break
+            together = True
+            if own is not None:
+                alive[: n - step] &= (own[step:] < 0) | (own[step:] != own[:-step])
+            if tree is not None:
+                alive[: n - step] &= tree[step:] != tree[:-step]
+            lane[number] = np.packbits(alive, bitorder="little").view(np.uint64)
+        if not together:
             return
-        if own is not None:
-            alive[: n - d] &= (own[d:] < 0) | (own[d:] != own[:-d])
-        if tree is not None:
-            alive[: n - d] &= tree[d:] != tree[:-d]
-        lane = np.packbits(alive, bitorder="little").view(np.uint64)
-        live = np.flatnonzero(lane)
+        number, live = np.nonzero(lane)
         if not len(live):
             continue
-        skip, turn = divmod(d, 64)
-        width = packed.shape[1]
-        low, high = np.minimum(live + skip, width - 1), np.minimum(live + skip + 1, width - 1)
+        by = steps[number]
+        turn = (by % 64).astype(np.uint64)
+        low = np.minimum(live + by // 64, width - 1)
+        high = np.minimum(low + 1, width - 1)
         counter = [np.zeros(len(live), np.uint64) for _ in range(places)]
-        over = ~lane[live]
+        over = ~lane[number, live]
         for start in range(0, len(planes), PLANES_AT_ONCE):
             rows = slice(start, start + PLANES_AT_ONCE)
-            other = packed[rows, low] >> np.uint64(turn)
-            if turn:
-                other |= packed[rows, high] << np.uint64(64 - turn)
+            # Shifted by 64 - turn in two parts, as a shift by 64 is none.
+            other = packed[rows, low] >> turn | packed[rows, high] << np.uint64(1) << (np.uint64(63) - turn)
             for carry in planes[rows, live] ^ other:
                 for place in range(places):
                     count = counter[place]
@@ -241,13 +254,14 @@ def near_pairs(
             keep = np.flatnonzero(~over)
             if len(keep) < len(live):
                 live, low, high, over = live[keep], low[keep], high[keep], over[keep]
+                by, turn = by[keep], turn[keep]
                 counter = [c[keep] for c in counter]
             if not len(live):
                 break
         if len(live):
             word, bit = np.nonzero(np.unpackbits((~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
             p = live[word] * 64 + bit
-            yield p, p + d
+            yield p, p + by[word]
 
 
 def _links(radius: int):
