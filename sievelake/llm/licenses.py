@@ -1,8 +1,9 @@
 """License scan by sentence rules.
 
-A text is cut into normalised sentences. Known licence sentences get their identifiers, and
-the identifiers, in the order of the text, are matched against ordered rules. All of it is
-one expression on the row: no shuffle, no Python.
+Sentence ends and line breaks of a text are marked and its words normalised. Known licence
+sentences, which may go on over line breaks, colons and semicolons, get their identifiers,
+and the identifiers, in the order of the text, are matched against ordered rules. All of it
+is one expression on the row: no shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievelake.llm.common import ascii_lower
+from sievelake.llm.common import LOWER, UPPER
 
 # Well-known licence sentences, normalised: lower case, words of letters,
 # digits and plus signs, with one space between.
@@ -55,16 +56,44 @@ RULES = [
     ("LicenseRef-all-rights-reserved", ["reserved"]),
 ]
 
+_COPY, _AS_IS = SENTENCES["apache-copy"], SENTENCES["apache-as-is"]
+_COPY_HTTPS = _COPY.replace(" http ", " https ")
+# Other wordings of known sentences, and what they state. Where a notice is
+# written without line breaks, nothing ends the sentence with the URL.
+WORDINGS = {
+    SENTENCES["apache-header"] + " the license": ["apache-header"],
+    _COPY_HTTPS: ["apache-copy"],
+    f"{_COPY} {_AS_IS}": ["apache-copy", "apache-as-is"],
+    f"{_COPY_HTTPS} {_AS_IS}": ["apache-copy", "apache-as-is"],
+}
+
 # A sentence ends at a line break, or at . ! ? ; : before white space or the end.
 BREAK = r"[\x0A\x0D]+|[.!?;:]+(?:[\x09\x0A\x0D\x20]+|$)"
 NOT_WORD = r"[^a-z0-9+]+"
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text in order, empty ones left out."""
-    cut = F.split(ascii_lower(text), BREAK)
-    plain = F.transform(cut, lambda s: F.trim(F.regexp_replace(s, NOT_WORD, " ")))
-    return F.filter(plain, lambda s: s != "")
+# The same ends, once line breaks are marks L and R: a colon or semicolon alone, any other.
+PAUSE = r"(?<![.!?;:])[;:]++(?:[\x09\x20LR]+|$)"
+END = r"[.!?;:]++(?:[\x09\x20LR]+|$)"
+NOT_WORD_OR_MARK = r"[^a-z0-9+HLRS]+"
+# Between two words of one sentence: a space, a pause or one line break; before a URL any number.
+GAP, URL_GAP = "(?: ?(?:RL|[SLR]) ?| )", "[ SLR]+"
+
+
+def _marked(text: Column) -> Column:
+    """The normalised words of a text between marks: H for an end of a sentence, S for a
+    colon or semicolon, L and R for a line break. Capitals are free, as the text has none."""
+    lower = F.translate(text, UPPER + "\n\r", LOWER + "LR")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(lower, PAUSE, "S"), END, "H"), NOT_WORD_OR_MARK, " ")
+
+
+def _pattern(known: list[str]) -> str:
+    """Any of the known sentences from one mark to another, the longest first."""
+    found = []
+    for sentence in sorted(known, key=len, reverse=True):
+        first, *rest = map(re.escape, sentence.split(" "))
+        found.append(first + "".join((URL_GAP if w in ("http", "https") else GAP) + w for w in rest))
+    return f"(?:^|[HLRS]) ?({'|'.join(found)})(?= ?(?:[HLRS]|$))"
 
 
 def scan(
@@ -78,19 +107,27 @@ def scan(
     comma-joined; unknown sentences between them are skipped. A rule matches where its
     identifiers follow each other in that sequence; ``licenses`` are the licences of all
     rules that match, sorted and comma-joined. Null and empty texts have no sentences and
-    empty strings. A sentence that goes on over a line break is not known. Repeated rows
-    are scanned each; other columns are ignored.
+    empty strings. A known sentence may be broken over lines of one paragraph and may hold
+    colons and semicolons; it begins and ends where the text's sentences or lines do. Where
+    known sentences overlap, the first counts, and the longest of those that begin there.
+    Repeated rows are scanned each; other columns are ignored.
     """
+    wordings = WORDINGS if known is None else {}
     known = SENTENCES if known is None else known
     rules = RULES if rules is None else rules
     for sentence in known.values():
         if sentence != re.sub(NOT_WORD, " ", sentence).strip():
             raise ValueError(f"not a normalised sentence: {sentence!r}")
-    number = {s: i for i, s in known.items()}
-    found = F.filter(sentences(F.col("text")), lambda s: s.isin(list(number)))
-    names = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])
-    rows = docs.select("doc_id", F.coalesce(found, F.array().cast("array<string>")).alias("hits"))
-    rows = rows.select("doc_id", F.transform("hits", lambda s: F.element_at(names, s)).alias("ids"))
+    number = {s: i for i, s in known.items() if s} | {s: ",".join(ids) for s, ids in wordings.items()}
+    none = F.array().cast("array<string>")
+    if number:
+        found = F.regexp_extract_all(_marked(F.col("text")), F.lit(_pattern(list(number))), F.lit(1))
+        names = F.create_map(*[F.lit(x) for pair in number.items() for x in pair])
+        ids = F.transform(found, lambda s: F.split(F.element_at(names, F.regexp_replace(s, "[ LRS]+", " ")), ","))
+        ids = F.coalesce(F.flatten(ids), none)
+    else:
+        ids = none
+    rows = docs.select("doc_id", ids.alias("ids"))
     padded = F.concat(F.lit(","), F.array_join("ids", ","), F.lit(","))
     licenses = F.array_sort(
         F.array_distinct(

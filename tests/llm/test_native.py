@@ -84,6 +84,81 @@ def test_licenses(spark):
     assert scanned(spark, []) == []
 
 
+APACHE = """Copyright 2020 A. Author
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE"""
+BSD = """1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details."""
+
+
+@pytest.mark.parametrize("layout", ["as is", "commented", "windows", "one line"])
+def test_standard_notices(spark, layout):
+    def laid(text):
+        if layout == "commented":
+            return "\n".join(f" * {line}".rstrip() for line in text.split("\n"))
+        return text.replace("\n", "\r\n") if layout == "windows" else " ".join(text.split()) if layout == "one line" else text
+
+    # On one line the author's name and the notice are one sentence, so it starts without it.
+    apache = APACHE.split("\n\n", 1)[1] if layout == "one line" else APACHE
+    mit = MIT.split("\n\n", 1)[1] if layout == "one line" else MIT
+    ecl = apache.replace("Apache", "Educational Community").replace("www.apache.org", "opensource.org")
+    found = scanned(spark, [laid(t) for t in (apache, apache.replace("http:", "https:"), mit, BSD, GPL, ecl)])
+    assert [r[0] for r in found[:5]] == [4, 4, 3, 3, 2]
+    assert [r[1] for r in found] == ["Apache-2.0", "Apache-2.0", "MIT", "BSD-2-Clause,BSD-3-Clause", "GPL-3.0-or-later", ""]
+
+
+def test_sentences_end_at_paragraphs_and_full_stops(spark):
+    texts = ["All\nrights\nreserved", "All\n\nrights reserved", "All. Rights reserved", "All\r\nrights: reserved;", "x all\nrights reserved", "all rights\nreserved x"]
+    assert [r[0] for r in scanned(spark, texts)] == [1, 0, 0, 1, 0, 0]
+
+
+def test_every_rule_can_match(spark):
+    texts = [". ".join(licenses.SENTENCES[i] for i in ids) for _, ids in licenses.RULES]
+    assert all(name in found[1].split(",") for (name, _), found in zip(licenses.RULES, scanned(spark, texts), strict=True))
+
+
 def test_rules_are_ordered_and_in_a_row(spark):
     known, rules = {"a": "one", "b": "two", "c": "three"}, [("AB", ["a", "b"]), ("ABC", ["a", "b", "c"])]
     texts = ["One. Two.", "One. Other words. Two! Three", "Two. One.", "One. Three. Two."]
