@@ -82,19 +82,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def dealt(rows: DataFrame, key: str, order: str, limit: int) -> DataFrame:
+def dealt(rows: DataFrame, key: str, order: str, limit: int, weight: str | None = None) -> DataFrame:
     """``rows`` of keys that occur at least twice, with columns ``part_a, part_b, own``.
 
     The rows of a key are cut by a hash of ``order`` into pieces of about ``limit`` rows,
-    and each two pieces meet in one part. Two rows of a key meet in one part only: that of
+    or of rows whose ``weight`` adds up to about ``limit``, and each two pieces meet in one part. Two rows of a key meet in one part only: that of
     their piece if ``part_a = part_b``, else that where their ``own`` differ. So a hot key
     becomes many tasks of bounded size, and no pair of rows is lost.
     """
     sizes = (
         rows.groupBy(key)
-        .agg(F.count("*").alias("_n"))
+        .agg(F.count("*").alias("_n"), (F.sum(weight) if weight else F.count("*")).alias("_load"))
         .filter("_n > 1")
-        .select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_pieces"))
+        .select(key, F.ceil(F.col("_load") / limit).cast("int").alias("_pieces"))
     )
     piece = F.pmod(F.xxhash64(F.col(order)), F.col("_pieces")).cast("int")
     return (

@@ -5,6 +5,9 @@ hashes of their shingles, meet in a bucket. There their bits
 are stored as vertical planes, one bit of 64 neighbours in each machine word, and the
 distances of 64 pairs grow together in carry-save counters. A word of pairs is abandoned as
 soon as all of its distances exceed the radius.
+
+With a similarity, near fingerprints are only candidates. Every text that has one is compared
+with its whole family of candidates, and linked where the sets of shingle hashes are so alike.
 """
 
 from __future__ import annotations
@@ -32,6 +35,10 @@ from sievelake.llm.common import (
 
 SEED = 42
 BUCKET_ROWS = 4096
+# A row of a family counts once more for each so many shingles that it brings along.
+FAMILY_SHINGLES = 512
+# Shingle hashes of pairs that are verified together.
+VERIFIED_AT_ONCE = 1 << 21
 PLANES_AT_ONCE = 8
 # Pairs of rows whose distances grow together.
 LANES_AT_ONCE = 1 << 18
@@ -43,7 +50,9 @@ class Search:
 
     ``keys`` are bit ranges ``(first, last + 1)`` counted from the highest bit; a bucket is
     one of ``keys`` with its value. With ``bands``, a bucket is instead one of so many bands
-    with the least hashes of ``band_rows`` orders of the text's shingles.
+    with the least hashes of ``band_rows`` orders of the text's shingles. With a ``similarity``
+    in thousandths, fingerprints are of distinct shingles, and texts are linked whose sets of
+    shingles have at least that Jaccard similarity; ``radius`` then bounds the candidates.
     """
 
     words: int = 4
@@ -52,6 +61,7 @@ class Search:
     keys: tuple[tuple[tuple[int, int], ...], ...] = field(default=())
     bands: int = 0
     band_rows: int = 3
+    similarity: int = 0
 
 
 def exact_search(words: int = 4, radius: int = 4, spare: int = 2) -> Search:
@@ -66,12 +76,13 @@ def exact_search(words: int = 4, radius: int = 4, spare: int = 2) -> Search:
 
 
 # Five words and a similarity of 0.8. Two texts whose shingle sets have Jaccard 0.8 have a
-# cosine of 0.89 and differ in 15 % of the bits: 155 of 1024, give or take 11. The radius of
-# 166 takes 0.84 of them, and 0.99 at Jaccard 0.83, and lets in 0.01 at Jaccard 0.7. A band
-# of three least hashes agrees with probability 0.8 ** 3, and one of eight bands with 0.997.
-# Texts without common shingles never share a band, so a bucket grows with its group of
-# copies and not with the corpus.
-SIMILAR = Search(5, 1024, 166, bands=8)
+# cosine of 0.89 and differ in 15 % of the bits: 155 of 1024, give or take 11, and sets of
+# four and five shingles in 192, give or take 12. The radius takes three times that and more,
+# so it loses less than 0.001 of the pairs; what is too far apart is told by the sets
+# themselves. A band of two least hashes agrees with probability 0.8 ** 2, and one of eight
+# bands with 0.9997. Texts without common shingles never share a band, so a bucket grows with
+# its group of copies and not with the corpus.
+SIMILAR = Search(5, 1024, 232, bands=8, band_rows=2, similarity=800)
 
 # Shingles of one text that are mixed together.
 SHINGLES_AT_ONCE = 4096
@@ -151,6 +162,8 @@ def fingerprints(docs: DataFrame, search: Search) -> DataFrame:
             fps, bands = [], []
             for text in batch:
                 hashes = shingle_hashes(text, search.words)
+                if search.similarity:
+                    hashes = np.unique(hashes)
                 fps.append(_majority(hashes, search.bits))
                 bands.append(_bands(hashes, search))
             yield pd.DataFrame({"fp": fps, "bands": bands})
@@ -286,6 +299,80 @@ def _links(radius: int):
     return link
 
 
+def _alike(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, similarity: int) -> np.ndarray:
+    """Which pairs of sets, given as ascending numbers, have that Jaccard similarity."""
+    sizes = np.array([len(sets[i]) for i in (*a, *b)]).reshape(2, -1)
+    pair = np.repeat(np.tile(np.arange(len(a)), 2), sizes.ravel())
+    value = np.concatenate([sets[i] for i in (*a, *b)])
+    # A number that a pair has twice stands next to itself.
+    order = np.lexsort((value, pair))
+    pair, value = pair[order], value[order]
+    twice = (value[1:] == value[:-1]) & (pair[1:] == pair[:-1])
+    common = np.bincount(pair[1:][twice], minlength=len(a))
+    return common * 1000 >= similarity * (sizes.sum(axis=0) - common)
+
+
+def _verified_links(search: Search):
+    """Links of texts of a family that are as alike as asked for: a spanning forest."""
+    keys = ["root", "part_a", "part_b"]
+
+    def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in whole_groups(frames, keys):
+            octets = np.frombuffer(b"".join(frame["fp"]), np.uint8).reshape(len(frame), -1)
+            own = np.where(frame["part_a"] == frame["part_b"], -1, frame["own"])
+            sets = [np.frombuffer(s, np.uint64) for s in frame["shingles"]]
+            size = np.array([len(s) for s in sets])
+            forest = Forest(len(frame))
+            every = np.arange(len(frame))
+            tree = every.copy()
+            for a, b in near_pairs(octets, group_numbers(frame, keys), search.radius, own, tree):
+                # Sets of too different sizes cannot be alike.
+                fits = np.minimum(size[a], size[b]) * 1000 >= search.similarity * np.maximum(size[a], size[b])
+                a, b = a[fits], b[fits]
+                while len(a):
+                    apart = tree[a] != tree[b]
+                    a, b = a[apart], b[apart]
+                    # A part at a time: pairs that link spare the comparison of others.
+                    n = max(1, int(np.searchsorted(np.cumsum(size[a] + size[b]), VERIFIED_AT_ONCE)))
+                    some_a, some_b = a[:n], b[:n]
+                    a, b = a[n:], b[n:]
+                    if len(some_a):
+                        told = _alike(sets, some_a, some_b, search.similarity)
+                        if told.any():
+                            forest.join(some_a[told], some_b[told])
+                            tree[:] = forest.roots(every)
+            child, root = forest.edges()
+            if len(child):
+                fp = frame["fp"].to_numpy()
+                yield pd.DataFrame({"a": fp[child], "b": fp[root]})
+
+    return link
+
+
+def _verified(docs: DataFrame, rows: DataFrame, links: DataFrame, search: Search) -> DataFrame:
+    """The links between texts alike, of the families that ``links`` between near fingerprints make.
+
+    A text's shingles travel once to its family, and again for each piece that a large
+    family is dealt in.
+    """
+    family = stored(components(links))
+    one = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("one"))
+    one = one.join(family, one["fp"] == family["node"]).select(
+        F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")
+    )
+    found = docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_hash(docs) == F.col("_hash"))
+    texts = docs.join(one, found).select(F.col("_fp").alias("fp"), F.col("_root").alias("root"), docs["text"]).dropDuplicates(["fp"])
+
+    def sets(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([np.unique(shingle_hashes(text, search.words)).tobytes() for text in batch])
+
+    brought = stored(texts.select("fp", "root", F.pandas_udf(sets, "binary")(F.col("text")).alias("shingles")))
+    weighed = brought.withColumn("weight", 1 + F.floor(F.length("shingles") / (8 * FAMILY_SHINGLES)))
+    parts = by_part(dealt(weighed, "root", "fp", BUCKET_ROWS, "weight"), "root", "fp")
+    return parts.mapInPandas(_verified_links(search), "a binary, b binary")
+
+
 def _grouped(docs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, text_hash, fp)`` of each row and ``(fp, root, component_id)`` of each ``fp``."""
     on_workers(docs.sparkSession)
@@ -298,6 +385,8 @@ def _grouped(docs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
         keyed = classes.select("fp").mapInPandas(_with_keys(search), "key long, fp binary")
     parts = by_part(dealt(keyed, "key", "fp", BUCKET_ROWS), "key", "fp")
     links = parts.mapInPandas(_links(search.radius), "a binary, b binary")
+    if search.similarity:
+        links = _verified(docs, rows, links, search)
     roots = components(links)
     linked = roots.join(classes, roots["node"] == classes["fp"]).select("root", "fp", "first_id")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component"))
@@ -320,7 +409,8 @@ def near_duplicates(docs: DataFrame, search: Search | None = None) -> DataFrame:
     Equal fingerprints are compared once, whatever the number of their documents. Repeated
     rows are kept; other columns are ignored.
 
-    A bucket of more than ``BUCKET_ROWS`` fingerprints is dealt out in pairs of pieces. A
+    With a similarity, the fingerprint is of distinct shingles, and it is the texts that are
+    compared, one for each fingerprint. A bucket of more than ``BUCKET_ROWS`` fingerprints is dealt out in pairs of pieces. A
     bucket hands on the edges of a spanning forest only.
     """
     rows, classes = _grouped(docs, search or exact_search())

@@ -151,6 +151,74 @@ def test_similar_search_finds_planted_copies_and_no_others(spark):
     assert len(gone) >= 0.97 * len(pairs)
 
 
+def border_texts():
+    """Texts in families whose shingle sets are 0.75 to 0.85 alike, short ones among them."""
+    rng = random.Random(21)
+    out = []
+    for family in range(90):
+        n = rng.choice([8, 9, 30, 60, 150, 500])
+        words = [f"f{family}w{k}" for k in range(n)]
+        out.append(" ".join(words))
+        for copy in range(3):
+            # k words cut off the end leave (n - 4 - k) of n - 4 shingles.
+            if copy == 0:
+                out.append(" ".join(words[: n - round((n - 4) * rng.uniform(0.15, 0.25))]))
+            else:
+                changed = list(words)
+                changed[n - round((n - 4) * rng.uniform(0.08, 0.14)) :] = [f"f{family}c{copy}x{k}" for k in range(rng.choice([1, n // 10]))]
+                out.append(" ".join(changed))
+    # A line that outweighs the rest: the same majority of shingles, quite different sets.
+    for family in range(5):
+        line = "one line again and again "
+        out += [line * 400 + " ".join(f"g{family}{side}{k}" for k in range(100)) for side in "ab"]
+    return out
+
+
+def jaccard_groups(texts, words=5):
+    sets = []
+    for t in texts:
+        tokens = t.lower().split()
+        sets.append({tuple(tokens[i : i + words]) for i in range(max(1, len(tokens) - words + 1))})
+    parent = list(range(len(texts)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    border = 0
+    for i in range(len(sets)):
+        for j in range(i + 1, len(sets)):
+            common = len(sets[i] & sets[j])
+            whole = len(sets[i] | sets[j])
+            border += 0.75 <= common / whole <= 0.85
+            if common * 10 >= whole * 8:
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return [root(i) for i in range(len(texts))], border
+
+
+@pytest.mark.parametrize("bucket", [4096, 3])
+def test_similar_search_equals_brute_force_at_the_border(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", bucket)
+    texts = border_texts()
+    expected, border = jaccard_groups(texts)
+    assert border > 100 and 0.2 * len(texts) < len(set(expected)) < 0.9 * len(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, simhash.SIMILAR).collect()}
+    assert [found[i] for i in range(len(texts))] == expected
+    kept = {r.doc_id for r in simhash.one_of_each_group(docs, simhash.SIMILAR).collect()}
+    assert kept == set(expected)
+
+
+def test_pipeline_stage_keeps_what_is_not_alike(spark):
+    import corpus_pipeline
+
+    texts = border_texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()} == set(jaccard_groups(texts)[0])
+
+
 def test_fingerprint_agrees_with_spark_hash(spark):
     row = spark.range(1).select(F.xxhash64(F.lit("one two")).alias("h")).first()
     assert plain_fingerprint("one two") == row.h % 2**64
