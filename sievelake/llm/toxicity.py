@@ -51,6 +51,10 @@ PLAIN = re.compile(r"[^\W\d_]+")
 STRETCHED = re.compile(r"(.)\1\1", re.S)
 RUN = re.compile(r"(.)\1*", re.S)
 BETWEEN = re.compile(r"[\W_]+")
+# Four or more equal characters mean what three do.
+SAME = re.compile(r"(.)\1{3,}", re.S)
+# Characters searched at once, and how many of them the next search takes again at least.
+WINDOW, SHARED = 80, 20
 
 
 def _symbol_table() -> np.ndarray:
@@ -144,6 +148,12 @@ def restore(text: str, model: np.ndarray, gaps: bool = False) -> str:
     return max(states.values())[1].strip()
 
 
+def windows(text: str, shared: int) -> list[str]:
+    """Parts of a text of any length, each with the last ``shared`` characters of the one before."""
+    step = max(WINDOW - shared, WINDOW // 2)
+    return [text[start : start + step + shared] for start in range(0, max(1, len(text) - shared), step)]
+
+
 def token_forms(token: str, model: np.ndarray) -> list[str]:
     """The words that a lower-case token may stand for."""
     if PLAIN.fullmatch(token) and not STRETCHED.search(token):
@@ -198,6 +208,7 @@ class Reader:
     def __init__(self, model: np.ndarray, known: set[str] | None = None):
         self.model, self.known = model, known
         self.words = [k[1:] for k in known or () if k[0] == "=" and len(k) > 4]
+        self.longest = max(map(len, self.words), default=0)
         self.seen: set[str] = set()
         self.hits: dict[str, frozenset] = {}
 
@@ -206,10 +217,12 @@ class Reader:
         return frozenset(found if self.known is None else found & self.known)
 
     def of_run(self, run: str) -> set[str]:
-        words = [w for start in range(0, len(run), 60) for w in restore(run[start : start + 80], self.model, gaps=True).split()]
-        joined = restore(run[:80], self.model)
-        found = features([*words, joined])
-        found.update("=" + w for w in self.words if w in joined)
+        run = SAME.sub(r"\1\1\1", run)
+        found: set[str] = set()
+        for window in windows(run, max(SHARED, 2 * self.longest)):
+            joined = restore(window, self.model)
+            found |= features([*restore(window, self.model, gaps=True).split(), joined])
+            found.update("=" + w for w in self.words if w in joined)
         return found if self.known is None else found & self.known
 
     def __call__(self, text: str | None) -> set[str]:

@@ -45,6 +45,25 @@ def test_restored_spellings_are_scored(model, text):
     assert model.score(reader(f"Anly the of {text} hend reand.")) >= 0.5
 
 
+@pytest.mark.parametrize("before", [0, 30, 61, 75, 200, 395])
+def test_words_of_a_long_passage_written_letter_by_letter_are_scored(model, before):
+    # Spaces are gone from such a passage, and letters that make no words hide where one starts.
+    reader = toxicity.Reader(model.characters, set(model.evidence))
+    letters = ("the reand hend anly of " * 30).replace(" ", "")[:before]
+    assert model.score(reader(" ".join(letters + "idiot" + letters[:40]))) >= 0.5
+    assert model.score(reader(" ".join(letters + letters[:40]))) < 0.5
+    joined = toxicity.Reader(model.characters, {"=zqxjk"})
+    assert joined(" ".join("qx" * (before // 2) + "zqxjk" + "xq" * 9)) == {"=zqxjk"}
+
+
+def test_windows_cover_a_text():
+    text = "".join(map(chr, range(200, 900)))
+    for shared in (20, 70, 200):
+        parts = toxicity.windows(text, shared)
+        assert all(any(text[i : i + shared] in p for p in parts) for i in range(len(text) - shared + 1))
+        assert toxicity.windows("", shared) == [""]
+
+
 @pytest.mark.parametrize("text", [None, "", "the and of 1984 in 3.5 % of a b c", "A$$$ enenat$$$ re%%%", "mail7@example.com AKIA44 192.168.0.1", "x " * 20_000])
 def test_clean_texts_stay_clean(model, text):
     reader = toxicity.Reader(model.characters, set(model.evidence))
