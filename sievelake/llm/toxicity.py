@@ -51,6 +51,7 @@ PLAIN = re.compile(r"[^\W\d_]+")
 STRETCHED = re.compile(r"(.)\1\1", re.S)
 RUN = re.compile(r"(.)\1*", re.S)
 BETWEEN = re.compile(r"[\W_]+")
+SEPARATORS = re.compile(rf"[^\w{re.escape(EDGE_SIGNS)}]+|_+")
 # Four or more equal characters mean what three do.
 SAME = re.compile(r"(.)\1{3,}", re.S)
 # Characters searched at once, and how many of them the next search takes again at least.
@@ -154,6 +155,18 @@ def windows(text: str, shared: int) -> list[str]:
     return [text[start : start + step + shared] for start in range(0, max(1, len(text) - shared), step)]
 
 
+def _may_be_word(text: str) -> bool:
+    """Numbers and addresses of signs alone hold no word; one letter is enough among signs
+    most of which stand for letters."""
+    letters = sum(map(str.isalpha, text))
+    return letters >= 2 or (letters == 1 and len(text) >= 3 and 2 * sum(c in SIGNS for c in text) > len(text) - 1)
+
+
+def _restored(text: str, model: np.ndarray) -> list[str]:
+    """The likeliest letters behind a text of any length, window by window."""
+    return [restore(part, model) for part in windows(SAME.sub(r"\1\1\1", text), SHARED)]
+
+
 def token_forms(token: str, model: np.ndarray) -> list[str]:
     """The words that a lower-case token may stand for."""
     if PLAIN.fullmatch(token) and not STRETCHED.search(token):
@@ -165,17 +178,16 @@ def token_forms(token: str, model: np.ndarray) -> list[str]:
     elif core:
         pieces = [p for p in BETWEEN.split(core) if p]
         forms.update(p for p in pieces if PLAIN.fullmatch(p))
-        # Numbers and addresses of signs alone hold no word.
-        if len(core) <= 40 and sum(map(str.isalpha, core)) >= 2:
-            forms.add(restore(core, model))
-            if len(pieces) > 1:
-                forms.add(restore("".join(pieces), model))
+        # The token as one word, without what separates its pieces, and each piece.
+        for text in {core, "".join(pieces), *pieces, *SEPARATORS.split(core)}:
+            if _may_be_word(text) and not (text in pieces and PLAIN.fullmatch(text) and not STRETCHED.search(text)):
+                forms.update(_restored(text, model))
     # One or two signs at an edge may stand for letters; more in a row do not.
     head = len(token) - len(token.lstrip(EDGE_SIGNS))
     tail = len(token) - len(token.rstrip(EDGE_SIGNS))
     whole = token[head if head > 2 else 0 : len(token) - (tail if tail > 2 else 0)]
-    if core and 3 <= len(whole) <= 40 and (whole[0] in EDGE_SIGNS or whole[-1] in EDGE_SIGNS):
-        forms.add(restore(whole, model))
+    if core and len(whole) >= 3 and (whole[0] in EDGE_SIGNS or whole[-1] in EDGE_SIGNS):
+        forms.update(_restored(whole, model))
     return [f for f in forms if f]
 
 

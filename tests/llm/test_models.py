@@ -56,6 +56,12 @@ def test_words_of_a_long_passage_written_letter_by_letter_are_scored(model, befo
     assert joined(" ".join("qx" * (before // 2) + "zqxjk" + "xq" * 9)) == {"=zqxjk"}
 
 
+@pytest.mark.parametrize("text", ["id" + "i" * 50 + "ot", "1d107", "m0" + "r" * 60 + "0n", "aaa-bbb/1d10t", "anly.hend_the-reand/of:and;m0r0n,which-is-more-than-forty-characters", "hend/$cum", "hend-" + "idi" + "o" * 50 + "t"])
+def test_restored_spellings_of_any_length_and_in_joined_tokens(model, text):
+    reader = toxicity.Reader(model.characters, {*model.evidence, "=scum"})
+    assert reader(f"Anly the of {text} hend reand.") & {"=idiot", "=moron", "=scum"}
+
+
 def test_windows_cover_a_text():
     text = "".join(map(chr, range(200, 900)))
     for shared in (20, 70, 200):
