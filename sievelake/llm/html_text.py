@@ -40,7 +40,8 @@ BLOCKS = frozenset(
 )
 # Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# A word of class, id or role that marks what is not main text.
+# Words of class, id or role that mark what is not main text. A name of such
+# words alone decides; a name with others, too, leaves the element open.
 MARKS = frozenset(
     "ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
     "cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice pagination popup "
@@ -48,6 +49,13 @@ MARKS = frozenset(
     "subscribe toolbar widget complementary contentinfo search alert".split()
 )
 ROLES_KEPT = frozenset({"main", "article"})
+# Marks that inside an article name its own heading, and marks of what holds
+# articles of others.
+HEADINGS = frozenset({"header", "masthead"})
+OF_OTHERS = frozenset(
+    "ad ads adv advert advertisement advertising comment comments disqus promo promotion related replies reply "
+    "respond sponsor sponsored".split()
+)
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -59,21 +67,30 @@ WORDS = re.compile(r"[a-z]+")
 # One pass per kind of raw element: from its start tag to its end tag.
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW}
 
-KEEP, OPEN, DROP = "keep", "open", "drop"
+# MARKED is dropped for its names only, so that the page's main text may stand below it.
+KEEP, OPEN, DROP, MARKED = "keep", "open", "drop", "marked"
 
 
-def _kind(tag: str, attrs: str) -> str | None:
+def _kind(tag: str, attrs: str, above: str) -> str | None:
     if tag in DROPPED:
         # A heading inside an article may stand in a <header>; the article's own is kept.
         return DROP
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attrs)} if "=" in attrs or "hidden" in attrs else {}
     if "hidden" in found or found.get("aria-hidden") == "true":
         return DROP
-    named = set(WORDS.findall(" ".join(found.get(k, "") for k in ("class", "id", "role")).lower()))
-    if named & MARKS and tag not in ("html", "body"):
-        return DROP
-    if tag in ("article", "main") or named & ROLES_KEPT:
+    names = " ".join(found.get(k, "") for k in ("class", "id", "role")).lower().split()
+    words = [set(WORDS.findall(name)) for name in names]
+    named = set().union(*words)
+    marks = MARKS - HEADINGS if above == KEEP else MARKS
+    sure = set().union(*[w for w in words if w <= marks])
+    if sure and tag not in ("html", "body"):
+        return DROP if sure & OF_OTHERS else MARKED
+    if tag in ("article", "main"):
         return KEEP
+    if named & marks and tag not in ("html", "body"):
+        return None if above in (DROP, MARKED) else OPEN
+    if named & ROLES_KEPT:
+        return KEEP if above != MARKED or found.get("role", "").lower() in ROLES_KEPT else None
     return None
 
 
@@ -88,7 +105,7 @@ def lines(page: str | None) -> list[tuple[str, str]]:
         if text:
             line = " ".join(html.unescape("".join(text)).split())
             text.clear()
-            if line and stack[-1][1] != DROP:
+            if line and stack[-1][1] not in (DROP, MARKED):
                 out.append((stack[-1][1], line))
 
     at = 0
@@ -119,7 +136,7 @@ def lines(page: str | None) -> list[tuple[str, str]]:
             continue
         if tag == "p" or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
             _close_implied(stack, tag)
-        kind = _kind(tag, token["attrs"])
+        kind = _kind(tag, token["attrs"], stack[-1][1])
         if tag == "header" and stack[-1][1] == KEEP:
             kind = None
         above = stack[-1][1]
@@ -131,7 +148,7 @@ def lines(page: str | None) -> list[tuple[str, str]]:
         stack.append((tag, now))
         if tag in RAW:
             end = RAW_END[tag].search(page, at)
-            if now != DROP:
+            if now not in (DROP, MARKED):
                 text.append(page[at : end.start() if end else len(page)])
             at = end.start() if end else len(page)
     end_line()
@@ -235,7 +252,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for each row of ``pages (page_id, url, html)``.
 
     Lines inside an article or main element are main text and elements that name
-    navigation, headers, footers, sidebars, notices, adverts, forms or comments are not.
+    navigation, headers, footers, sidebars, notices, adverts, forms or comments, and nothing
+    else in the same name, are not. An article or main element counts below one dropped for
+    its name, unless that names adverts, comments or related texts.
     Lines that the markup leaves open are main text unless they are shared, in order, with
     the page before or after by path on the same host. Pages with the same lines at the same
     path are one page there, and a page without an article is not compared with a neighbour

@@ -67,6 +67,24 @@ def test_markup_decides(spark):
     assert texts_of(spark, [("http://a.b/c", page)]) == ["Title & one Bold more inline x a<b éé 3 < 4 one two"]
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<div class='content with-sidebar'><article><p>Whole text</p></article></div>", "Whole text"),
+    ("<div id='page' class='has-sidebar'><div class='sidebar'>Side</div><p>Whole text</p></div>", "Whole text"),
+    ("<div class='sidebar'>Side<main>Whole text</main>Side</div>", "Whole text"),
+    ("<article><div class='entry-header'><h1>Title</h1></div><div class='header'>By me</div><p>Text</p></article>", "Title By me Text"),
+    ("<article>Text<div class='comments'><article>Reader</article></div><div class='ad'>Ad</div></article>", "Text"),
+    ("<div class='related'><article>Teaser</article></div><aside><article>Side</article></aside><p>Text", "Text"),
+    ("<div class='wide cookie-banner'>We use</div><div class='main' role='main'>Text</div>", "Text"),
+])
+def test_wrappers_do_not_take_the_article_with_them(page, text):
+    assert " ".join(line for _, line in html_text.lines(page)) == text
+
+
+def test_names_that_only_hold_a_mark_are_left_to_the_differencing():
+    page = "<div class='main-menu'>Menu</div><article>Text<div class='share-buttons'>Share</div></article>"
+    assert html_text.lines(page) == [("open", "Menu"), ("keep", "Text"), ("open", "Share")]
+
+
 def test_odd_pages(spark):
     pages = [(None, None), ("", ""), ("x", "no tags at all"), ("http://a/b", "<p>unclosed <b>text"), ("http://a/c", "<"), ("http://a/d", "<script>x"),
              ("http://a/e", "<p>" + "long text " * 30_000), ("http://a/f", "<article>a</article><article>b</article>"), ("http://a/g", "</p></div>x")]
