@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _own_folder: str | None = None
-_written: list = []
+_written: dict = {}
 _shipped: set[str] = set()
 
 
@@ -42,8 +42,16 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
-    _written.append((place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())))
-    return spark.read.schema(df.schema).parquet(path)
+    _written[path] = (place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()))
+    found = spark.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discarded(df: DataFrame) -> None:
+    """Deletes a table that ``stored`` returned, once nothing is to read it any more."""
+    place, system = _written.pop(df.stored_at)
+    system.delete(place, True)
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -65,7 +73,7 @@ def on_workers(spark: SparkSession) -> None:
 
 @atexit.register
 def _delete_written() -> None:
-    for place, system in _written:
+    for place, system in _written.values():
         try:
             system.delete(place, True)
         except Exception:  # the JVM may have ended before

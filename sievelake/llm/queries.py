@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievelake.llm import (
+    conversation_trie,
     decontamination,
     embeddings,
+    fill_middle,
     html_text,
+    language_id,
     licenses,
     mixing,
     quality,
@@ -93,6 +96,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.rearranged(_table(spark, sf_dir, "documents")))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"), family=5, shared=9)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash": op2_simhash,
@@ -104,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": op8_source_mix,
     "op9_decontamination": op9_decontamination,
     "op10_quality": op10_quality,
+    "op11_language_id": op11_language_id,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 
@@ -213,4 +231,67 @@ ORACLE: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM docs LEFT JOIN covered USING (row_id) LEFT JOIN named USING (row_id)
     """,
+    "op12_fill_middle": r"""
+        WITH cut AS (
+          SELECT doc_id, coalesce(text, '') AS text,
+                 regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w,
+                 sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest
+          FROM documents),
+        drawn AS (
+          SELECT *, len(w) AS n, list_transform([1, 9, 17, 25], lambda i: ('0x' || digest[i:i + 7])::BIGINT) AS h FROM cut),
+        ranked AS (
+          SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                        OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+          FROM drawn),
+        parts AS (
+          SELECT *, array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle,
+                 array_to_string(w[b + 1:], '') AS suffix
+          FROM ranked)
+        SELECT doc_id, n, form,
+               CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                 WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                 ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts
+    """,
+    # CRC-32 is spelled out: its table, then the decimal digits byte by byte.
+    "op13_conversation_trie": """
+        WITH turns AS (
+          SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+                 md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS key
+          FROM conversations WHERE conv_id IS NOT NULL),
+        whole AS (
+          SELECT conv_id, list(key ORDER BY turn NULLS FIRST, key) AS keys, list(bytes ORDER BY turn NULLS FIRST, key) AS sizes
+          FROM turns GROUP BY conv_id),
+        crc_steps AS (
+          SELECT list(list_reduce(range(8), lambda v, k: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, i)
+                   ORDER BY i) AS steps FROM range(256) r(i)),
+        drawn AS (
+          SELECT w.*, xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+                   lambda v, c: xor(steps[(xor(v, c) & 255) + 1], v >> 8), 4294967295), 4294967295) % 9 AS h
+          FROM whole w, crc_steps),
+        made AS (
+          SELECT d.conv_id, coalesce(b.keys[1:h], []) || d.keys[h + 1:] AS keys,
+                 coalesce(b.sizes[1:h], []) || d.sizes[h + 1:] AS sizes
+          FROM drawn d LEFT JOIN whole b ON b.conv_id = d.conv_id - d.conv_id % 5),
+        members AS (
+          SELECT conv_id, keys[1:d] AS path, coalesce(sizes[d], 0) AS bytes, d AS depth, d = len(keys) AS ends
+          FROM (SELECT *, unnest(range(0, len(keys) + 1)) AS d FROM made)),
+        nodes AS (
+          SELECT path, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(bytes) AS bytes,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+          FROM members GROUP BY path),
+        kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+        known AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (path)),
+        subtrees AS (
+          SELECT path[1:k] AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+                 sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+          FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM known) GROUP BY 1)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+        FROM known n JOIN subtrees USING (path)
+        LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+    """,
 }

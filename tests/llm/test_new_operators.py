@@ -1,0 +1,228 @@
+"""Language identification, fill-in-middle and the conversation trie against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sievelake.llm import conversation_trie, fill_middle, language_id, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+# Language identification
+
+
+def coded_by_hand(texts, window):
+    """PPM with escapes by the number of distinct symbols, and exclusion, out of dictionaries."""
+    contexts = defaultdict(Counter)
+    for text in texts:
+        data = b"   " + bytes(language_id.coded_bytes(text))
+        for i in range(3, len(data)):
+            for k in range(4):
+                contexts[data[i - k : i]][data[i]] += 1
+    gone, bits = set(), 0.0
+    for k in range(3, -1, -1):
+        context = bytes(window[3 - k : 3])
+        if context not in contexts:
+            continue
+        left = {s: n for s, n in contexts[context].items() if s not in gone}
+        total, distinct = sum(left.values()), len(left)
+        if window[3] in left:
+            return bits - np.log2(left[window[3]] / (total + distinct))
+        if distinct:
+            bits -= np.log2(distinct / (total + distinct))
+        gone |= set(left)
+    return bits + np.log2(256 - len(gone))
+
+
+def test_code_lengths_equal_brute_force_and_sum_to_one():
+    r = random.Random(0)
+    texts = ["".join(r.choice("abcde é") for _ in range(60)) for _ in range(10)]
+    grams, n = np.unique(np.concatenate([language_id.windows(language_id.coded_bytes(t)) for t in texts]), return_counts=True)
+    tree = language_id.Tree(grams, n.astype(float))
+    for i in range(200):
+        window = list(int(r.choice(grams)).to_bytes(4, "big")) if i % 2 else [r.choice(b"abcdefz \xc3\xa9") for _ in range(4)]
+        number = int.from_bytes(bytes(window), "big")
+        assert tree.bits(np.array([number], np.uint32))[0] == pytest.approx(coded_by_hand(texts, window))
+        every = np.array([(number & ~255) | s for s in range(256)], np.uint32)
+        assert np.exp2(-tree.bits(every)).sum() == pytest.approx(1)
+
+
+def test_lengths_do_not_depend_on_what_came_before():
+    texts = ["the cat sat on the mat", "a hat, a cat", "x" * 5000]
+    grams, n = np.unique(language_id.windows(language_id.coded_bytes(texts[0] * 3)), return_counts=True)
+    model = language_id.Model(("a", "b"), (grams, grams[:5]), (n.astype(float), n[:5].astype(float)))
+    seen = language_id.Coder(model)
+    for text in [*texts, *texts[::-1]]:
+        assert (seen.lengths(text) == language_id.Coder(model).lengths(text)).all()
+    whole = model.bits(language_id.windows(language_id.coded_bytes(texts[1]))).sum(axis=0)
+    assert np.allclose(seen.lengths(texts[1]), whole, atol=1e-3)
+
+
+def test_pieces_of_a_long_text_are_one_text():
+    text = "".join(random.Random(1).choices("ab é", k=(1 << 20) + 50))
+    data = language_id.coded_bytes(text)
+    grams, n = np.unique(language_id.windows(data)[:1000], return_counts=True)
+    model = language_id.Model(("a",), (grams,), (n.astype(float),))
+    every, times = np.unique(language_id.windows(data), return_counts=True)
+    assert language_id.Coder(model).lengths(text)[0] == pytest.approx((model.bits(every)[:, 0] * times).sum(), rel=1e-6)
+
+
+def test_languages_held_out(spark):
+    found = queries.op11_language_id(spark, SF).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert len(found) == len(docs)
+    asked = [r for r in found if r.held_out and docs[r.doc_id].lang and r.lang_pred != "und"]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
+    assert np.mean([r.lang_pred == docs[r.doc_id].lang for r in asked]) >= 0.97
+    assert all((r.lang_pred == "und") == (not any(c.isalpha() for c in docs[r.doc_id].text or "")) for r in found)
+
+
+def test_language_edges(spark):
+    schema = "doc_id long, text string, lang string, score string, n string"
+    rows = [(1, "ab ab", "x", "", ""), (2, "cd cd", "y", "", ""), (3, None, "x", "", ""), (4, "", "y", "", ""), (None, "ab", None, "", ""), (8, "12 %", "x", "", ""), (8, "cd " * 50_000, "y", "", "")]
+    found = language_id.identify(spark.createDataFrame(rows, schema)).collect()
+    assert [(r.lang_pred, r.score > 0) for r in sorted(found, key=lambda r: (r.doc_id or 0, r.lang_pred))] == [
+        ("x", True), ("x", True), ("y", True), ("und", False), ("und", False), ("und", False), ("y", True)
+    ]
+    unknown = spark.createDataFrame([(1, "ab", None, "", "")], schema)
+    assert [tuple(r) for r in language_id.identify(unknown).collect()] == [(1, False, "und", 0.0)]
+    assert language_id.identify(unknown.limit(0)).collect() == []
+
+
+# Fill in the middle
+
+TOKEN = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def rearranged_by_hand(doc_id, text):
+    tokens = TOKEN.findall(text or "")
+    text, n = text or "", len(tokens)
+    digest = hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[i : i + 8], 16) for i in range(0, 32, 8)]
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return n, "plain", None, None, text
+    prefix, middle, suffix = "".join(tokens[:a]), "".join(tokens[a:b]), "".join(tokens[b:])
+    if h[3] % 100 < 80:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \t\n\x0b\x1c\x85abé漢\U0001f600<", max_size=200))
+def test_every_rank_of_a_skip_list(text):
+    tokens = TOKEN.findall(text)
+    lanes = fill_middle.SkipList(fill_middle.token_ends(text))
+    assert [lanes.cut(k) for k in range(len(tokens) + 1)] == [sum(map(len, tokens[:k])) for k in range(len(tokens) + 1)]
+
+
+def test_lanes_thin_out():
+    lanes = fill_middle.SkipList(np.arange(1, 100_001) * 3).lanes
+    assert len(lanes) >= 6 and all(len(b.units) < len(a.units) / 2 for a, b in zip(lanes, lanes[1:], strict=False))
+    assert all(lane.units.sum() <= 100_000 and (lane.points == 3 * lane.units).all() for lane in lanes)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="<>PSMa ", max_size=20), st.text(alphabet="<>PSMa ", max_size=20), st.text(alphabet="<>PSMa ", max_size=20))
+def test_restored_texts(a, b, c):
+    if not any(m in a + b + c for m in ("<P>", "<S>", "<M>")):
+        assert fill_middle.restore(f"<P>{a}<S>{c}<M>{b}", "psm") == a + b + c
+        assert fill_middle.restore(f"<S>{c}<P>{a}<M>{b}", "spm") == a + b + c
+
+
+def test_rearranged_equals_brute_force(spark):
+    odd = [None, "", " ", "\n a", "a <S> b", "a  bé\U0001f600 c\t", "<", "w " * 40_000, "x" * 70_000] * 9
+    rows = [(i, t, "x", "y") for i, t in enumerate(odd)] + [(None, "a b c", "", ""), (3, "again and again", "", "")]
+    made = fill_middle.rearranged(spark.createDataFrame(rows, "doc_id long, text string, output string, form string"))
+    want = [(i, *rearranged_by_hand(i, t)) for i, t, *_ in rows]
+    assert sorted(map(str, map(tuple, made.collect()))) == sorted(map(str, want))
+    assert {r.form for r in made.collect()} == {"plain", "psm", "spm"}
+    texts = Counter(hashlib.sha256((t or "").encode()).hexdigest() for _, t, *_ in rows)
+    assert Counter(r.restored_sha256 for r in fill_middle.digests(made).collect()) == texts
+    assert fill_middle.digests(made.limit(0)).collect() == []
+
+
+# Conversation trie
+
+
+def trie_by_hand(rows, family=None, shared=9):
+    turns = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            key = hashlib.md5(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            turns[c].append(((turn is not None, turn or 0, key), role, text))
+    own = {c: [t[1:] for t in sorted(ts)] for c, ts in turns.items()}
+    made = {}
+    for c, ts in own.items():
+        h = zlib.crc32(str(c).encode()) % shared if family else 0
+        made[c] = (own.get(c - c % family, [])[:h] if family else []) + ts[h:]
+    members = defaultdict(list)
+    for c, ts in sorted(made.items()):
+        for d in range(len(ts) + 1):
+            members[tuple(ts[:d])].append(c)
+    out = []
+    for path, cs in members.items():
+        below = [p for p in members if p[: len(path)] == path]
+        kids = [p for p in below if len(p) == len(path) + 1]
+        leaves = [p for p in below if not any(len(q) == len(p) + 1 and q[: len(p)] == p for q in below)]
+        saved = sum((len(members[p]) - 1) * len(p[-1][1].encode()) for p in below if p)
+        ends = ",".join(str(c) for c in cs if len(made[c]) == len(path))
+        parent = members[path[:-1]][0] if path else None
+        out.append((cs[0], len(path), parent, len(cs), len(kids), len(leaves), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+SCHEMA = "conv_id long, turn long, role string, text string, depth string, key string, a string, place string, id string"
+
+
+def trie(spark, rows, **more):
+    frame = spark.createDataFrame([(*r, "", "", "", "", "") for r in rows], SCHEMA)
+    return sorted((tuple(r) for r in conversation_trie.prefix_trie(frame, **more).collect()), key=str)
+
+
+@pytest.mark.parametrize("family,at_once", [(None, 4), (5, 1 << 14), (5, 4)])
+def test_trie_equals_brute_force(spark, family, at_once):
+    r = random.Random(3)
+    rows = [(r.randrange(60), r.choice([None, 1, 2, 3, 4, 9]), r.choice([None, "user", "bot"]), r.choice([None, "", "hi", "é yes", "no"])) for _ in range(260)]
+    rows += [(None, 1, "user", "lost"), (7, 1, "user", "twice"), (7, 1, "user", "twice"), (200, 0, "system", "x" * 3000)]
+    assert trie(spark, rows, family=family, at_once=at_once) == trie_by_hand(rows, family)
+
+
+def test_trie_of_deep_and_wide_families(spark, monkeypatch):
+    # Blocks of four: conversations, children and digests are cut many times.
+    monkeypatch.setattr(conversation_trie, "BLOCK", 4)
+    rows = [(1, t, "u", f"t{t}") for t in range(40)] + [(2, t, "u", f"t{t}") for t in range(25)]
+    rows += [(c, 0, "u", "t0") for c in range(3, 40)] + [(c, 0, "u", f"w{c}") for c in range(40, 70)]
+    assert trie(spark, rows, at_once=8) == trie_by_hand(rows)
+
+
+def test_splitters_rank_a_long_list(spark):
+    n = 3000
+    order = [0, *random.Random(5).sample(range(1, n), n - 1)]
+    rows = [(i, j, i % 3, 2 * i) for i, j in zip(order, [*order[1:], -1], strict=True)]
+    arcs = spark.createDataFrame([(c, 0, *r) for c, r in enumerate(rows)], "conv_id long, depth long, id long, next long, leaves long, saved long")
+    got = {r.id: (r.leaves, r.saved) for r in conversation_trie.list_ranked(arcs, 8).collect()}
+    leaves = saved = 0
+    for i, _, a, b in reversed(rows):
+        leaves, saved = leaves + a, saved + b
+        assert got[i] == (leaves, saved)
+    assert len(got) == n
+
+
+def test_trie_edges(spark):
+    assert trie(spark, []) == []
+    assert trie(spark, [(None, 1, "u", "x")]) == []
+    assert trie(spark, [(9, None, None, None)]) == trie_by_hand([(9, None, None, None)])
+    # Conversation 6 asks more turns of 5 than its own, and 5 is not there: it has none.
+    turnless = [c for c in range(1, 60) if c % 5 and zlib.crc32(str(c).encode()) % 9 > 0]
+    rows = [(c, 0, "u", "x") for c in turnless]
+    assert trie(spark, rows, family=5) == trie_by_hand(rows, 5)
