@@ -9,7 +9,7 @@ whatever order texts are read. The language with the shortest code wins.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -27,17 +27,26 @@ ORDER = 3
 WINDOWS = 1 << 20
 # Costs kept at hand while texts are scored, shared out among the languages, too.
 SLOTS = 1 << 22
+# Windows whose costs are looked up together, shared out likewise.
+AT_ONCE = 1 << 20
 # Code lengths are added in whole parts of a bit.
 PARTS = 1 << 28
 UNKNOWN = "und"
 
 LETTER = regex.compile(r"\p{L}")
-SPACES = regex.compile(r"[\s\d]+")
+# Control characters and digits of ASCII are coded as spaces.
+CODED = np.arange(256, dtype=np.uint8)
+CODED[: ord(" ")] = CODED[ord("0") : ord("9") + 1] = ord(" ")
 
 
 def coded_bytes(text: str) -> np.ndarray:
-    """What is coded of a text: lower case, white space and digits as single spaces, UTF-8."""
-    return np.frombuffer(SPACES.sub(" ", text.lower()).encode(), np.uint8)
+    """What is coded of a text: lower case in UTF-8, with runs of white space, control
+    characters and digits (those of ASCII) as one space."""
+    data = CODED[np.frombuffer(text.lower().encode(), np.uint8)]
+    space = data == ord(" ")
+    space[1:] &= space[:-1]
+    space[:1] = False
+    return data[~space]
 
 
 def windows(data: np.ndarray) -> np.ndarray:
@@ -141,37 +150,51 @@ class Coder:
 
     def __init__(self, model: Model):
         self.model = model
-        self.slots = 1 << max(8, (SLOTS // len(model.languages)).bit_length() - 1)
-        self.keys = np.zeros(self.slots, np.uint32)
-        self.filled = np.zeros(self.slots, bool)
-        self.costs = np.zeros((self.slots, len(model.languages)), np.int64)
-
-    def lengths(self, text: str) -> np.ndarray:
-        """Bits of the whole text's code in each language; whole parts of a bit are added, so
-        that the order of adding does not matter."""
-        data = coded_bytes(text)
-        out = np.zeros(len(self.model.languages), np.int64)
-        for start in range(0, len(data), 1 << 20):
-            # Cut for memory only: a piece begins with the bytes before it.
-            before = min(start, ORDER)
-            out += self._sum(windows(data[start - before : start + (1 << 20)])[before:])
+        count = len(model.languages)
+        self.bits = max(8, (SLOTS // count).bit_length() - 1)
+        self.keys = np.zeros(1 << self.bits, np.uint32)
+        self.filled = np.zeros(1 << self.bits, bool)
+        self.costs = np.zeros((1 << self.bits, count), np.int64)
+        self.at_once = max(1 << 12, AT_ONCE // count)
+
+    def lengths(self, texts: Iterable[str]) -> np.ndarray:
+        """Bits of each whole text's code, a column for each language; whole parts of a bit
+        are added, so that the order of adding does not matter."""
+        texts = list(texts)
+        out = np.zeros((len(texts), len(self.model.languages)), np.int64)
+        pending, owners, held = [], [], 0
+        for i, text in enumerate(texts):
+            data = coded_bytes(text)
+            for start in range(0, len(data), self.at_once):
+                # Cut for memory only: a piece begins with the bytes before it.
+                before = min(start, ORDER)
+                pending.append(windows(data[start - before : start + self.at_once])[before:])
+                owners.append(i)
+                held += len(pending[-1])
+                if held >= self.at_once:
+                    np.add.at(out, owners, self._sums(pending))
+                    pending, owners, held = [], [], 0
+        if pending:
+            np.add.at(out, owners, self._sums(pending))
         return out / PARTS
 
     def _slot(self, grams: np.ndarray) -> np.ndarray:
-        return ((grams * np.uint32(2654435761)) >> np.uint32(7)) & np.uint32(self.slots - 1)
+        return (grams * np.uint32(2654435761)) >> np.uint32(32 - self.bits)
 
-    def _sum(self, grams: np.ndarray) -> np.ndarray:
+    def _sums(self, pieces: list[np.ndarray]) -> np.ndarray:
+        """The costs of all windows of each piece, none of them empty."""
+        grams = np.concatenate(pieces)
         slot = self._slot(grams)
-        hit = self.filled[slot] & (self.keys[slot] == grams)
-        out = self.costs[slot[hit]].sum(axis=0)
-        if not hit.all():
-            new, times = np.unique(grams[~hit], return_counts=True)
-            costs = np.rint(self.model.bits(new) * PARTS).astype(np.int64)
-            out += times @ costs
+        costs = self.costs[slot]
+        missed = np.flatnonzero(~self.filled[slot] | (self.keys[slot] != grams))
+        if len(missed):
+            new, which = np.unique(grams[missed], return_inverse=True)
+            found = np.rint(self.model.bits(new) * PARTS).astype(np.int64)
+            costs[missed] = found[which]
             # Of windows for one slot the first stays.
             place, first = np.unique(self._slot(new), return_index=True)
-            self.keys[place], self.costs[place], self.filled[place] = new[first], costs[first], True
-        return out
+            self.keys[place], self.costs[place], self.filled[place] = new[first], found[first], True
+        return np.add.reduceat(costs, np.cumsum([0, *map(len, pieces[:-1])]), axis=0)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -232,10 +255,12 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         coder = Coder(shared.value) if shared.value.languages else None
         for batch in batches:
-            rows = [
-                judge(shared.value, coder.lengths(text)) if coder and text and LETTER.search(text) else (UNKNOWN, 0.0)
-                for text in batch
-            ]
+            rows = [(UNKNOWN, 0.0)] * len(batch)
+            asked = [i for i, text in enumerate(batch) if coder and text and LETTER.search(text)]
+            if asked:
+                found = coder.lengths(batch.iloc[asked])
+                for i, lengths in zip(asked, found, strict=True):
+                    rows[i] = judge(shared.value, lengths)
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
 
     return docs.withColumn("language", F.pandas_udf(score, "lang_pred string, score double")(F.col("text")))

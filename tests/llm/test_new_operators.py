@@ -55,15 +55,16 @@ def test_code_lengths_equal_brute_force_and_sum_to_one():
         assert np.exp2(-tree.bits(every)).sum() == pytest.approx(1)
 
 
-def test_lengths_do_not_depend_on_what_came_before():
-    texts = ["the cat sat on the mat", "a hat, a cat", "x" * 5000]
+def test_lengths_do_not_depend_on_what_came_before(monkeypatch):
+    monkeypatch.setattr(language_id, "SLOTS", 16)
+    texts = ["the cat sat on the mat", "a hat, a cat", "x" * 5000, "", "ünïcode 漢字 42"]
     grams, n = np.unique(language_id.windows(language_id.coded_bytes(texts[0] * 3)), return_counts=True)
     model = language_id.Model(("a", "b"), (grams, grams[:5]), (n.astype(float), n[:5].astype(float)))
     seen = language_id.Coder(model)
-    for text in [*texts, *texts[::-1]]:
-        assert (seen.lengths(text) == language_id.Coder(model).lengths(text)).all()
-    whole = model.bits(language_id.windows(language_id.coded_bytes(texts[1]))).sum(axis=0)
-    assert np.allclose(seen.lengths(texts[1]), whole, atol=1e-3)
+    alone = [language_id.Coder(model).lengths([text])[0] for text in texts]
+    assert (seen.lengths(texts) == alone).all() and (seen.lengths(texts[::-1]) == alone[::-1]).all()
+    for text, bits in zip(texts, alone, strict=True):
+        assert np.allclose(bits, model.bits(language_id.windows(language_id.coded_bytes(text))).sum(axis=0), atol=1e-3)
 
 
 def test_pieces_of_a_long_text_are_one_text():
@@ -72,7 +73,12 @@ def test_pieces_of_a_long_text_are_one_text():
     grams, n = np.unique(language_id.windows(data)[:1000], return_counts=True)
     model = language_id.Model(("a",), (grams,), (n.astype(float),))
     every, times = np.unique(language_id.windows(data), return_counts=True)
-    assert language_id.Coder(model).lengths(text)[0] == pytest.approx((model.bits(every)[:, 0] * times).sum(), rel=1e-6)
+    assert language_id.Coder(model).lengths(["a b", text])[1, 0] == pytest.approx((model.bits(every)[:, 0] * times).sum(), rel=1e-6)
+
+
+def test_what_is_coded():
+    assert bytes(language_id.coded_bytes("A\t\n 12 b7É!")) == "a b é!".encode()
+    assert bytes(language_id.coded_bytes("  x  ")) == b" x " and not len(language_id.coded_bytes(""))
 
 
 def test_languages_held_out(spark):
