@@ -69,13 +69,51 @@ def test_recall_against_all_pairs(spark):
 
 
 def test_given_vectors(spark):
+    # No two of the given vectors are that near; every eighth gets a neighbour at the border.
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    rng = np.random.default_rng(6)
+    rows += [(100_000 + i, near(np.asarray(v, float), rng.uniform(0.93, 0.94), rng).astype(np.float32), label) for i, v, label in rows[::8]]
     expected, pairs = plain(rows)
     mine = found(spark, rows)
-    assert sum(r[1] for r in mine) >= 0.95 * 2 * pairs
+    assert pairs >= 200
+    assert 0.95 * 2 * pairs <= sum(r[1] for r in mine) <= 2 * pairs
     assert len(set(mine) & set(expected)) >= 0.97 * len(rows)
 
 
+@pytest.mark.parametrize("vectors", [500, 50_000, 300_000])
+def test_recall_of_codes_of_all_sizes(vectors):
+    code = embeddings.Code.sized(vectors)
+    rng = np.random.default_rng(vectors)
+    a = rng.standard_normal((500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = np.stack([near(v, c, rng) for v, c in zip(a, rng.uniform(0.93, 0.95, len(a)), strict=True)])
+    mine, theirs = code.caps(a), code.caps(b)
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(mine, theirs, strict=True)]) >= 0.97
+    # Chance meetings: every two of ``a`` are random.
+    every, times = np.unique(np.concatenate(mine), return_counts=True)
+    chance = (times * (times - 1) / 2).sum() / (len(a) * (len(a) - 1) / 2)
+    assert vectors / 2 * chance <= 4
+
+
+def test_pairs_of_runs():
+    a, b = embeddings._pairs(np.array([0, 3, 4]), 6)
+    assert list(zip(a.tolist(), b.tolist(), strict=True)) == [(0, 1), (0, 2), (1, 2), (4, 5)]
+
+
+@pytest.mark.parametrize("small", [2, 64])
+def test_small_and_large_buckets_agree(spark, monkeypatch, small):
+    monkeypatch.setattr(embeddings, "SMALL_ROWS", small)
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(12):
+        v = rng.standard_normal(32)
+        rows += [(len(rows) + i, near(v, rng.uniform(0.93, 1), rng).astype(np.float32), 1) for i in range(9)]
+    expected, _ = plain(rows)
+    mine = found(spark, rows)
+    assert len(set(mine) & set(expected)) >= 0.95 * len(rows)
+    assert all(m[1] <= e[1] for m, e in zip(sorted(mine), sorted(expected), strict=True))
+
+
 @pytest.mark.parametrize("limit", [1024, 5])
 def test_copies_and_hot_groups(spark, monkeypatch, limit):
     monkeypatch.setattr(embeddings, "BUCKET_ROWS", limit)
