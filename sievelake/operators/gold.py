@@ -42,20 +42,30 @@ def partial(silver: DataFrame, as_of=None) -> DataFrame:
     )
 
 
+# What ``combine`` makes of a row ``l`` and a row ``r`` of states, and of the states of a
+# domain; also the text of the views that do it when they are read.
+COMBINED = (
+    "coalesce(l.domain, r.domain) AS domain",
+    "greatest(l.has_malware, r.has_malware) AS has_malware",
+    "sort_array(array_union(coalesce(l.sources, array()), coalesce(r.sources, array()))) AS sources",
+    "least(l.first_seen, r.first_seen) AS first_seen",
+    "greatest(l.last_seen, r.last_seen) AS last_seen",
+    "least(l.earliest, r.earliest) AS earliest",
+    "greatest(l.updated, r.updated) AS updated",
+)
+FOLDED = (
+    "max(has_malware) AS has_malware",
+    "sort_array(array_distinct(flatten(collect_set(sources)))) AS sources",
+    "min(first_seen) AS first_seen",
+    "max(last_seen) AS last_seen",
+    "min(earliest) AS earliest",
+    "max(updated) AS updated",
+)
+
+
 def fold(states: DataFrame) -> DataFrame:
     """One state per domain out of any number of them."""
-    return (
-        states.groupBy("domain")
-        .agg(
-            F.max("has_malware").alias("has_malware"),
-            F.flatten(F.collect_set("sources")).alias("sources"),
-            F.min("first_seen").alias("first_seen"),
-            F.max("last_seen").alias("last_seen"),
-            F.min("earliest").alias("earliest"),
-            F.max("updated").alias("updated"),
-        )
-        .withColumn("sources", F.sort_array(F.array_distinct("sources")))
-    )
+    return states.groupBy("domain").agg(*[F.expr(e) for e in FOLDED])
 
 
 def combine(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -63,18 +73,8 @@ def combine(left: DataFrame, right: DataFrame) -> DataFrame:
 
     A side that is bucketed by domain is not shuffled.
     """
-    none = F.array().cast("array<string>")
     joined = left.alias("l").join(right.alias("r"), F.col("l.domain") == F.col("r.domain"), "full")
-    sources = F.array_union(F.coalesce("l.sources", none), F.coalesce("r.sources", none))
-    return joined.select(
-        F.coalesce("l.domain", "r.domain").alias("domain"),
-        F.greatest("l.has_malware", "r.has_malware").alias("has_malware"),
-        F.sort_array(sources).alias("sources"),
-        F.least("l.first_seen", "r.first_seen").alias("first_seen"),
-        F.greatest("l.last_seen", "r.last_seen").alias("last_seen"),
-        F.least("l.earliest", "r.earliest").alias("earliest"),
-        F.greatest("l.updated", "r.updated").alias("updated"),
-    )
+    return joined.selectExpr(*COMBINED)
 
 
 def is_active(last_seen: Column, as_of=None) -> Column:
@@ -87,22 +87,28 @@ def severest(has_malware: Column) -> Column:
     return F.when(has_malware, MALWARE).otherwise(ADS_TRACKERS)
 
 
-def finish(states: DataFrame, as_of=None) -> DataFrame:
-    """Published columns of folded states; activity is judged at read time."""
-    return states.select(
+def finished(as_of=None) -> tuple[str, ...]:
+    """Published columns of a folded state; without ``as_of`` activity is judged when read."""
+    now = "current_timestamp()" if as_of is None else f"CAST('{as_of}' AS TIMESTAMP)"
+    return (
         "domain",
-        severest(F.col("has_malware")).alias("category"),
-        F.to_json("sources").alias("source_list"),
-        F.size("sources").cast("bigint").alias("source_count"),
+        f"CASE WHEN has_malware THEN '{MALWARE}' ELSE '{ADS_TRACKERS}' END AS category",
+        "to_json(sources) AS source_list",
+        "CAST(size(sources) AS BIGINT) AS source_count",
         "first_seen",
         "last_seen",
-        F.col("updated").alias("last_updated"),
-        is_active(F.col("last_seen"), as_of).alias("is_active"),
-        F.map_from_entries("earliest.entries").alias("metadata"),
-        F.hash("domain").cast("bigint").alias("domain_hash"),
+        "updated AS last_updated",
+        f"CASE WHEN last_seen >= {now} - INTERVAL {ACTIVE_DAYS} DAYS THEN 'true' ELSE 'false' END AS is_active",
+        "map_from_entries(earliest.entries) AS metadata",
+        "CAST(hash(domain) AS BIGINT) AS domain_hash",
     )
 
 
+def finish(states: DataFrame, as_of=None) -> DataFrame:
+    """Published columns of folded states."""
+    return states.selectExpr(*finished(as_of))
+
+
 def aggregate(silver: DataFrame, as_of=None) -> DataFrame:
     """The per-domain table of all valid rows in one pass."""
     return finish(partial(silver, as_of), as_of)

@@ -411,7 +411,22 @@ ORACLE = {
     "gold_domain_hash": hashed(f"SELECT domain FROM ({GOLD})"),
     "gold_merge": published(MERGED),
     "gold_stream": GOLD,
+    "stream_recovery": GOLD,
+    "stream_files": f"SELECT count(*) AS n, true AS several, 0 AS with_spare_files FROM ({SIGHTINGS})",
+    "layer_views": f"""
+    SELECT 'bronze' AS layer, source AS what, count(*) AS n FROM ({SIGHTINGS})
+    WHERE ts::DATE = DATE '2024-01-10' GROUP BY source
+    UNION ALL SELECT 'silver', source, count(*) FROM ({cleaned(f'({SIGHTINGS})')})
+    WHERE ts::DATE = DATE '2024-01-10' AND cleaned IS NOT NULL GROUP BY source
+    UNION ALL SELECT 'gold', category, count(*) FROM ({gold(cleaned(f'({SIGHTINGS})'))}) GROUP BY category""",
     "gold_compacted": GOLD,
+    "gold_lookup": f"""
+    SELECT * FROM ({GOLD}) WHERE domain IN ('d1.example.org', 'd7.example.org', 'd42.example.org',
+      'nowhere.example.org', 'd1.example.net')""",
+    "gold_curve": f"""
+    SELECT c AS "column", true AS cheap, count(*) AS n, sum(source_count)::BIGINT AS sources,
+           sum(epoch(date_trunc('second', last_seen)))::BIGINT AS last_seen
+    FROM ({gold(cleaned(f'({SIGHTINGS})'))}), (VALUES ('domain'), ('last_seen')) v(c) GROUP BY c""",
     "gold_clustered": GOLD,
     "catalog_gold": GOLD,
     "silver_compacted": f"""

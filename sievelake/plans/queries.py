@@ -19,7 +19,7 @@ from sievelake.settings import FRESHNESS_MINUTES
 from sievelake.sinks.publish import publish
 from sievelake.sources import files, layers
 from sievelake.sources.topics import message_stream
-from sievelake.streaming import gold_log, pipeline
+from sievelake.streaming import gold_table, pipeline
 from sievelake.tables import catalog, folders, upkeep
 
 CHECKED_AT = "2024-01-31 00:20:00"
@@ -308,7 +308,7 @@ def sample_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folders.scratch(spark, "bronze")
     feeds.bronze_rows(feeds.events(spark, sf_dir)).write.partitionBy("ingestion_date").parquet(path)
     table = catalog.register_table(
-        spark, "bronze", "domains", path, schemas.BRONZE, ["ingestion_date"], replace=True
+        spark, "bronze", "days", path, schemas.BRONZE, ["ingestion_date"], replace=True
     )
     return spark.sql(
         f"""
@@ -360,16 +360,17 @@ def gold_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(gold.merge_upsert(target, updates, feeds.AS_OF))
 
 
-def gold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages through all three streams into the log, then read back."""
-    root = folders.scratch(spark, "stream")
-    publish(feeds.transport(feeds.sightings(spark, sf_dir)), path=f"{root}/topics")
+def streamed(spark: SparkSession, root: str, interval: str | None = None, files: int | None = None) -> None:
+    """The three streams over ``root``, one after the other, until each has caught up.
+
+    With an ``interval`` each is stopped once it has; it would go on otherwise.
+    """
     steps = (
         lambda: pipeline.bronze(
-            message_stream(spark, path=f"{root}/topics"),
+            message_stream(spark, path=f"{root}/topics", max_files_per_trigger=files),
             f"{root}/bronze",
             f"{root}/checkpoints/bronze",
-            interval=None,
+            interval=interval,
             as_of=feeds.AS_OF,
         ),
         lambda: pipeline.silver(
@@ -377,7 +378,7 @@ def gold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{root}/bronze",
             f"{root}/silver",
             f"{root}/checkpoints/silver",
-            interval=None,
+            interval=interval,
             as_of=feeds.AS_OF,
         ),
         lambda: pipeline.gold(
@@ -385,28 +386,125 @@ def gold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{root}/silver",
             f"{root}/gold",
             f"{root}/checkpoints/gold",
-            interval=None,
+            interval=interval,
             as_of=feeds.AS_OF,
         ),
     )
     for start in steps:
-        start().awaitTermination()
-    return published(gold_log.read(spark, f"{root}/gold", feeds.AS_OF))
+        query = start()
+        if interval is None:
+            query.awaitTermination()
+        else:
+            query.processAllAvailable()
+            query.stop()
 
 
-def gold_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four batches: one in a bucketed base, one folded behind it, two in the log."""
-    path = folders.scratch(spark, "gold")
+def gold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages through all three streams, then read by the name in the catalog."""
+    root = folders.scratch(spark, "stream")
+    publish(feeds.transport(feeds.sightings(spark, sf_dir)), path=f"{root}/topics")
+    streamed(spark, root)
+    return published(spark.sql("SELECT * FROM gold.domains"))
+
+
+def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer half first; stopped streams go on from their checkpoints with the older half.
+
+    The older rows are late ones by then, and a version is published in between.
+    """
+    root = folders.scratch(spark, "stream")
+    entries = feeds.sightings(spark, sf_dir)
+    newer = F.col("ingestion_timestamp") >= F.lit("2024-01-15").cast("timestamp")
+    publish(feeds.transport(entries.filter(newer)), path=f"{root}/topics")
+    streamed(spark, root, interval="1 second")
+    gold_table.publish(spark, f"{root}/gold", f"{root}/published", as_of=feeds.AS_OF)
+    publish(feeds.transport(entries.filter(~newer)), path=f"{root}/topics")
+    streamed(spark, root)
+    return published(gold_table.read(spark, f"{root}/gold", feeds.AS_OF))
+
+
+def layer_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three layers by SQL on their names while the streams' tables grow."""
+    root = folders.scratch(spark, "stream")
+    publish(feeds.transport(feeds.sightings(spark, sf_dir)), path=f"{root}/topics")
+    streamed(spark, root)
+    day = "DATE '2024-01-10'"
+    return spark.sql(
+        f"""
+        SELECT 'bronze' AS layer, source AS what, count(*) AS n FROM bronze.domains
+        WHERE ingestion_date = {day} GROUP BY source
+        UNION ALL
+        SELECT 'silver', source, count(*) FROM silver.domains
+        WHERE ingestion_date = {day} AND is_valid = 'true' GROUP BY source
+        UNION ALL
+        SELECT 'gold', category, count(*) FROM gold.domains GROUP BY category
+        """
+    )
+
+
+def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream of several batches wrote, run twice: rows, and batches with spare files.
+
+    A batch may have a file for each of its dates and one for each 256 MB.
+    """
+    root = folders.scratch(spark, "stream")
+    entries = feeds.sightings(spark, sf_dir)
+    publish(feeds.transport(entries.repartition(3)), path=f"{root}/topics")
+    for _ in range(2):
+        pipeline.bronze(
+            message_stream(spark, path=f"{root}/topics", max_files_per_trigger=2),
+            f"{root}/bronze",
+            f"{root}/checkpoint",
+            interval=None,
+            as_of=feeds.AS_OF,
+        ).awaitTermination()
+    place = F.struct("run", "batch_id")
+    files = (
+        spark.read.parquet(f"{root}/bronze")
+        .groupBy(place.alias("batch"), "ingestion_date", F.col("_metadata.file_path").alias("file"))
+        .agg(F.count("*").alias("n"), F.any_value("_metadata.file_size").alias("bytes"))
+    )
+    batches = files.groupBy("batch").agg(
+        F.sum("n").alias("n"),
+        (F.count("*") > F.countDistinct("ingestion_date") + F.ceil(F.sum("bytes") / (256 << 20))).alias("spare"),
+    )
+    return batches.agg(
+        F.sum("n").alias("n"),
+        (F.count("*") > 1).alias("several"),
+        F.count_if("spare").alias("with_spare_files"),
+    )
+
+
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """States of four batches, a version published after the second one, and its folder."""
+    root = folders.scratch(spark, "gold")
     rows = silver.valid_only(feeds.silver_rows(feeds.sightings(spark, sf_dir)))
     cuts = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2025-01-01"]
     seen = F.col("ingestion_timestamp")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gold_table.open_view(spark, f"{root}/states", feeds.AS_OF)
     for number in range(4):
         batch = rows.filter((seen >= cuts[number]) & (seen < cuts[number + 1]))
-        gold_log.append(batch, path, "run", number, feeds.AS_OF)
-        if number < 2:
-            gold_log.compact(spark, path, "run", number, buckets, whole=number == 0)
-    return published(gold_log.read(spark, path, feeds.AS_OF))
+        gold_table.append(batch, f"{root}/states", "run", number, feeds.AS_OF)
+        if number == 1:
+            gold_table.publish(spark, f"{root}/states", f"{root}/published", as_of=feeds.AS_OF)
+    return f"{root}/states", f"{root}/published"
+
+
+def gold_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches in a published version, and two after it joined when read."""
+    states, _ = _halves(spark, sf_dir)
+    return published(gold_table.read(spark, states, feeds.AS_OF))
+
+
+LOOKED_UP = ("d1.example.org", "d7.example.org", "d42.example.org", "nowhere.example.org", "d1.example.net")
+
+
+def gold_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some names, listed and unlisted, in a version folded from an earlier one."""
+    states, target = _halves(spark, sf_dir)
+    gold_table.publish(spark, states, target, as_of=feeds.AS_OF)
+    table = gold_table.read(spark, states, feeds.AS_OF)
+    return published(table.filter(F.col("domain").isin(*LOOKED_UP)))
 
 
 def gold_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -416,13 +514,36 @@ def gold_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(layers.table(spark, f"{path}/clustered", schemas.GOLD))
 
 
+def gold_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-domain table along a curve of two columns: rows, and if lookups on each are cheap.
+
+    They are where they open at most twice the square root of all files.
+    """
+    path = folders.scratch(spark, "gold")
+    _gold(spark, sf_dir).write.parquet(f"{path}/as_written")
+    columns = ["domain", "last_seen"]
+    upkeep.cluster(spark, f"{path}/as_written", schemas.GOLD, f"{path}/clustered", columns, files=64)
+    rows = layers.table(spark, f"{path}/clustered", schemas.GOLD)
+    cheap = upkeep.lookups(rows, columns).select(
+        "column", (F.col("opened") <= 2 * F.sqrt("files")).alias("cheap")
+    )
+    content = rows.agg(
+        F.count("*").alias("n"),
+        F.sum("source_count").alias("sources"),
+        F.sum(F.col("last_seen").cast("long")).alias("last_seen"),
+    )
+    # One row beside two.
+    return cheap.join(F.broadcast(content), F.lit(True))
+
+
 def catalog_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The per-domain table published to the catalog and read by SQL."""
     root = folders.scratch(spark, "gold")
     rows = silver.valid_only(feeds.silver_rows(feeds.sightings(spark, sf_dir)))
-    gold_log.append(rows, f"{root}/log", "run", 0, feeds.AS_OF)
-    name = pipeline.publish_gold(spark, f"{root}/log", f"{root}/published", as_of=feeds.AS_OF)
-    return published(spark.sql(f"SELECT * FROM {name}"))
+    gold_table.open_view(spark, f"{root}/states", feeds.AS_OF)
+    gold_table.append(rows, f"{root}/states", "run", 0, feeds.AS_OF)
+    gold_table.publish(spark, f"{root}/states", f"{root}/published", as_of=feeds.AS_OF)
+    return published(spark.sql("SELECT * FROM gold.domains"))
 
 
 def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -510,8 +631,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         gold_domain_hash,
         gold_merge,
         gold_stream,
+        stream_recovery,
+        stream_files,
+        layer_views,
         gold_compacted,
+        gold_lookup,
         gold_clustered,
+        gold_curve,
         catalog_gold,
         silver_compacted,
         table_stats,

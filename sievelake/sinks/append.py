@@ -1,14 +1,19 @@
-"""Append streams into partitioned Parquet tables."""
+"""Append streams into Parquet tables, one folder per micro-batch."""
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from sievelake.tables import folders
+
 INTERVAL = re.compile(r"\d+")
+# A batch table is partitioned by the stream that wrote it and its batch, before anything else.
+BATCH = ("run", "batch_id")
 
 
 def trigger(interval: str | None) -> dict:
@@ -25,26 +30,74 @@ def trigger(interval: str | None) -> dict:
     raise ValueError(f"not an interval in seconds or minutes: {interval!r}")
 
 
-def append_stream(
+def write_batch(
+    rows: DataFrame, path: str, run: str, number: int, partition_by: Sequence[str] = ()
+) -> bool:
+    """Write one micro-batch to its own folder; False if it is there already.
+
+    Rows are rebalanced on ``partition_by``, so small dates share a task and one that holds most of
+    the batch is split at the session's advisory partition size. The folder is written aside
+    and moved into place by one rename, so readers see all of a batch or nothing, and a
+    replayed batch, which has the same rows, leaves the first one as it is.
+    """
+    spark = rows.sparkSession
+    place = f"{path}/{BATCH[0]}={run}/{BATCH[1]}={number}"
+    if folders.exists(spark, place):
+        return False
+    aside = f"{path}/_writing/{run}-{number}"
+    writer = rows.hint("rebalance", *partition_by).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(aside)
+    folders.move(spark, aside, place)
+    return True
+
+
+def batch_stream(
     rows: DataFrame,
-    path: str,
+    write: Callable[[DataFrame, str, int], None],
     checkpoint: str,
     *,
-    partition_by: Sequence[str] = (),
-    interval: str | None = "5 seconds",
+    interval: str | None,
     name: str | None = None,
     output_mode: str = "append",
 ) -> StreamingQuery:
-    """Start a stream that appends rows to a Parquet table exactly once."""
+    """Start a stream that gives each micro-batch to ``write(batch, run, number)``.
+
+    ``run`` tells the checkpoint from others that write to the same table.
+    """
+    fallback = hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
+
+    def each(batch: DataFrame, number: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        write(batch, run or fallback, number)
+
     writer = (
-        rows.writeStream.format("parquet")
+        rows.writeStream.foreachBatch(each)
         .outputMode(output_mode)
-        .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(interval))
     )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
     return writer.start()
+
+
+def append_stream(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    partition_by: Sequence[str] = (),
+    interval: str | None = "5 seconds",
+    name: str | None = None,
+    output_mode: str = "append",
+) -> StreamingQuery:
+    """Start a stream that appends rows to a Parquet table exactly once, batch by batch."""
+
+    def write(batch: DataFrame, run: str, number: int) -> None:
+        write_batch(batch, path, run, number, partition_by)
+
+    return batch_stream(
+        rows, write, checkpoint, interval=interval, name=name, output_mode=output_mode
+    )

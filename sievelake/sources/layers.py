@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from sievelake.operators.silver import valid_only
 from sievelake.schemas import SILVER
@@ -22,10 +22,13 @@ def table_stream(
 ) -> DataFrame:
     """Stream of rows appended to a layer.
 
-    The layer's sink keeps a log of committed files, so every row arrives exactly once;
-    rewritten copies live in other folders and are never picked up.
+    A batch folder appears whole and is never written again, so every row arrives exactly
+    once; rewritten copies live in other folders and are never picked up.
     """
-    reader = spark.readStream.schema(schema)
+    # The folders' own columns, which no reader gets, are declared before the first batch.
+    reader = spark.readStream.schema(
+        StructType([*schema.fields, StructField("run", StringType()), StructField("batch_id", LongType())])
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.parquet(path).select(*schema.fieldNames())

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 import logging
-import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -13,11 +12,10 @@ from sievelake import schemas
 from sievelake.operators import bronze as bronze_rules
 from sievelake.operators import silver as silver_rules
 from sievelake.settings import COMPACT_EVERY_BATCHES, TRIGGERS
-from sievelake.sinks.append import append_stream, trigger
+from sievelake.sinks.append import BATCH, append_stream, batch_stream
 from sievelake.sources import layers
-from sievelake.streaming import gold_log
-from sievelake.tables import folders, upkeep
-from sievelake.tables.catalog import ensure_table, register_table
+from sievelake.streaming import gold_table
+from sievelake.tables.catalog import ensure_table
 
 log = logging.getLogger(__name__)
 
@@ -29,10 +27,15 @@ def bronze(
     *,
     interval: str | None = TRIGGERS["bronze"],
     name: str = "bronze_stream",
+    properties: Mapping[str, str] | None = None,
     as_of=None,
 ) -> StreamingQuery:
-    """Messages to the raw table, partitioned by ingestion date."""
-    ensure_table(messages.sparkSession, path, schemas.BRONZE, ["ingestion_date"])
+    """Messages to the raw table, partitioned by ingestion date within each batch.
+
+    ``bronze.domains`` in the catalog shows it from the start.
+    """
+    days = [*BATCH, "ingestion_date"]
+    ensure_table(messages.sparkSession, path, schemas.BRONZE, days, name="bronze.domains", properties=properties)
     return append_stream(
         bronze_rules.transform(messages, as_of),
         path,
@@ -52,10 +55,15 @@ def silver(
     interval: str | None = TRIGGERS["silver"],
     name: str = "silver_stream",
     max_files_per_trigger: int | None = None,
+    properties: Mapping[str, str] | None = None,
     as_of=None,
 ) -> StreamingQuery:
-    """Raw table to the cleaned and flagged table, partitioned by ingestion date."""
-    ensure_table(spark, path, schemas.SILVER, ["ingestion_date"])
+    """Raw table to the cleaned and flagged table, partitioned by ingestion date in each batch.
+
+    ``silver.domains`` in the catalog shows it from the start.
+    """
+    days = [*BATCH, "ingestion_date"]
+    ensure_table(spark, path, schemas.SILVER, days, name="silver.domains", properties=properties)
     rows = layers.table_stream(spark, bronze_path, schemas.BRONZE, max_files_per_trigger)
     return append_stream(
         silver_rules.transform(rows, as_of),
@@ -76,80 +84,34 @@ def gold(
     interval: str | None = TRIGGERS["gold"],
     name: str = "gold_stream",
     max_files_per_trigger: int | None = None,
-    compact_every: int = COMPACT_EVERY_BATCHES,
-    whole_every: int = 10,
+    published: str | None = None,
+    publish_every: int = COMPACT_EVERY_BATCHES,
     buckets: int | None = None,
     as_of=None,
 ) -> StreamingQuery:
-    """Valid rows of the cleaned table to the per-domain log and base.
+    """Valid rows of the cleaned table to the states of the per-domain table.
 
-    The stream keeps no state: each micro-batch writes its own mergeable states under its
-    batch number, so a replay replaces them and late rows simply fold in. Every
-    ``compact_every`` batches the log is folded into the recent part, and every
-    ``whole_every`` times that into the base. ``buckets`` should put a few hundred MB in
-    each bucket; it defaults to the shuffle partitions.
+    The stream keeps no state: each micro-batch writes its own mergeable states, so a replay
+    changes nothing and late rows simply fold in. ``gold.domains`` in the catalog shows them
+    folded from the start. With a folder for ``published`` versions, a new one is written there every
+    ``publish_every`` batches, as ``gold_table.publish`` does; otherwise run that as a job of its own.
     """
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fallback = hashlib.sha256(checkpoint.encode()).hexdigest()[:32]
-
-    def write(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        run = session.sparkContext.getLocalProperty("sql.streaming.queryId") or fallback
-        gold_log.append(batch, path, run, number, as_of)
-        if (number + 1) % compact_every == 0:
+    gold_table.open_view(spark, path, as_of)
+
+    def write(batch: DataFrame, run: str, number: int) -> None:
+        gold_table.append(batch, path, run, number, as_of)
+        if published and (number + 1) % publish_every == 0:
             try:
-                whole = (number + 1) // compact_every % whole_every == 0
-                gold_log.compact(session, path, run, number, buckets, whole)
+                gold_table.publish(spark, path, published, buckets=buckets, as_of=as_of)
             except Exception:
-                # The log is complete without it; the next round folds more.
-                log.exception("compaction of %s up to batch %d failed", path, number)
-
-    return (
-        layers.valid_silver_stream(spark, silver_path, max_files_per_trigger)
-        .writeStream.foreachBatch(write)
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .queryName(name)
-        .trigger(**trigger(interval))
-        .start()
-    )
-
-
-def publish_gold(
-    spark: SparkSession, gold: str, target: str, *, files: int | None = None, as_of=None
-) -> str:
-    """The per-domain table as it is now, as ``gold.domains`` in the catalog; returns the name.
-
-    Writes a new table sorted by domain below ``target`` and points the name to it; readers
-    of the one before keep it. A job of its own, run as often as consumers need it.
-    """
-    root = f"{target}/{uuid.uuid4().hex}"
-    gold_log.read(spark, gold, as_of).write.parquet(f"{root}/as_read")
-    upkeep.cluster(spark, f"{root}/as_read", schemas.GOLD, f"{root}/domains", files=files)
-    folders.delete(spark, f"{root}/as_read")
-    return register_table(spark, "gold", "domains", f"{root}/domains", schemas.GOLD, replace=True)
+                # The states are complete without it; the next version folds more.
+                log.exception("publishing %s up to batch %d failed", path, number)
 
-
-def views(
-    spark: SparkSession,
-    *,
-    bronze: str | None = None,
-    silver: str | None = None,
-    gold: str | None = None,
-    as_of=None,
-) -> list[str]:
-    """Make layers written by the streams queryable from SQL; returns the view names.
-
-    The views read by path, and so see exactly the files the streams have committed. Call
-    again to see later files.
-    """
-    frames = {}
-    if bronze:
-        frames["bronze_domains"] = layers.table(spark, bronze, schemas.BRONZE)
-    if silver:
-        frames["silver_domains"] = layers.table(spark, silver, schemas.SILVER)
-    if gold:
-        frames["gold_domains"] = gold_log.read(spark, gold, as_of)
-    for name, frame in frames.items():
-        frame.createOrReplaceTempView(name)
-    return list(frames)
+    return batch_stream(
+        layers.valid_silver_stream(spark, silver_path, max_files_per_trigger),
+        write,
+        checkpoint,
+        interval=interval,
+        name=name,
+        output_mode="update",
+    )

@@ -46,6 +46,15 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(target, True).close()
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder; an error if the target is there."""
+    source, fs = _resolve(spark, path)
+    there, _ = _resolve(spark, target)
+    fs.mkdirs(there.getParent())
+    if fs.exists(there) or not fs.rename(source, there):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target, fs = _resolve(spark, path)
     fs.delete(target, True)

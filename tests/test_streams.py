@@ -9,8 +9,9 @@ from sievelake.sinks.append import trigger
 from sievelake.sinks.publish import publish
 from sievelake.sources import layers
 from sievelake.sources.topics import message_stream
-from sievelake.streaming import gold_log, pipeline
-from sievelake.tables import folders
+from sievelake.sinks import append
+from sievelake.streaming import gold_table, pipeline
+from sievelake.tables import catalog, folders, upkeep
 
 AS_OF = "2024-02-01"
 BASE = datetime(2024, 1, 31)
@@ -63,7 +64,7 @@ class Lake:
         return layers.table(self.spark, f"{self.root}/{layer}", schema).count()
 
     def gold(self):
-        return gold_log.read(self.spark, f"{self.root}/gold", AS_OF)
+        return gold_table.read(self.spark, f"{self.root}/gold", AS_OF)
 
     def batch_gold(self):
         """The same table in one batch job over all messages."""
@@ -100,9 +101,8 @@ def test_stream_equals_batch_and_restart_adds_only_new_rows(spark, tmp_path):
     lake.catch_up()
     assert (lake.count("bronze"), lake.count("silver"), lake.gold().count()) == (8, 8, 5)
     assert same(lake.gold(), lake.batch_gold())
-    names = pipeline.views(spark, **{n: f"{lake.root}/{n}" for n in ("bronze", "silver", "gold")})
-    counts = {n: spark.sql(f"SELECT count(*) FROM {n}").first()[0] for n in names}
-    assert counts == {"bronze_domains": 8, "silver_domains": 8, "gold_domains": 5}
+    counts = {n: spark.sql(f"SELECT count(*) FROM {n}.domains").first()[0] for n in ("bronze", "silver", "gold")}
+    assert counts == {"bronze": 8, "silver": 8, "gold": 5}
     site = lake.gold().filter("domain = 'malware-site.com'").first()
     assert (site.category, site.source_count) == ("malware", 3)
     assert site.first_seen == BASE - timedelta(minutes=6000) and site.metadata == {"m": "-6000"}
@@ -120,24 +120,34 @@ def test_two_sources_and_both_categories(spark, tmp_path):
     assert sum(r.category == "ads_trackers" for r in rows) == 5
 
 
-def test_gold_restarts_under_compaction(spark, tmp_path):
-    """Small batches, a base every second one, and a restart in between."""
-    lake = Lake(spark, tmp_path, compact_every=1, whole_every=3, buckets=3)
+def test_gold_restarts_under_publishing(spark, tmp_path):
+    """Small batches, a version every second one, and restarts in between."""
+    published = f"{tmp_path}/published"
+    lake = Lake(spark, tmp_path, published=published, publish_every=2, buckets=3)
     for day in range(5):
         lake.send([(f"d{i}.com", "malware" if i == day else "ads_trackers", f"s{day}", day * 1440 + i) for i in range(6)])
         lake.catch_up()
-    assert same(lake.gold(), lake.batch_gold())
     path = f"{lake.root}/gold"
-    n = len(folders.glob(spark, f"{path}/log/*/*/*"))
-    bases = [p.rsplit("/", 1)[-1] for p in folders.glob(spark, f"{path}/base/*/*")]
-    assert n >= 5 and bases == [f"{i:012d}-3" for i in range(2, n, 3)]
-    recents = [p.rsplit("/", 1)[-1] for p in folders.glob(spark, f"{path}/recent/*/*")]
-    assert recents[:3] == [f"{0:012d}-{0:012d}", f"{0:012d}-{1:012d}", f"{3:012d}-{3:012d}"]
-    spare = gold_log.superseded(spark, path)
-    assert len(spare) > n and gold_log.vacuum(spark, path) == []
-    assert sorted(gold_log.vacuum(spark, path, retention_hours=-1)) == sorted(spare)
-    assert gold_log.superseded(spark, path) == []
     assert same(lake.gold(), lake.batch_gold())
+    now = gold_table.current(spark, path)
+    n = len(folders.glob(spark, f"{path}/run=*/batch_id=*")) - 1
+    assert n >= 5 and now.buckets == 3 and list(now.folded.values()) == [n // 2 * 2 - 1]
+    spare = gold_table.superseded(spark, path, published)
+    assert len(spare) == n // 2 - 1 + n // 2 * 2 and upkeep.vacuum(spark, spare) == []
+    assert sorted(upkeep.vacuum(spark, spare, retention_hours=-1)) == sorted(spare)
+    assert gold_table.superseded(spark, path, published) == []
+    assert same(lake.gold(), lake.batch_gold())
+
+
+def test_failed_publishing_stops_no_stream(spark, tmp_path, monkeypatch, caplog):
+    def fail(*_, **__):
+        raise OSError("no space")
+
+    monkeypatch.setattr(gold_table, "publish", fail)
+    lake = Lake(spark, tmp_path, published=f"{tmp_path}/published", publish_every=1)
+    lake.send(FIRST)
+    lake.catch_up()
+    assert "publishing" in caplog.text and lake.gold().count() == 4
 
 
 def silver_rows(spark, rows):
@@ -150,106 +160,169 @@ def silver_rows(spark, rows):
     )
 
 
+def new_states(spark, path):
+    gold_table.open_view(spark, path, AS_OF)
+    return path
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
-    path = str(tmp_path)
+    path, target = new_states(spark, f"{tmp_path}/states"), f"{tmp_path}/published"
     one = silver_rows(spark, [("a.com", "malware", "s", 1), ("b.com", "ads_trackers", "s", 2)])
     two = silver_rows(spark, [("a.com", "ads_trackers", "t", 3)])
-    gold_log.append(one, path, "run", 0, AS_OF)
-    gold_log.append(two, path, "run", 1, AS_OF)
-    once = gold_log.read(spark, path, AS_OF)
-    expected = once.collect()
-    gold_log.append(two, path, "run", 1, AS_OF)
-    assert sorted(gold_log.read(spark, path, AS_OF).collect()) == sorted(expected)
-    for whole in (False, True):
-        gold_log.compact(spark, path, "run", 1, 2, whole)
-        gold_log.compact(spark, path, "run", 1, 2, whole)
-    assert sorted(gold_log.read(spark, path, AS_OF).collect()) == sorted(expected)
+    gold_table.append(one, path, "run", 0, AS_OF)
+    gold_table.append(two, path, "run", 1, AS_OF)
+    expected = sorted(gold_table.read(spark, path, AS_OF).collect())
+    gold_table.append(two, path, "run", 1, AS_OF)
+    assert sorted(gold_table.read(spark, path, AS_OF).collect()) == expected
+    for _ in range(2):
+        gold_table.publish(spark, path, target, buckets=2, as_of=AS_OF)
+        gold_table.append(two, path, "run", 1, AS_OF)
+        assert sorted(gold_table.read(spark, path, AS_OF).collect()) == expected
     # Another checkpoint counts from zero again, next to the first run.
-    gold_log.append(silver_rows(spark, [("a.com", "malware", "u", 9)]), path, "again", 0, AS_OF)
-    rows = {r.domain: r.source_count for r in gold_log.read(spark, path, AS_OF).collect()}
+    gold_table.append(silver_rows(spark, [("a.com", "malware", "u", 9)]), path, "again", 0, AS_OF)
+    rows = {r.domain: r.source_count for r in gold_table.read(spark, path, AS_OF).collect()}
     assert rows == {"a.com": 3, "b.com": 1}
+    assert gold_table.publish(spark, path, target, as_of=AS_OF).folded == {"run": 1, "again": 0}
+
+
+def test_a_batch_appears_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(9).select("id", (F.col("id") % 3).alias("day"))
 
+    def lost(*_):
+        raise OSError("lost before the rename")
 
-def test_half_written_folders_are_not_read(spark, tmp_path):
-    path = str(tmp_path)
-    gold_log.append(silver_rows(spark, [("a.com", "malware", "s", 1)]), path, "run", 0, AS_OF)
-    gold_log.append(silver_rows(spark, [("b.com", "malware", "s", 1)]), path, "run", 1, AS_OF)
-    folders.delete(spark, f"{path}/log/run/{0:012d}/{1:012d}/_committed")
-    assert [r.domain for r in gold_log.read(spark, path).collect()] == ["a.com"]
+    with monkeypatch.context() as broken, pytest.raises(OSError):
+        broken.setattr(append.folders, "move", lost)
+        append.write_batch(rows, path, "run", 0, ["day"])
+    assert not folders.exists(spark, f"{path}/run=run")
+    assert append.write_batch(rows, path, "run", 0, ["day"])
+    files = folders.glob(spark, f"{path}/run=run/batch_id=0/day=*/*.parquet")
+    assert len(files) == 3
+    assert not append.write_batch(rows, path, "run", 0, ["day"])
+    assert folders.glob(spark, f"{path}/run=run/batch_id=0/day=*/*.parquet") == files
+    assert spark.read.parquet(path).count() == 9
 
 
-def test_gold_is_read_without_log_folder_or_success_markers(spark, tmp_path):
-    path = str(tmp_path)
-    marker = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set(marker, "false")
+def test_a_date_with_most_rows_is_split(spark, tmp_path):
+    path, advisory = str(tmp_path / "t"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(0, 200_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("x"), F.when(F.col("id") < 190_000, 1).otherwise(F.col("id") % 5).alias("day"))
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "1MB")
     try:
-        gold_log.append(silver_rows(spark, [("a.com", "malware", "s", 1)]), path, "run", 0, AS_OF)
-        assert [r.domain for r in gold_log.read(spark, path).collect()] == ["a.com"]
-        gold_log.compact(spark, path, "run", 0, 2, whole=True)
+        append.write_batch(rows, path, "run", 0, ["day"])
     finally:
-        conf.unset(marker)
-    folders.delete(spark, f"{path}/log")
-    assert [r.domain for r in gold_log.read(spark, path).collect()] == ["a.com"]
+        spark.conf.set(advisory, before)
+    per_day = spark.read.parquet(path).groupBy("day", F.col("_metadata.file_path")).count().groupBy("day").agg(F.count("*").alias("files"), F.max("count").alias("most")).collect()
+    found = {r.day: (r.files, r.most) for r in per_day}
+    assert found[1][0] >= 4 and found[1][1] < 100_000
+    assert sum(files for files, _ in found.values()) <= 5 + 200_000 * 70 // (1 << 20)
 
 
-def test_published_gold_is_a_catalog_table(spark, tmp_path):
-    path = str(tmp_path)
+def test_views_prune_dates_and_carry_properties(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    lake.send([(f"d{i}.com", "malware", "s", i * 1440) for i in range(3)])
+    lake.catch_up("bronze", "silver")
+    one = spark.sql("SELECT domain FROM bronze.domains WHERE ingestion_date = DATE '2024-02-01'")
+    assert [r.domain for r in one.collect()] == ["d1.com"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ingestion_date" in plan
+    assert [c.name for c in spark.catalog.listColumns("silver.domains")] == schemas.SILVER.fieldNames()
+    catalog.ensure_table(spark, f"{lake.root}/bronze", schemas.BRONZE, name="bronze.domains", properties={"owner": "it's me"})
+    assert catalog.properties_of(spark, "bronze.domains")["owner"] == "it's me"
+    assert catalog.properties_of(spark, "bronze.nothing") == {}
+    # A table without any batch can be read, too.
+    assert catalog.ensure_table(spark, f"{tmp_path}/new", schemas.SILVER, ["run", "batch_id", "ingestion_date"], name="silver.new")
+    assert spark.table("silver.new").count() == 0 and spark.table("silver.new").schema["ingestion_date"].dataType.typeName() == "date"
+
+
+def test_published_side_is_neither_shuffled_nor_read_for_other_names(spark, tmp_path):
+    path, target = new_states(spark, f"{tmp_path}/states"), f"{tmp_path}/published"
+    names = [f"d{i:05d}.com" for i in range(3000)]
+    gold_table.append(silver_rows(spark, [(d, "malware", "s", 1) for d in names]), path, "run", 0, AS_OF)
+    gold_table.publish(spark, path, target, buckets=4, as_of=AS_OF)
+    gold_table.append(silver_rows(spark, [("d00007.com", "malware", "t", 2), ("new.com", "malware", "t", 2)]), path, "run", 1, AS_OF)
+    found = gold_table.read(spark, path, AS_OF)
+    version = gold_table.current(spark, path)
+    folding = spark.sql(gold_table._folded(path, version, {"run": 1}))
+    for frame in (found, folding):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        scans = [line for line in plan.splitlines() if "version_" in line and "Scan" in line]
+        assert scans and all("Bucketed: true" in line for line in scans)
+        # Only the newer states are dealt, by the hint.
+        assert all("REPARTITION_BY_NUM" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert found.count() == 3001
+    rows = found.filter("domain IN ('d00007.com', 'new.com', 'nowhere.com')").collect()
+    assert sorted((r.domain, r.source_count) for r in rows) == [("d00007.com", 2), ("new.com", 1)]
+    plan = found.filter("domain = 'd00007.com'")._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 1 out of 4" in plan and "PushedFilters: [IsNotNull(domain), EqualTo(domain,d00007.com)]" in plan
+
+
+def scanned(frame):
+    """Rows that the scans of an executed frame gave out."""
+    frame.collect()
+
+    def total(plan):
+        own = plan.metrics().get("numOutputRows").get().value() if "Scan" in plan.nodeName() else 0
+        inner = plan.executedPlan() if plan.nodeName().startswith("AdaptiveSparkPlan") else None
+        children = [inner] if inner is not None else [plan.children().apply(i) for i in range(plan.children().size())]
+        return own + sum(map(total, children))
+
+    return total(frame._jdf.queryExecution().executedPlan())
+
+
+def test_bloom_filters_skip_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(gold_table, "ROW_GROUP_BYTES", 4096)
+    path = new_states(spark, f"{tmp_path}/states")
+    # Names in between, so that min and max alone skip nothing.
+    names = [f"d{i:05d}.com" for i in range(0, 8000, 2)]
+    gold_table.append(silver_rows(spark, [(d, "malware", "s", 1) for d in names]), path, "run", 0, AS_OF)
+    version = gold_table.publish(spark, path, f"{tmp_path}/published", buckets=1, as_of=AS_OF)
+    table = spark.table(version.table)
+    missing = [scanned(table.filter(F.col("domain") == f"d{i:05d}.com")) for i in range(1001, 1041, 2)]
+    there = [scanned(table.filter(F.col("domain") == f"d{i:05d}.com")) for i in range(1000, 1010, 2)]
+    assert all(0 < n < 4000 for n in there)
+    assert sum(n == 0 for n in missing) >= 18
+
+
+def test_published_gold_is_a_catalog_name(spark, tmp_path):
+    path = new_states(spark, f"{tmp_path}/gold")
     for number, domain in enumerate(("a.com", "b.com")):
         rows = silver_rows(spark, [(domain, "malware", "s", 1)])
-        gold_log.append(rows, f"{path}/gold", "run", number, AS_OF)
-        assert pipeline.publish_gold(spark, f"{path}/gold", f"{path}/out", as_of=AS_OF) == "`gold`.`domains`"
+        gold_table.append(rows, path, "run", number, AS_OF)
+        gold_table.publish(spark, path, f"{tmp_path}/out", as_of=AS_OF)
         assert spark.sql("SELECT count(*) AS n FROM gold.domains").first().n == number + 1
+    # The name follows the table it was opened for last.
+    other = new_states(spark, f"{tmp_path}/other")
+    assert spark.table("gold.domains").count() == 0 and gold_table.current(spark, path) == gold_table.Version()
+    assert gold_table.publish(spark, other, f"{tmp_path}/out2", as_of=AS_OF).folded == {}
 
 
-def test_any_mix_of_base_recent_and_log(spark, tmp_path):
-    """Four batches under different compactions, also with a new bucket count, against one pass."""
+def test_any_mix_of_versions_and_batches(spark, tmp_path):
+    """Four batches, versions after some of them, also with a new bucket count, against one pass."""
     batches = [
         silver_rows(spark, [(f"d{i}.com", "malware" if i == b else "ads_trackers", f"s{b}", b * 100 + i) for i in range(b, b + 9)])
         for b in range(4)
     ]
-    for case, plan in enumerate(["", "w", "r-r", "wr", "rw-r", "wwww"]):
-        path = f"{tmp_path}/{case}"
+    for case, plan in enumerate(["", "p", " p p", "pppp"]):
+        path = new_states(spark, f"{tmp_path}/{case}")
         everything = None
         for b, batch in enumerate(batches):
-            gold_log.append(batch, path, "run", b, AS_OF)
+            gold_table.append(batch, path, "run", b, AS_OF)
             everything = batch if everything is None else everything.unionByName(batch)
-            step = plan[b : b + 1]
-            if step in ("w", "r"):
-                gold_log.compact(spark, path, "run", b, 3 + b % 2, whole=step == "w")
-        table = gold_log.read(spark, path, AS_OF)
+            if plan[b : b + 1] == "p":
+                gold_table.publish(spark, path, f"{tmp_path}/{case}p", buckets=3 + b % 2, as_of=AS_OF)
+        table = gold_table.read(spark, path, AS_OF)
         assert same(table, gold.aggregate(everything, AS_OF)), plan
         assert table.count() == 12 and table.select("domain").distinct().count() == 12
-        one = gold_log.read(spark, path, AS_OF, domains=["d5.com"]).collect()
+        one = table.filter("domain = 'd5.com'").collect()
         assert [(r.domain, r.source_count) for r in one] == [("d5.com", 4)]
 
 
-def test_base_is_read_without_a_shuffle_and_pruned_by_bucket(spark, tmp_path):
-    path = str(tmp_path)
-    rows = [(f"d{i}.com", "malware", "s", i) for i in range(50)]
-    gold_log.append(silver_rows(spark, rows), path, "run", 0, AS_OF)
-    gold_log.compact(spark, path, "run", 0, 7, whole=True)
-    gold_log.append(silver_rows(spark, rows[:5]), path, "run", 1, AS_OF)
-    table = gold_log.read(spark, path, AS_OF)
-    plan = table._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
-    one = gold_log.read(spark, path, AS_OF, domains=["d7.com"])
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "SelectedBucketsCount: 1 out of 7" in plan and "EqualTo(domain,d7.com)" in plan
-    assert one.count() == 1 and table.count() == 50
-
-
-def test_failed_compaction_does_not_stop_the_stream(spark, tmp_path, monkeypatch):
-    def fail(*_):
-        raise RuntimeError("no room")
-
-    monkeypatch.setattr(gold_log, "compact", fail)
-    lake = Lake(spark, tmp_path, compact_every=1)
-    lake.send(FIRST)
-    lake.catch_up()
-    assert lake.gold().count() == 4
-
-
 def test_valid_filter_reaches_the_scan(spark, tmp_path):
     silver_rows(spark, [("a.com", "malware", "s", 1)]).write.partitionBy("ingestion_date").parquet(f"{tmp_path}/s")
     frame = silver.valid_only(layers.table(spark, f"{tmp_path}/s", schemas.SILVER)).select("domain")

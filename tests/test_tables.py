@@ -85,6 +85,37 @@ def test_cluster_keeps_rows_and_splits_a_hot_value(spark, tmp_path):
     assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
 
 
+def test_a_curve_serves_lookups_on_each_column(spark, tmp_path):
+    """A grid of two columns: sorting serves the first only, the curve both."""
+    rows = spark.range(16_000).select(
+        F.sha2((F.col("id") % 400).cast("string"), 256).alias("domain"),
+        F.when(F.col("id") % 50 > 0, F.timestamp_seconds(F.col("id") * 7919 % 1_000_000)).alias("last_seen"),
+        "id",
+    )
+    rows.repartition(3).write.parquet(f"{tmp_path}/in")
+    opened = {}
+    for case, columns in {"sorted": ["domain"], "curve": ["domain", "last_seen"]}.items():
+        upkeep.cluster(spark, f"{tmp_path}/in", rows.schema, f"{tmp_path}/{case}", columns, files=64)
+        out = layers.table(spark, f"{tmp_path}/{case}", rows.schema)
+        assert out.exceptAll(rows).count() == 0 and out.count() == 16_000
+        opened[case] = {r.column: (r.files, r.opened) for r in upkeep.lookups(out, ["domain", "last_seen"]).collect()}
+    assert opened["sorted"]["domain"][1] < 3 and opened["sorted"]["last_seen"][1] > 50
+    for files, on_average in opened["curve"].values():
+        assert files == 64 and on_average <= 2 * 8
+
+
+def test_curve_of_equal_null_and_no_rows(spark, tmp_path):
+    for case, rows in {
+        "equal": spark.range(500).select(F.lit("x").alias("domain"), F.lit(None).cast("date").alias("day")),
+        "none": spark.range(0).select(F.lit("x").alias("domain"), F.lit(None).cast("date").alias("day")),
+    }.items():
+        rows.write.parquet(f"{tmp_path}/{case}")
+        upkeep.cluster(spark, f"{tmp_path}/{case}", rows.schema, f"{tmp_path}/{case}-out", ["domain", "day"], files=4)
+        out = layers.table(spark, f"{tmp_path}/{case}-out", rows.schema)
+        assert out.count() == rows.count()
+        assert out.groupBy(F.col("_metadata.file_path")).count().filter("count > 250").count() == 0
+
+
 def test_compact_merges_small_files_and_keeps_rows(spark, tmp_path):
     rows = gold_rows(spark, 300).withColumn("category", F.when(F.col("domain_hash") % 3 == 0, "a").otherwise("b"))
     rows.repartition(12).write.partitionBy("category").parquet(f"{tmp_path}/in")
