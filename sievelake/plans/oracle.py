@@ -433,6 +433,10 @@ ORACLE = {
     SELECT strftime(ts, '%Y-%m-%d') AS ingestion_date, source, count(*) AS n,
            sum(off)::BIGINT AS offsets
     FROM ({SIGHTINGS}) GROUP BY ALL""",
+    "live_compaction": f"""
+    SELECT layer, strftime(ts, '%Y-%m-%d') AS ingestion_date, source, count(*) AS n,
+           sum(off)::BIGINT AS offsets, true AS fewer_files
+    FROM ({SIGHTINGS}), (VALUES ('bronze'), ('silver')) v(layer) GROUP BY ALL""",
     "table_stats": f"""
     SELECT count(*) AS row_count, NULL::VARCHAR AS error FROM ({SIGHTINGS})""",
     "freshness": f"""

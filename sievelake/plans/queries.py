@@ -20,7 +20,7 @@ from sievelake.sinks.publish import publish
 from sievelake.sources import files, layers
 from sievelake.sources.topics import message_stream
 from sievelake.streaming import gold_table, pipeline
-from sievelake.tables import catalog, folders, upkeep
+from sievelake.tables import batches, catalog, folders, upkeep
 
 CHECKED_AT = "2024-01-31 00:20:00"
 
@@ -559,6 +559,34 @@ def silver_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(day("ingestion_date"), "source", "n", "offsets")
 
 
+def live_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw layer by its name, compacted between two runs of the streams."""
+    root = folders.scratch(spark, "stream")
+    entries = feeds.sightings(spark, sf_dir)
+    even = F.col("offset") % 2 == 0
+    publish(feeds.transport(entries.filter(even).repartition(3)), path=f"{root}/topics")
+    streamed(spark, root, files=2)
+
+    def files() -> int:
+        return spark.table("bronze.domains").select(F.input_file_name()).distinct().count()
+
+    before = files()
+    batches.compact(spark, "bronze.domains", schemas.BRONZE, f"{root}/compacted", ["ingestion_date"])
+    fewer = files() < before
+    publish(feeds.transport(entries.filter(~even)), path=f"{root}/topics")
+    streamed(spark, root, files=2)
+    counted = [
+        spark.sql(f"SELECT '{layer}' AS layer, ingestion_date, source, {offset} AS off FROM {layer}.domains")
+        for layer, offset in (("bronze", "kafka_offset"), ("silver", "bronze_offset"))
+    ]
+    return (
+        counted[0]
+        .unionByName(counted[1])
+        .groupBy("layer", day("ingestion_date"), "source")
+        .agg(F.count("*").alias("n"), F.sum("off").alias("offsets"), F.lit(fewer).alias("fewer_files"))
+    )
+
+
 # Statistics and quality
 
 
@@ -640,6 +668,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         gold_curve,
         catalog_gold,
         silver_compacted,
+        live_compaction,
         table_stats,
         freshness,
         health,

@@ -9,11 +9,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from sievelake.tables import folders
+from sievelake.tables.batches import write_batch
 
 INTERVAL = re.compile(r"\d+")
-# A batch table is partitioned by the stream that wrote it and its batch, before anything else.
-BATCH = ("run", "batch_id")
 
 
 def trigger(interval: str | None) -> dict:
@@ -30,29 +28,6 @@ def trigger(interval: str | None) -> dict:
     raise ValueError(f"not an interval in seconds or minutes: {interval!r}")
 
 
-def write_batch(
-    rows: DataFrame, path: str, run: str, number: int, partition_by: Sequence[str] = ()
-) -> bool:
-    """Write one micro-batch to its own folder; False if it is there already.
-
-    Rows are rebalanced on ``partition_by``, so small dates share a task and one that holds most of
-    the batch is split at the session's advisory partition size. The folder is written aside
-    and moved into place by one rename, so readers see all of a batch or nothing, and a
-    replayed batch, which has the same rows, leaves the first one as it is.
-    """
-    spark = rows.sparkSession
-    place = f"{path}/{BATCH[0]}={run}/{BATCH[1]}={number}"
-    if folders.exists(spark, place):
-        return False
-    aside = f"{path}/_writing/{run}-{number}"
-    writer = rows.hint("rebalance", *partition_by).write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(aside)
-    folders.move(spark, aside, place)
-    return True
-
-
 def batch_stream(
     rows: DataFrame,
     write: Callable[[DataFrame, str, int], None],

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sievelake import schemas
 from sievelake.operators import gold
-from sievelake.sinks.append import BATCH, write_batch
 from sievelake.tables import catalog, folders
+from sievelake.tables.batches import BATCH, between, last_batches, upto_folders, write_batch
 
 VIEW = "gold.domains"
 # Rows of a version's row groups, between which a lookup by Bloom filter chooses.
@@ -50,27 +50,12 @@ def current(spark: SparkSession, path: str, view: str = VIEW) -> Version:
     return Version(version["folder"], found["version"], int(version["buckets"]), json.loads(version["folded"]))
 
 
-def _batches(spark: SparkSession, path: str) -> dict[str, int]:
-    """The last batch of each run, out of the names of folders."""
-    last: dict[str, int] = {}
-    for place in folders.glob(spark, f"{path}/{BATCH[0]}=*/{BATCH[1]}=*"):
-        run, number = (part.split("=", 1)[1] for part in place.rstrip("/").split("/")[-2:])
-        if int(number) >= 0:
-            last[run] = max(int(number), last.get(run, -1))
-    return last
-
-
 def _newer(path: str, version: Version, upto: Mapping[str, int] | None = None) -> str:
     """SQL of the rows of batches that are not in the version, and not after ``upto``.
 
     The filter prunes folders.
     """
-    wanted = ["batch_id >= 0"]
-    wanted += [f"NOT (run = '{run}' AND batch_id <= {last})" for run, last in version.folded.items()]
-    if upto is not None:
-        ends = [f"(run = '{run}' AND batch_id <= {last})" for run, last in upto.items()]
-        wanted.append(f"({' OR '.join(ends) or 'false'})")
-    rows = f"FROM {catalog.folder(path)} WHERE {' AND '.join(wanted)}"
+    rows = f"FROM {catalog.folder(path)} WHERE {between(version.folded, upto)}"
     # Cut as the buckets are, so that a join finds both sides in place.
     hint = f"/*+ REPARTITION({version.buckets}, domain) */" if version.table else ""
     fold = ", ".join(gold.FOLDED)
@@ -140,7 +125,7 @@ def publish(
     """
     before = current(spark, path, view)
     buckets = buckets or before.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    upto = _batches(spark, path)
+    upto = last_batches(spark, path)
     states = spark.sql(_folded(path, before, upto))
     if buckets != before.buckets:
         states = states.repartition(buckets, "domain")
@@ -174,10 +159,4 @@ def superseded(spark: SparkSession, path: str, target: str, view: str = VIEW) ->
     """
     now = current(spark, path, view)
     versions = [p for p in folders.glob(spark, f"{target}/version_*") if now.table and not p.endswith(now.path.rsplit("/", 1)[-1])]
-    batches = [
-        place
-        for run, last in now.folded.items()
-        for place in folders.glob(spark, f"{path}/{BATCH[0]}={run}/{BATCH[1]}=*")
-        if int(place.rstrip("/").rsplit("=", 1)[-1]) <= last
-    ]
-    return versions + batches
+    return versions + upto_folders(spark, path, now.folded)

@@ -12,9 +12,10 @@ from sievelake import schemas
 from sievelake.operators import bronze as bronze_rules
 from sievelake.operators import silver as silver_rules
 from sievelake.settings import COMPACT_EVERY_BATCHES, TRIGGERS
-from sievelake.sinks.append import BATCH, append_stream, batch_stream
+from sievelake.sinks.append import append_stream, batch_stream
 from sievelake.sources import layers
 from sievelake.streaming import gold_table
+from sievelake.tables.batches import BATCH, open_view
 from sievelake.tables.catalog import ensure_table
 
 log = logging.getLogger(__name__)
@@ -34,8 +35,8 @@ def bronze(
 
     ``bronze.domains`` in the catalog shows it from the start.
     """
-    days = [*BATCH, "ingestion_date"]
-    ensure_table(messages.sparkSession, path, schemas.BRONZE, days, name="bronze.domains", properties=properties)
+    ensure_table(messages.sparkSession, path, schemas.BRONZE, [*BATCH, "ingestion_date"])
+    open_view(messages.sparkSession, "bronze.domains", path, schemas.BRONZE, properties)
     return append_stream(
         bronze_rules.transform(messages, as_of),
         path,
@@ -62,8 +63,8 @@ def silver(
 
     ``silver.domains`` in the catalog shows it from the start.
     """
-    days = [*BATCH, "ingestion_date"]
-    ensure_table(spark, path, schemas.SILVER, days, name="silver.domains", properties=properties)
+    ensure_table(spark, path, schemas.SILVER, [*BATCH, "ingestion_date"])
+    open_view(spark, "silver.domains", path, schemas.SILVER, properties)
     rows = layers.table_stream(spark, bronze_path, schemas.BRONZE, max_files_per_trigger)
     return append_stream(
         silver_rules.transform(rows, as_of),

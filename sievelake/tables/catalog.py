@@ -30,42 +30,20 @@ def ensure_table(
     path: str,
     schema: StructType,
     partition_by: Sequence[str] = (),
-    *,
-    name: str | None = None,
-    properties: Mapping[str, str] | None = None,
 ) -> bool:
     """Write an empty table unless the folder is there; True when it was created.
 
-    The empty table is one file without rows, so that the folder can be read at once. With a
-    ``name`` (``database.view``), a persistent view of that name shows the folder in any case,
-    with the ``properties`` given.
-    """
-    created = not folders.exists(spark, path)
-    if created:
-        # Values nothing else has, of the types that the partition columns have.
-        empty = {"run": "none", "batch_id": "-1"}
-        values = [f"{c}={empty.get(c, '__HIVE_DEFAULT_PARTITION__')}" for c in partition_by]
-        fields = [f for f in schema if f.name not in partition_by]
-        rows = spark.createDataFrame([], StructType(fields)).coalesce(1)
-        rows.write.parquet("/".join([path, *values]))
-    if name:
-        view_over(spark, name, path, schema, properties)
-    return created
-
-
-def view_over(
-    spark: SparkSession,
-    name: str,
-    path: str,
-    schema: StructType,
-    properties: Mapping[str, str] | None = None,
-) -> str:
-    """A persistent view over a Parquet folder that streams may be writing; returns its name.
-
-    It lists the folder anew for each query, and filters on partition columns prune folders.
+    The empty table is one file without rows, so that the folder can be read at once.
     """
-    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
-    return create_view(spark, name, f"SELECT {columns} FROM {folder(path)}", properties)
+    if folders.exists(spark, path):
+        return False
+    # Values nothing else has, of the types that the partition columns have.
+    empty = {"run": "none", "batch_id": "-1"}
+    values = [f"{c}={empty.get(c, '__HIVE_DEFAULT_PARTITION__')}" for c in partition_by]
+    fields = [f for f in schema if f.name not in partition_by]
+    rows = spark.createDataFrame([], StructType(fields)).coalesce(1)
+    rows.write.parquet("/".join([path, *values]))
+    return True
 
 
 def folder(path: str) -> str:
@@ -109,7 +87,7 @@ def register_table(
 
     A table that is registered elsewhere stays where it is, with a warning, unless
     ``replace`` points it to the new folder. No data is ever deleted. This is for folders
-    written by batch jobs; ``view_over`` shows those a stream is still writing.
+    written by batch jobs; ``batches.open_view`` shows those a stream is still writing.
     """
     full = f"`{database}`.`{name}`"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`")

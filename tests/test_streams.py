@@ -9,9 +9,8 @@ from sievelake.sinks.append import trigger
 from sievelake.sinks.publish import publish
 from sievelake.sources import layers
 from sievelake.sources.topics import message_stream
-from sievelake.sinks import append
 from sievelake.streaming import gold_table, pipeline
-from sievelake.tables import catalog, folders, upkeep
+from sievelake.tables import batches, catalog, folders, upkeep
 
 AS_OF = "2024-02-01"
 BASE = datetime(2024, 1, 31)
@@ -193,13 +192,13 @@ def test_a_batch_appears_whole_or_not_at_all(spark, tmp_path, monkeypatch):
         raise OSError("lost before the rename")
 
     with monkeypatch.context() as broken, pytest.raises(OSError):
-        broken.setattr(append.folders, "move", lost)
-        append.write_batch(rows, path, "run", 0, ["day"])
+        broken.setattr(batches.folders, "move", lost)
+        batches.write_batch(rows, path, "run", 0, ["day"])
     assert not folders.exists(spark, f"{path}/run=run")
-    assert append.write_batch(rows, path, "run", 0, ["day"])
+    assert batches.write_batch(rows, path, "run", 0, ["day"])
     files = folders.glob(spark, f"{path}/run=run/batch_id=0/day=*/*.parquet")
     assert len(files) == 3
-    assert not append.write_batch(rows, path, "run", 0, ["day"])
+    assert not batches.write_batch(rows, path, "run", 0, ["day"])
     assert folders.glob(spark, f"{path}/run=run/batch_id=0/day=*/*.parquet") == files
     assert spark.read.parquet(path).count() == 9
 
@@ -210,7 +209,7 @@ def test_a_date_with_most_rows_is_split(spark, tmp_path):
     before = spark.conf.get(advisory)
     spark.conf.set(advisory, "1MB")
     try:
-        append.write_batch(rows, path, "run", 0, ["day"])
+        batches.write_batch(rows, path, "run", 0, ["day"])
     finally:
         spark.conf.set(advisory, before)
     per_day = spark.read.parquet(path).groupBy("day", F.col("_metadata.file_path")).count().groupBy("day").agg(F.count("*").alias("files"), F.max("count").alias("most")).collect()
@@ -219,23 +218,59 @@ def test_a_date_with_most_rows_is_split(spark, tmp_path):
     assert sum(files for files, _ in found.values()) <= 5 + 200_000 * 70 // (1 << 20)
 
 
+def prunes_dates(frame):
+    """Whether every scan of the physical plan filters its folders by date."""
+    executed = frame._jdf.queryExecution().executedPlan()
+    scans = [executed.collectLeaves().apply(i) for i in range(executed.collectLeaves().size())]
+    return bool(scans) and all("ingestion_date" in s.partitionFilters().toString() for s in scans)
+
+
 def test_views_prune_dates_and_carry_properties(spark, tmp_path):
     lake = Lake(spark, tmp_path)
     lake.send([(f"d{i}.com", "malware", "s", i * 1440) for i in range(3)])
     lake.catch_up("bronze", "silver")
     one = spark.sql("SELECT domain FROM bronze.domains WHERE ingestion_date = DATE '2024-02-01'")
     assert [r.domain for r in one.collect()] == ["d1.com"]
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ingestion_date" in plan
+    assert prunes_dates(one)
     assert [c.name for c in spark.catalog.listColumns("silver.domains")] == schemas.SILVER.fieldNames()
-    catalog.ensure_table(spark, f"{lake.root}/bronze", schemas.BRONZE, name="bronze.domains", properties={"owner": "it's me"})
+    batches.open_view(spark, "bronze.domains", f"{lake.root}/bronze", schemas.BRONZE, {"owner": "it's me"})
     assert catalog.properties_of(spark, "bronze.domains")["owner"] == "it's me"
     assert catalog.properties_of(spark, "bronze.nothing") == {}
     # A table without any batch can be read, too.
-    assert catalog.ensure_table(spark, f"{tmp_path}/new", schemas.SILVER, ["run", "batch_id", "ingestion_date"], name="silver.new")
+    assert catalog.ensure_table(spark, f"{tmp_path}/new", schemas.SILVER, ["run", "batch_id", "ingestion_date"])
+    batches.open_view(spark, "silver.new", f"{tmp_path}/new", schemas.SILVER)
     assert spark.table("silver.new").count() == 0 and spark.table("silver.new").schema["ingestion_date"].dataType.typeName() == "date"
 
 
+def files_of(spark, name):
+    return spark.table(name).select(F.input_file_name()).distinct().count()
+
+
+def test_compaction_between_batches_is_seen_by_readers_only(spark, tmp_path):
+    lake = Lake(spark, tmp_path)
+    target, path = f"{tmp_path}/compacted", f"{lake.root}/bronze"
+    send = lambda day: lake.send([(f"d{i}.com", "malware", "s", day * 1440 + i) for i in range(4)])
+    for day in (0, 0, 1):
+        send(day)
+        lake.catch_up("bronze", "silver")
+    batches.open_view(spark, "bronze.domains", path, schemas.BRONZE, {"owner": "me"})
+    before, files = sorted(spark.table("bronze.domains").collect()), files_of(spark, "bronze.domains")
+    spare = batches.compact(spark, "bronze.domains", schemas.BRONZE, target, ["ingestion_date"])
+    assert sorted(spark.table("bronze.domains").collect()) == before
+    assert files_of(spark, "bronze.domains") == 2 < files and len(spare) >= 3
+    # The streams go on, from their checkpoints, and see nothing of it.
+    send(1)
+    lake.catch_up()
+    rows = spark.table("bronze.domains")
+    assert rows.count() == 16 and lake.count("silver") == 16 and lake.gold().count() == 4
+    # Only what came since is rewritten the next time, and a failed attempt is not seen.
+    folders.touch(spark, f"{target}/run=compacted/batch_id=1/ingestion_date=2024-01-01/part-half.parquet")
+    batches.compact(spark, "bronze.domains", schemas.BRONZE, target, ["ingestion_date"])
+    assert spark.table("bronze.domains").count() == 16 and files_of(spark, "bronze.domains") == 3
+    one = spark.sql("SELECT * FROM bronze.domains WHERE ingestion_date = DATE '2024-01-31'")
+    assert one.count() == 8 and prunes_dates(one)
+
+
 def test_published_side_is_neither_shuffled_nor_read_for_other_names(spark, tmp_path):
     path, target = new_states(spark, f"{tmp_path}/states"), f"{tmp_path}/published"
     names = [f"d{i:05d}.com" for i in range(3000)]
