@@ -80,9 +80,84 @@ def test_wrappers_do_not_take_the_article_with_them(page, text):
     assert " ".join(line for _, line in html_text.lines(page)) == text
 
 
-def test_names_that_only_hold_a_mark_are_left_to_the_differencing():
-    page = "<div class='main-menu'>Menu</div><article>Text<div class='share-buttons'>Share</div></article>"
-    assert html_text.lines(page) == [("open", "Menu"), ("keep", "Text"), ("open", "Share")]
+@pytest.mark.parametrize("name,head", [
+    ("site-footer", "footer"), ("cookie-bar", "cookie"), ("user-comments", "comments"), ("ad-box", "ad"), ("menu-item", "menu"),
+    ("comments-list", "comments"), ("adBox1", "ad"), ("main-menu", "menu"), ("share-buttons", "share"), ("with-sidebar", ""), ("has-sidebar", ""),
+    ("main-content", "main"), ("social-science", "science"), ("ad-free", "free"), ("widget", "widget"), ("x__footer--dark", "dark"), ("42", ""),
+])
+def test_head_words(name, head):
+    assert html_text.head_word(name) == head
+
+
+def test_names_are_judged_by_their_head_word():
+    page = (
+        "<div class='site-footer'>F</div><div id='cookie-bar'>C</div><div class='user-comments'>U</div><div class='main-menu'>M</div><div class='menu-planning'>Week</div>"
+        "<article>Text<div class='ad-box'>A</div><div class='menu-item'>I</div><div class='comments-list'>L</div><div class='share-buttons'>S</div><p class='ad-free'>More</p></article>"
+    )
+    assert html_text.lines(page) == [("open", "Week"), ("keep", "Text"), ("open", "More")]
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<article><p title=it's>Hello world. Don't stop</p><p>second</p></article>", "Hello world. Don't stop second"),
+    ("<article><p data-x = 'a > b' \"c>one</p><p class=\"x'y\">two</p></article>", "one two"),
+    ("<article><a href=x?a='b>c</a></article>", "c"),
+    ("<article><p title=\"never closed>not lost</p>", "not lost"),
+    ("<article><div class=ad'>x</div>y</article>", "y"),
+])
+def test_quotes_count_after_an_equals_sign_only(page, text):
+    assert " ".join(line for _, line in html_text.lines(page)) == text
+
+
+def test_time_and_memory_grow_with_the_page():
+    import time
+    import tracemalloc
+
+    start = time.perf_counter()
+    html_text.lines("<div>" * 20_000 + "</p>" * 20_000 + "<b>" * 20_000 + "<td>" * 5_000)
+    assert time.perf_counter() - start < 10
+    rng = np.random.default_rng(3)
+    a, b = rng.permutation(100_000).astype(np.int64), rng.permutation(100_000).astype(np.int64)
+    a[::2] = b[::2] = -1
+    tracemalloc.start()
+    start = time.perf_counter()
+    shared = html_text.common_lines(a, b)
+    assert time.perf_counter() - start < 120 and tracemalloc.get_traced_memory()[1] < 1 << 29
+    tracemalloc.stop()
+    assert shared.sum() >= 50_000
+
+
+def test_differencing_equals_brute_force(spark):
+    """Hosts whose pages share some lines of a template: no longer cut removes fewer lines."""
+    import random
+
+    r = random.Random(8)
+    pages, own = [], {}
+    for host in range(6):
+        template = [f"T{host} {i}." for i in range(12)]
+        for n in range(20):
+            lines = sorted(r.sample(range(12), r.randint(3, 9)))
+            body = [template[i] for i in lines] + [f"only {host} {n}."]
+            r.shuffle(body)
+            url = f"http://h{host}.org/a/{n:03d}"
+            pages.append((url, "".join(f"<div>{line}</div>" for line in body)))
+            own[url] = (host, n, body)
+    found = dict(zip([u for u, _ in pages], texts_of(spark, pages), strict=True))
+
+    def longest(x, y):
+        table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, j in np.ndindex(len(x), len(y)):
+            table[i + 1][j + 1] = table[i][j] + 1 if x[i] == y[j] else max(table[i][j + 1], table[i + 1][j])
+        return table[-1][-1]
+
+    for url, (host, n, body) in own.items():
+        text = found[url]
+        kept = [line for line in body if line in text]
+        assert f"only {host} {n}." in text
+        sides = [own[f"http://h{host}.org/a/{m:03d}"][2] for m in (n - 1, n + 1) if 0 <= m < 20]
+        lengths = [longest(body, side) for side in sides]
+        dropped = len(body) - len(kept)
+        assert max(lengths) <= dropped <= sum(lengths)
+        assert all(any(line in side for side in sides) for line in body if line not in kept)
 
 
 def test_odd_pages(spark):
