@@ -22,11 +22,13 @@ _shipped: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
     global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     _own_folder = _own_folder or tempfile.mkdtemp(prefix="llm-shared-")
     return _own_folder
 
@@ -80,6 +82,11 @@ def _delete_written() -> None:
             return
 
 
+def fresh(label: str) -> str:
+    """A column name that no caller's table has."""
+    return f"_{label}_{uuid.uuid4().hex}"
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievelake.llm.common import ascii_lower, stored
+from sievelake.llm.common import ascii_lower, fresh, stored
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -45,19 +45,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
     A window is ``n`` consecutive words of an item of ``benchmark (item_id, text)``; an item
     of fewer words, but not none, is one window. ``n_hit`` counts the document's words
     inside any occurrence of a window, ``items`` are the sorted item ids, as strings, that
-    have one. Null and empty texts have no words. An item without words, or with a null id,
-    gives no window. Repeated rows get the same result each; other columns are ignored.
+    have one. Null and empty texts have no words. An item without words gives no window; the
+    windows of one with a null id count as any other, but name no item. Repeated rows get the same result each; other columns are ignored.
     ``text_hash`` tells apart documents with the same id.
 
     The documents' words are taken once and only the neighbourhoods of anchors are kept.
     """
-    grams = stored(windows(benchmark.filter("item_id IS NOT NULL"), n))
+    grams = stored(windows(benchmark, n))
     turns = max(1, -(-grams.select("anchor").distinct().count() // ANCHORS_AT_ONCE))
     w = F.col("w")
     base = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words(F.col("text")).alias("w"))
     scanned = []
     for turn in range(turns):
-        # At most about ANCHORS_AT_ONCE words come to the driver.
+        # At most about ANCHORS_AT_ONCE words are at the driver, and in a plan, at a time.
         anchors = [
             r.anchor
             for r in grams.filter(F.pmod(F.xxhash64("anchor"), F.lit(turns)) == turn).select("anchor").distinct().collect()
@@ -73,11 +73,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
                 F.slice(w, F.greatest(i - (n - 2), F.lit(1)), F.least(i, F.lit(n - 1)) + n).alias("near"),
             ),
         )
-        scanned.append(around)
-    found = stored(base.select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), F.concat(*scanned).alias("found")))
-    spots = found.select("doc_id", "text_hash", F.explode("found").alias("s")).select(
-        "doc_id", "text_hash", "s.*", F.element_at("s.near", F.col("s.before") + 1).alias("anchor")
-    )
+        scanned.append(stored(base.select("doc_id", "text_hash", F.size("w").cast("long").alias("n_words"), around.alias("found"))))
+    # Every turn has all documents.
+    found = scanned[0]
+    spots = reduce(
+        DataFrame.unionByName,
+        [part.filter(F.size("found") > 0).select("doc_id", "text_hash", F.explode("found").alias("s")) for part in scanned],
+    ).select("doc_id", "text_hash", "s.*", F.element_at("s.near", F.col("s.before") + 1).alias("anchor"))
     first = F.col("before") + 2 - F.col("at")
     size = F.size("gram")
     hits = (
@@ -112,9 +114,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> Dat
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
-    """``docs`` without the documents in which a window of the benchmark occurs."""
+    """``docs`` without the documents in which a window of the benchmark occurs; all columns."""
+    bad_id, bad_hash = fresh("id"), fresh("hash")
     bad = contamination(docs, benchmark, n).filter("n_hit > 0").select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")
+        F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)
     ).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_bad_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(bad_hash))
     return docs.join(bad, same, "left_anti")

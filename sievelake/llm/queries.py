@@ -211,7 +211,7 @@ ORACLE: dict[str, str] = {
         items AS (
           SELECT item_id, list_filter(regexp_split_to_array(
             {_lowered("coalesce(text, '')")}, '{decontamination.NOT_WORD}'), lambda x: x <> '') AS w
-          FROM benchmark WHERE item_id IS NOT NULL),
+          FROM benchmark),
         grams AS (
           SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + 9], ' ') AS gram
           FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
@@ -225,7 +225,7 @@ ORACLE: dict[str, str] = {
           FROM (SELECT row_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY row_id),
         named AS (
           SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
-          FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item FROM hits) GROUP BY row_id)
+          FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY row_id)
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
                coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated

@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sievelake.llm import decontamination, licenses, mixing, queries, url_filter
 
 PAGES = "page_id long, url string, verdict string, key string, rule_host string, block string"
@@ -218,8 +220,8 @@ def plain_contamination(docs, items, n=10):
     grams = {}
     for item, text in items:
         w = words(text)
-        for i in range(max(1, len(w) - n + 1) if w and item is not None else 0):
-            grams.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+        for i in range(max(1, len(w) - n + 1) if w else 0):
+            grams.setdefault(tuple(w[i : i + n]), set()).update([str(item)] if item is not None else [])
     out = []
     for doc, text in docs:
         w, hit, found = words(text), set(), set()
@@ -241,10 +243,10 @@ def test_contamination_equals_brute_force(spark, monkeypatch, anchors):
         return [rng.choice(["a", "b", "Ça", "d9", "eé", "ff"]) for _ in range(k)]
 
     items = [(i, " ".join(some(rng.choice([3, 9, 10, 11, 14, 30])))) for i in range(12)]
-    items += [(50, "Lone!"), (51, ""), (52, None), (None, "a b"), (1, items[1][1]), (53, "x-Y z, u; v. w/ a b c d e f g h")]
+    items += [(50, "Lone!"), (51, ""), (52, None), (None, "a b"), (None, "nobody knows whose"), (1, items[1][1]), (53, "x-Y z, u; v. w/ a b c d e f g h")]
     docs = [(i, " ".join(some(rng.randrange(60)))) for i in range(40)]
     docs += [(100 + i, " ".join(some(5) + items[i][1].split() + some(5))) for i in range(12)]
-    docs += [(200, None), (201, ""), (202, "LONE"), (203, "x y z u v w a b c d e"), (204, "q " * 30_000 + items[3][1]), (3, docs[3][1]), (3, "lone lone"), (None, "lone")]
+    docs += [(200, None), (201, ""), (202, "LONE"), (205, "nobody knows whose this is"), (203, "x y z u v w a b c d e"), (204, "q " * 30_000 + items[3][1]), (3, docs[3][1]), (3, "lone lone"), (None, "lone")]
     schema = "text string, items string, w string, anchor string"
     d = spark.createDataFrame([(i, t, "", "", "") for i, t in docs], "doc_id long, " + schema)
     b = spark.createDataFrame([(i, t, "", "", "") for i, t in items], "item_id long, " + schema)
@@ -257,6 +259,14 @@ def test_contamination_equals_brute_force(spark, monkeypatch, anchors):
     assert sorted(str((r.doc_id, r.text)) for r in clean.collect()) == sorted(map(str, kept))
 
 
+def test_a_benchmark_of_many_anchors_is_scanned_in_turns(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "ANCHORS_AT_ONCE", 15_000)
+    items = spark.range(60_000).select(F.col("id").alias("item_id"), F.concat(F.lit("anchor"), F.col("id").cast("string"), F.lit(" is one")).alias("text"))
+    docs = spark.createDataFrame([(i, f"here anchor{7919 * i} is one and anchor{i} is") for i in range(5)] + [(9, "anchor70000 is one")], "doc_id long, text string")
+    found = {r.doc_id: (r.n_hit, r["items"]) for r in decontamination.contamination(docs, items).collect()}
+    assert found == {9: (0, [])} | {i: (3, [str(7919 * i)]) for i in range(5)}
+
+
 def test_contamination_of_empty_tables(spark):
     d = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     b = spark.createDataFrame([], "item_id long, text string")
