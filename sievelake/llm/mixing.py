@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sievelake.llm.common import stored
+from sievelake.llm.common import fresh, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -87,10 +87,10 @@ def taken_documents(
     """
     added = ["size", "source_size", "target", "taken"]
     takes = _mixed(docs, share, epochs, weights).groupBy("doc_id", "text_hash").agg(*[F.max(c).alias(c) for c in added])
-    takes = takes.filter("taken > 0").withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
-    docs = docs.drop(*added)
-    same = docs["doc_id"].eqNullSafe(takes["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == takes["_hash"])
-    return docs.join(takes, same).drop("_id", "_hash")
+    own_id, own_hash = fresh("id"), fresh("hash")
+    takes = takes.filter("taken > 0").withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash})
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(own_hash))
+    return docs.drop(*added).join(takes, same).drop(own_id, own_hash)
 
 
 def _mixed(

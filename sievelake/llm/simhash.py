@@ -27,6 +27,7 @@ from sievelake.llm.common import (
     by_part,
     components,
     dealt,
+    fresh,
     group_numbers,
     on_workers,
     stored,
@@ -360,6 +361,7 @@ def _verified(docs: DataFrame, rows: DataFrame, links: DataFrame, search: Search
     one = one.join(family, one["fp"] == family["node"]).select(
         F.col("fp").alias("_fp"), F.col("root").alias("_root"), F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash")
     )
+    docs = docs.select("doc_id", "text")
     found = docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_hash(docs) == F.col("_hash"))
     texts = docs.join(one, found).select(F.col("_fp").alias("fp"), F.col("_root").alias("root"), docs["text"]).dropDuplicates(["fp"])
 
@@ -427,6 +429,7 @@ def one_of_each_group(docs: DataFrame, search: Search | None = None) -> DataFram
     """
     rows, classes = _grouped(docs, search or exact_search())
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    own_id, own_hash = fresh("id"), fresh("hash")
     grouped = stored(rows.join(classes, "fp").select("root", "doc_id", "text_hash"))
     first = grouped.groupBy("root").agg(F.min(place).alias("first"))
     told = stored(
@@ -434,20 +437,17 @@ def one_of_each_group(docs: DataFrame, search: Search | None = None) -> DataFram
         .agg(F.count("*").alias("n"))
         .join(first, "root")
         .select(
-            F.col("doc_id").alias("_id"),
-            F.col("text_hash").alias("_hash"),
+            F.col("doc_id").alias(own_id),
+            F.col("text_hash").alias(own_hash),
             "n",
             (place == F.col("first")).alias("stays"),
         )
     )
-
-    def found(side: DataFrame) -> Column:
-        return docs["doc_id"].eqNullSafe(side["_id"]) & (_text_hash(docs) == side["_hash"])
-
-    gone = told.filter("NOT stays OR n > 1").select("_id", "_hash")
-    kept = docs.join(gone, found(gone), "left_anti")
-    again = told.filter("stays AND n > 1").select("_id", "_hash")
+    found = docs["doc_id"].eqNullSafe(F.col(own_id)) & (_text_hash(docs) == F.col(own_hash))
+    gone = told.filter("NOT stays OR n > 1").select(own_id, own_hash)
+    kept = docs.join(gone, found, "left_anti")
+    again = told.filter("stays AND n > 1").select(own_id, own_hash)
     if again.isEmpty():
         return kept
-    one = docs.join(again, found(again), "left_semi").dropDuplicates(["doc_id", "text"])
+    one = docs.join(again, found, "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(one)
