@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievelake.llm import decontamination, mixing, quality, simhash, toxicity
-from sievelake.llm.common import stored
+from sievelake.llm.common import fresh, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,15 +20,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half."""
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
-    scored = toxicity.with_score(docs, model, "_toxicity")
-    return scored.filter(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+    score = fresh("toxicity")
+    scored = toxicity.with_score(docs, model, score)
+    return scored.filter(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
-    scored = quality.with_score(docs, model, "_quality")
-    return scored.filter(F.col("_quality") >= quality.THRESHOLD).drop("_quality")
+    score = fresh("quality")
+    scored = quality.with_score(docs, model, score)
+    return scored.filter(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
