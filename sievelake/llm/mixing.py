@@ -142,24 +142,34 @@ def _mixed(
     # One number and one tick come to the driver.
     total = budget.first()["n"] or 0
     edge = ticks.filter(F.col("end") > F.lit(share) * total).orderBy("tick").limit(1).first()
-    order = F.struct("time", "source_name", "place", F.coalesce("doc_id", F.lit(0).cast("long")), "size")
+    order = F.struct("time", "source_name", "place", F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"), "size")
     if edge is None:
         taken = [F.lit(True)] * epochs
     else:
-        ranged = copies.filter(F.col("tick") == edge["tick"]).withColumn("order", order)
+        # The edge tick is cut by range once more, and only the piece at the edge is ranked.
+        # No two copies have the same order, as running totals differ.
+        ranged = copies.filter(F.col("tick") == edge["tick"]).select("size", order.alias("order"))
+        ranged = stored(ranged.repartitionByRange("order").withColumn("piece", F.spark_partition_id()))
+        pieces = ranged.groupBy("piece").agg(F.sum("size").alias("words"), F.max("order").alias("last"))
+        pieces = pieces.withColumn("end", F.sum("words").over(W.orderBy("piece")) + F.lit(edge["end"] - edge["words"]))
         upto = W.orderBy("order").rowsBetween(W.unboundedPreceding, 0)
+        cut = pieces.filter(F.col("end") > F.lit(share) * total).orderBy("piece").limit(1).first()
         last = (
-            ranged.withColumn("upto", F.sum("size").over(upto) + F.lit(edge["end"] - edge["words"]))
+            ranged.filter(F.col("piece") == cut["piece"])
+            .withColumn("upto", F.sum("size").over(upto) + F.lit(cut["end"] - cut["words"]))
             .filter(F.col("upto") <= F.lit(share) * total)
             .agg(F.max("order").alias("last"))
             .first()["last"]
         )
+        if last is None:
+            # The cut falls before this piece's first copy.
+            last = pieces.filter(F.col("piece") < cut["piece"]).agg(F.max("last").alias("last")).first()["last"]
         taken = []
         for e in range(epochs):
             time = finish(e)
             within = F.lit(False)
             if last is not None:
-                here = F.struct(time.alias("time"), "source_name", "place", F.coalesce("doc_id", F.lit(0).cast("long")), "size")
+                here = F.struct(time.alias("time"), "source_name", "place", F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"), "size")
                 kinds = ("double", "string", "string", "long", "long")
                 within = here <= F.struct(*[F.lit(x).cast(k) for x, k in zip(last, kinds, strict=True)])
             tick = F.floor(time * TIME_SLICES)
