@@ -122,6 +122,31 @@ def dealt(rows: DataFrame, key: str, order: str, limit: int, weight: str | None
     )
 
 
+# A key of more than this share of all rows is hot; there are fewer such keys than this.
+HOT_SHARE = 1000
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """``rows`` with the other columns of ``facts``, which has one row for each key of ``rows``.
+
+    ``count`` tells how many of at most ``total`` rows have the key. The facts of hot keys,
+    at most ``HOT_SHARE`` of them, are broadcast and their rows dealt out by a hash of the
+    row, so that no key gathers in one task; all others are joined by key.
+    """
+    names = [c for c in facts.columns if c not in (key, count)]
+    hot = F.col(count) * HOT_SHARE > F.lit(total)
+    own, salt, mark = {c: fresh(c) for c in names}, fresh("salt"), fresh("hot")
+    frequent = facts.filter(hot).select(key, F.lit(True).alias(mark), *[F.col(c).alias(own[c]) for c in names])
+    others = facts.filter(~hot).select(key, *names, F.lit(0).alias(salt))
+    turn = F.pmod(F.xxhash64(*rows.columns), F.lit(HOT_SHARE)).cast("int") + 1
+    return (
+        rows.join(F.broadcast(frequent), key, "left")
+        .withColumn(salt, F.when(F.col(mark), turn).otherwise(0))
+        .join(others, [key, salt], "left")
+        .select(*rows.columns, *[F.coalesce(F.col(own[c]), F.col(c)).alias(c) for c in names])
+    )
+
+
 PART = ["part_a", "part_b"]
 
 
@@ -201,26 +226,26 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn until nothing changes; the number of rounds
     grows with the logarithm of the longest chain. Every step is a minimum that combines
-    before its shuffle and a join, so the links of one node are never gathered in one task.
+    before its shuffle and a join that deals out the links of a hub, so the links of one node
+    are never gathered in one task.
     """
     edges = stored(
         links.filter("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    mark = None
+    mark, total = None, edges.count()
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count_if(F.col("v") > F.col("u")).alias("links"))
         large = (
-            both.filter("v > u")
-            .join(least, "u")
+            looked_up(both.filter("v > u"), least, "u", "links", total)
             .select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
             .distinct()
         )
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("links"))
         small = (
-            large.join(low, "u")
+            looked_up(large, low, "u", "links", total)
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                       F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.*")
@@ -234,6 +259,6 @@ def components(links: DataFrame) -> DataFrame:
         ).first()
         if now == mark:
             break
-        mark = now
+        mark, total = now, now["n"]
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.unionByName(stars.select(F.col("root").alias("node"), "root").distinct())

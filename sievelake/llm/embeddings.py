@@ -25,6 +25,7 @@ from sievelake.llm.common import (
     components,
     dealt,
     group_numbers,
+    looked_up,
     on_workers,
     stored,
     whole_groups,
@@ -222,20 +223,22 @@ def near_vectors(
     roots = components(seen.filter("root IS NOT NULL").select(F.col("class").alias("a"), F.col("root").alias("b")))
     known = classes.select("class", "copies", "first_id")
     in_groups = roots.join(known.select(F.col("class").alias("node"), "first_id"), "node")
-    least = in_groups.groupBy("root").agg(F.min("first_id").alias("component"))
-    component = in_groups.join(least, "root").select(F.col("node").alias("class"), "component")
+    least = in_groups.groupBy("root").agg(F.min("first_id").alias("component"), F.count("*").alias("members"))
+    sizes = classes.agg(F.count("*").alias("classes"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).first()
+    component = looked_up(in_groups, least, "root", "members", sizes["classes"]).select(F.col("node").alias("class"), "component")
     facts = (
         known.join(linked, "class", "left")
         .join(component, "class", "left")
         .select(
             "class",
+            "copies",
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
             F.coalesce("component", "first_id").alias("component_id"),
         )
     )
     # Rows without a class stay out of the join, where they would meet in one task.
     ids = rows.select("vec_id", "class")
-    whole = ids.filter("class IS NOT NULL").join(facts, "class").select("vec_id", "n_links", "component_id")
+    whole = looked_up(ids.filter("class IS NOT NULL"), facts, "class", "copies", sizes["rows"]).drop("class")
     single = ids.filter("class IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return whole.unionByName(single).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 

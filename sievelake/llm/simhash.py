@@ -29,6 +29,7 @@ from sievelake.llm.common import (
     dealt,
     fresh,
     group_numbers,
+    looked_up,
     on_workers,
     stored,
     whole_groups,
@@ -379,7 +380,7 @@ def _grouped(docs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, text_hash, fp)`` of each row and ``(fp, root, component_id)`` of each ``fp``."""
     on_workers(docs.sparkSession)
     rows = stored(fingerprints(docs, search))
-    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    classes = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("members")))
     if search.bands:
         # Texts of one fingerprint may differ, so each keeps its bands.
         keyed = rows.select(F.explode("bands").alias("key"), "fp").distinct()
@@ -391,12 +392,13 @@ def _grouped(docs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
         links = _verified(docs, rows, links, search)
     roots = components(links)
     linked = roots.join(classes, roots["node"] == classes["fp"]).select("root", "fp", "first_id")
-    least = linked.groupBy("root").agg(F.min("first_id").alias("component"))
-    merged = linked.join(least, "root").select("fp", "root", "component")
+    least = linked.groupBy("root").agg(F.min("first_id").alias("component"), F.count("*").alias("members"))
+    merged = looked_up(linked, least, "root", "members", classes.count()).select("fp", "root", "component")
     classes = classes.join(merged, "fp", "left").select(
         "fp",
         F.coalesce("root", "fp").alias("root"),
         F.coalesce("component", "first_id").alias("component_id"),
+        "members",
     )
     return rows, classes
 
@@ -416,7 +418,7 @@ def near_duplicates(docs: DataFrame, search: Search | None = None) -> DataFrame:
     bucket hands on the edges of a spanning forest only.
     """
     rows, classes = _grouped(docs, search or exact_search())
-    return rows.join(classes, "fp").select(
+    return looked_up(rows, classes, "fp", "members", rows.count()).select(
         "doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id"
     )
 
@@ -430,12 +432,14 @@ def one_of_each_group(docs: DataFrame, search: Search | None = None) -> DataFram
     rows, classes = _grouped(docs, search or exact_search())
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     own_id, own_hash = fresh("id"), fresh("hash")
-    grouped = stored(rows.join(classes, "fp").select("root", "doc_id", "text_hash"))
-    first = grouped.groupBy("root").agg(F.min(place).alias("first"))
+    total = rows.count()
+    with_root = looked_up(rows.select("fp", "doc_id", "text_hash"), classes, "fp", "members", total)
+    grouped = stored(with_root.select("root", "doc_id", "text_hash"))
+    first = grouped.groupBy("root").agg(F.min(place).alias("first"), F.count("*").alias("members"))
     told = stored(
-        grouped.groupBy("root", "doc_id", "text_hash")
-        .agg(F.count("*").alias("n"))
-        .join(first, "root")
+        looked_up(grouped, first, "root", "members", total)
+        .groupBy("doc_id", "text_hash")
+        .agg(F.count("*").alias("n"), F.min("first").alias("first"))
         .select(
             F.col("doc_id").alias(own_id),
             F.col("text_hash").alias(own_hash),
