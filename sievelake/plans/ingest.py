@@ -6,8 +6,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from sievelake.operators import lists, messages, stats, validate
+from sievelake.sinks.append import batch_stream
 from sievelake.sinks.publish import publish
 from sievelake.sources import files
 from sievelake.tables import folders
@@ -77,3 +79,40 @@ def run(
     job = plan(landed.lines, landed.documents, registry, as_of, keep)
     publish(job.messages, kafka=kafka, path=path)
     return job
+
+
+def stream(
+    spark: SparkSession,
+    landing: str,
+    registry: DataFrame,
+    checkpoint: str,
+    *,
+    manifest: DataFrame | None = None,
+    kafka: dict[str, str] | None = None,
+    path: str | None = None,
+    interval: str | None = "1 minute",
+    max_files_per_trigger: int | None = None,
+    as_of=None,
+) -> StreamingQuery:
+    """Publish lists as they land, to Kafka (options) or to a folder.
+
+    A micro-batch is a set of files, whose names alone pass the driver; their lines are read
+    in splits, so a large file is many tasks. The first entry of a domain and source counts
+    within a batch; later batches may send it again, and gold folds it. Messages are sent at
+    least once: a batch that failed half-way is sent anew.
+    """
+
+    def send(batch: DataFrame, _run: str, _number: int) -> None:
+        only = [row["path"] for row in batch.select("path").distinct().collect()]
+        if not only:
+            return
+        session = batch.sparkSession
+        landed = files.scan_lists(session, landing, manifest, only)
+        try:
+            valid = validate.clean_and_validate(lists.parse(landed.lines, registry, as_of))
+            publish(messages.to_messages(valid), kafka=kafka, path=path)
+        finally:
+            folders.delete(session, landed.starts)
+
+    landed_files = files.arrivals(spark, landing, max_files_per_trigger)
+    return batch_stream(landed_files, send, checkpoint, interval=interval)

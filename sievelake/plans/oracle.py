@@ -371,6 +371,9 @@ ORACLE = {
     UNION ALL SELECT 'run', 'domains_fetched', n FROM e
     UNION ALL SELECT 'run', 'domains_validated', n FROM p
     UNION ALL SELECT 'run', 'domains_published', n FROM p""",
+    "list_stream": f"""
+    SELECT category || '_domains' AS topic, count(*) AS entries
+    FROM (SELECT DISTINCT category, source, domain FROM ({DEDUPED})) GROUP BY category""",
     "list_files": f"""
     WITH l AS (SELECT source, count(*) AS lines
                FROM ({numbered(f'({DOCUMENTS})', 'source, page_id', 'content')}) GROUP BY source),

@@ -256,6 +256,24 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def list_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists landed as files and streamed, some files a batch: entries sent, by topic."""
+    root = folders.scratch(spark, "list-stream")
+    documents = feeds.list_documents(spark, sf_dir).unionByName(feeds.faulty_documents(spark, sf_dir))
+    lists.lines(documents).select(F.col("line").alias("value"), "source").write.partitionBy(
+        "source"
+    ).text(f"{root}/landing")
+    ingest.stream(
+        spark, f"{root}/landing", feeds.list_registry(spark), f"{root}/checkpoint",
+        path=f"{root}/topics", interval=None, max_files_per_trigger=16, as_of=feeds.FETCHED,
+    ).awaitTermination()
+    sent = spark.read.schema(schemas.TRANSPORT).parquet(f"{root}/topics")
+    value = F.from_json(F.col("value").cast("string"), schemas.MESSAGE_VALUE)
+    return sent.select("topic", value.alias("v")).groupBy("topic").agg(
+        F.countDistinct("v.source", "v.domain").alias("entries")
+    )
+
+
 # Messages
 
 
@@ -649,6 +667,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         run_stats,
         list_files,
         ingest_run,
+        list_stream,
         to_messages,
         publish_stats,
         publish_topics,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +13,8 @@ from sievelake.functions.text import split_line
 from sievelake.tables import folders
 
 LANDED = "value STRING, source STRING"
+ARRIVED = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY, source STRING"
+PATTERN_SIGN = re.compile(r"([{}\[\]*?\\])")
 
 
 @dataclass(frozen=True)
@@ -19,14 +23,16 @@ class Lists:
 
     ``documents`` has one row per file: source, path, content_length (characters) and
     fetch_metadata. ``lines`` has their numbered lines: source, path, line_number, line
-    and the fetch_metadata of the file.
+    and the fetch_metadata of the file. Both read ``starts``, a folder with a short row per
+    split.
     """
 
     documents: DataFrame
     lines: DataFrame
+    starts: str
 
 
-def _pieces(spark: SparkSession, landing: str) -> DataFrame:
+def _pieces(spark: SparkSession, landing: str, only: Sequence[str] | None) -> DataFrame:
     """Lines with the file split they start in and an id that grows in file order.
 
     The scan ends lines at line feeds; the other, rare line breaks are split afterwards.
@@ -34,7 +40,8 @@ def _pieces(spark: SparkSession, landing: str) -> DataFrame:
     return (
         spark.read.schema(LANDED)
         .option("lineSep", "\n")
-        .text(landing)
+        .option("basePath", landing)
+        .text(landing if only is None else [PATTERN_SIGN.sub(r"\\\1", path) for path in only])
         .select(
             "source",
             F.col("_metadata.file_path").alias("path"),
@@ -47,9 +54,10 @@ def _pieces(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
-def _empty_files(spark: SparkSession, landing: str) -> DataFrame:
+def _empty_files(spark: SparkSession, landing: str, only: Sequence[str] | None) -> DataFrame:
     """Files without content, which a scan leaves out, from the folder listing."""
-    empty = [(path,) for path in folders.glob(spark, f"{landing}/source=*/*", empty=True)]
+    found = folders.glob(spark, f"{landing}/source=*/*", empty=True)
+    empty = [(path,) for path in found if only is None or path in only]
     return spark.createDataFrame(empty, "path string").select(
         F.url_decode(F.regexp_extract("path", "/source=([^/]*)/", 1)).alias("source"),
         "path",
@@ -80,7 +88,12 @@ def _fetched(files: DataFrame, manifest: DataFrame | None) -> DataFrame:
     return files.withColumn("fetch_metadata", known).drop(*others)
 
 
-def scan_lists(spark: SparkSession, landing: str, manifest: DataFrame | None = None) -> Lists:
+def scan_lists(
+    spark: SparkSession,
+    landing: str,
+    manifest: DataFrame | None = None,
+    only: Sequence[str] | None = None,
+) -> Lists:
     """The lists of a landing folder; files of any size are read in splits.
 
     A first job counts the lines and characters of every split and writes a small table of
@@ -90,9 +103,9 @@ def scan_lists(spark: SparkSession, landing: str, manifest: DataFrame | None = N
     or leave the range of theirs, and the reading job fails: it never gives fewer lines.
 
     ``manifest`` (path or source, http_status, content_type, source_url, all text) adds
-    what the fetch recorded.
+    what the fetch recorded. ``only`` names the files to read, as ``arrivals`` gives them.
     """
-    pieces = _pieces(spark, landing)
+    pieces = _pieces(spark, landing, only)
     # Every line counted with its line feed; the last one of a file may lack it.
     once = F.col("piece") == 0
     counted = pieces.groupBy("source", "path", "block").agg(
@@ -122,7 +135,7 @@ def scan_lists(spark: SparkSession, landing: str, manifest: DataFrame | None = N
     documents = (
         starts.filter("block = 0")
         .select("source", "path", "content_length", "fetch_metadata")
-        .unionByName(_fetched(_empty_files(spark, landing), manifest))
+        .unionByName(_fetched(_empty_files(spark, landing, only), manifest))
     )
     # Numbers only, one short row per split; the text of the fetch is one row per file.
     splits = starts.select("path", "block", "first_id", "n", "before")
@@ -142,7 +155,17 @@ def scan_lists(spark: SparkSession, landing: str, manifest: DataFrame | None = N
             "fetch_metadata",
         )
     )
-    return Lists(documents, lines)
+    return Lists(documents, lines, starts_path)
+
+
+def arrivals(
+    spark: SparkSession, landing: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """Stream of landed files: source, path and length. What is in them is not read."""
+    reader = spark.readStream.format("binaryFile").schema(ARRIVED)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(landing).select("source", "path", "length")
 
 
 def document_stream(
@@ -151,7 +174,7 @@ def document_stream(
     """Stream of whole list files for ``lists.lines``: source, path, content, fetch_metadata.
 
     One file is one row, which numbers its lines without a second scan; use it for lists
-    of ordinary size and ``scan_lists`` in batch for anything larger.
+    of ordinary size; ``plans.ingest.stream`` reads files of any size in splits.
     """
     reader = spark.readStream.schema(LANDED)
     if max_files_per_trigger:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from sievelake import schemas
 from sievelake.operators import bronze
 from sievelake.plans import ingest
+from sievelake.sources import files
 from sievelake.sources.registry import registry
 
 SOURCES = {
@@ -58,3 +59,39 @@ def test_landing_to_messages_and_statistics(spark, tmp_path):
         ("a", "three.com", "||three.com^$third-party", "3"),
     }
     assert {r.metadata["content_length"] for r in rows.filter("source = 'h'").collect()} == {str(len(FILES["h"]))}
+
+
+def test_lists_stream_in_splits(spark, tmp_path):
+    """Files of two batches, one of them in many splits, give what one run over all gives."""
+    landing, topics = tmp_path / "landing", str(tmp_path / "topics")
+
+    def land(source, name, content):
+        (landing / f"source={source}").mkdir(parents=True, exist_ok=True)
+        (landing / f"source={source}" / name).write_text(content)
+
+    def start():
+        job = ingest.stream(
+            spark, str(landing), registry(spark, SOURCES), str(tmp_path / "checkpoint"), path=topics,
+            interval=None, max_files_per_trigger=1, as_of="2024-02-01",
+        )
+        job.awaitTermination()
+
+    lines = [f"0.0.0.0 host{i}.example.org" for i in range(4000)]
+    land("h", "list [1]*.txt", "\n".join(["# long", *lines]))
+    land("void", "empty.txt", "")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        start()
+        lines_read = files.scan_lists(spark, str(landing)).lines
+        assert lines_read.select(F.spark_partition_id()).distinct().count() >= 8
+        land("a", "list.txt", "||late.example.net^\n")
+        start()
+        start()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows = bronze.transform(spark.read.schema(schemas.TRANSPORT).parquet(topics)).collect()
+    got = {(r.source, r.domain, int(r.metadata["line_number"])) for r in rows}
+    assert got == {("h", f"host{i}.example.org", i + 2) for i in range(4000)} | {("a", "late.example.net", 1)}
+    assert len(rows) == 4001
