@@ -3,6 +3,9 @@
 The tokenizer cuts a text into pre-tokens and never merges over their borders. So the count
 of a document is the sum, over its distinct pre-tokens, of frequency times the pre-token's
 pieces; ids of documents are never made.
+
+The join of pieces and frequencies is made within a task. As a join in Spark, with frequent
+pre-tokens broadcast and the rest shuffled, it needed over twice the input in disk.
 """
 
 from __future__ import annotations
@@ -12,22 +15,16 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
-import pyarrow as pa
+import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievelake.llm.common import on_workers, stored
+from sievelake.llm.common import on_workers
 
 LIMIT = 512
-# A pre-token in more than this share of all (document, pre-token) rows is frequent; there
-# are fewer such pre-tokens than this, with keys of at most 64 characters each.
-FREQUENT_SHARE = 100_000
-# Longer pre-tokens are joined by their SHA-256, which is longer than any other key.
-LONGEST_KEY = 63
-# So many pre-tokens are sent on together, and so many are given to the tokenizer at once.
-TOGETHER = 100_000
-ENCODED = 10_000
+# Counts of so many distinct pre-tokens are kept from batch to batch within a task.
+KEPT = 400_000
 
 # In these characters the pattern's classes are the same in every Unicode version at hand;
 # texts with others are cut by the tokenizer's own code.
@@ -51,63 +48,6 @@ def pre_tokens(tokenizer, pattern: regex.Pattern, text: str) -> list[str]:
     return [text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
 
-def frequencies(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``(row, doc_id, n_bytes, pieces)``: the distinct pre-tokens of each text, with their
-    numbers. Special strings are pre-tokens of their own. ``row`` tells rows apart."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
-        words = regex.compile(pattern)
-        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        parts = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True))) or "(?!)")
-        for batch in batches:
-            start, ends, pieces, numbers = 0, [0], [], []
-            for at, text in enumerate(batch.column("text").to_pylist(), 1):
-                seen = Counter(parts.findall(text))
-                for span in parts.split(text):
-                    seen.update(pre_tokens(tokenizer, words, span))
-                pieces.extend(seen.keys())
-                numbers.extend(seen.values())
-                ends.append(len(pieces))
-                if len(pieces) >= TOGETHER or at == batch.num_rows:
-                    pairs = pa.StructArray.from_arrays([pa.array(pieces, pa.string()), pa.array(numbers, pa.int32())], ["piece", "n"])
-                    same = [batch.column(c).slice(start, at - start) for c in ("row", "doc_id", "n_bytes")]
-                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-                    yield pa.RecordBatch.from_arrays([*same, lists], ["row", "doc_id", "n_bytes", "pieces"])
-                    start, ends, pieces, numbers = at, [0], [], []
-
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        F.octet_length(text).cast("long").alias("n_bytes"),
-        text.alias("text"),
-    )
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(cut, f"row long, doc_id {kind}, n_bytes long, pieces array<struct<piece:string,n:int>>")
-
-
-def _key(piece: Column) -> Column:
-    return F.when(F.char_length(piece) > LONGEST_KEY, F.sha2(piece, 256)).otherwise(piece)
-
-
-def piece_counts(found: DataFrame, path: str) -> DataFrame:
-    """``(key, ids, docs)`` of each distinct pre-token of ``frequencies``: the pieces the
-    tokenizer makes of it, counted once, and how many rows hold it."""
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ENCODED):
-                some = batch.slice(at, ENCODED)
-                encoded = tokenizer.encode_batch_fast(some.column("piece").to_pylist(), add_special_tokens=False)
-                ids = pa.array([len(e.ids) for e in encoded], pa.int64())
-                yield pa.RecordBatch.from_arrays([some.column("piece"), ids, some.column("docs")], ["piece", "ids", "docs"])
-
-    distinct = found.select(F.explode("pieces.piece").alias("piece")).groupBy("piece").agg(F.count("*").alias("docs"))
-    return distinct.mapInArrow(encode, "piece string, ids long, docs long").select(_key(F.col("piece")).alias("key"), "ids", "docs")
-
-
 def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)`` for each row of ``docs (doc_id, text)``.
 
@@ -115,30 +55,42 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -
     pattern; the file must be at that path on every machine. Special strings in a text are
     tokens of their own, as is the library's default; nothing is added, cut or padded. A
     null text counts as empty: no bytes, no tokens. Repeated rows are counted each; other
-    columns are ignored.
-
-    Frequencies and counts are written to the shared folder. Counts of frequent pre-tokens,
-    a bounded number, are broadcast, so no common word gathers in one task and most rows are
-    summed where they are read; Spark joins the others by the size of their table.
+    columns are ignored. Rows are counted where they are read: nothing is shuffled.
     """
+
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokenizer = _tokenizer(path)
+        cut = regex.compile(pattern)
+        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        parts = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True))) or "(?!)")
+        pieces: dict[str, int] = {}
+        for batch in batches:
+            frequencies, specials = [], []
+            for text in batch:
+                text = text or ""
+                spans = parts.split(text)
+                specials.append(len(spans) - 1)
+                seen: Counter = Counter()
+                for span in spans:
+                    seen.update(pre_tokens(tokenizer, cut, span))
+                frequencies.append(seen)
+            if len(pieces) > KEPT:
+                pieces.clear()
+            new = list(set().union(*frequencies) - pieces.keys())
+            for at in range(0, len(new), 10_000):
+                some = new[at : at + 10_000]
+                for piece, found in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    pieces[piece] = len(found.ids)
+            yield pd.Series(
+                [n + sum(map(int.__mul__, seen.values(), map(pieces.__getitem__, seen))) for seen, n in zip(frequencies, specials, strict=True)],
+                dtype="int64",
+            )
+
     on_workers(docs.sparkSession)
-    found = stored(frequencies(docs, path, pattern))
-    counts = stored(piece_counts(found, path))
-    total = counts.agg(F.coalesce(F.sum("docs"), F.lit(0))).first()[0]
-    frequent = F.col("docs") * FREQUENT_SHARE > total
-    hot = F.broadcast(counts.filter(frequent).select("key", "ids"))
-    rare = counts.filter(~frequent).select("key", "ids")
-
-    rows = found.select("row", F.explode("pieces").alias("p")).select("row", _key(F.col("p.piece")).alias("key"), F.col("p.n").alias("n"))
-    sums = (
-        rows.join(hot, "key")
-        .unionByName(rows.join(hot, "key", "left_anti").join(rare, "key"))
-        .groupBy("row")
-        .agg(F.sum(F.col("n") * F.col("ids")).alias("n_tokens"))
-    )
-    n_tokens = F.coalesce("n_tokens", F.lit(0))
-    return (
-        found.select("row", "doc_id", "n_bytes")
-        .join(sums, "row", "left")
-        .select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), (n_tokens > limit).alias("over_limit"))
+    text = F.coalesce("text", F.lit(""))
+    counted = docs.select(
+        "doc_id",
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        F.pandas_udf(count, "long")(F.col("text")).alias("n_tokens"),
     )
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)

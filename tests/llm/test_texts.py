@@ -36,16 +36,6 @@ def test_counts_equal_the_tokenizer(spark):
     assert counted(spark, []) == []
 
 
-def test_counts_joined_without_any_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(token_counts, "FREQUENT_SHARE", 0)
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        assert counted(spark, ODD + ODD) == whole(ODD + ODD)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-
-
 def test_rows_with_the_same_or_no_id_are_counted_each(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "c"), (None, "x y z"), (None, None)], "doc_id long, text string")
     found = token_counts.token_counts(docs, PATH, public_tokenizers.PATTERN).collect()
@@ -54,14 +44,6 @@ def test_rows_with_the_same_or_no_id_are_counted_each(spark):
     )
 
 
-def test_each_distinct_pre_token_is_counted_once(spark):
-    docs = spark.createDataFrame([(i, "one two two three" if i % 2 else "one four") for i in range(40)], "doc_id long, text string").repartition(4)
-    found = token_counts.frequencies(docs, PATH, public_tokenizers.PATTERN)
-    rows = token_counts.piece_counts(found, PATH).collect()
-    assert {r.key: r.docs for r in rows} == {"one": 40, " two": 20, " three": 20, " four": 20}
-    assert len(rows) == 4
-
-
 def test_counts_of_the_given_texts(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert counted(spark, texts) == whole(texts)
