@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievelake.functions import domains
@@ -69,6 +71,59 @@ def validation(entries: DataFrame, clean: bool = True) -> DataFrame:
     )
 
 
+def entry_counts() -> list[Column]:
+    """To be observed while parsed entries are written."""
+    return [
+        F.count(F.lit(1)).alias("fetched"),
+        F.count_if(domains.clean(F.col("domain")).isNull()).alias("uncleanable"),
+    ]
+
+
+def valid_counts() -> list[Column]:
+    """To be observed while valid entries, each domain once for its source, are written."""
+    return [
+        F.count(F.lit(1)).alias("validated"),
+        F.count_if(F.coalesce(F.col("category").isin(list(TOPICS)), F.lit(False))).alias("published"),
+    ]
+
+
+def observed_validation(entries: DataFrame, seen: Mapping[str, int]) -> DataFrame:
+    """``validation`` of observed entries; what is neither kept nor uncleanable is a duplicate."""
+    total = seen["fetched"] - seen["uncleanable"]
+    row = {
+        "total": total,
+        "valid": seen["validated"],
+        "invalid": 0,
+        "duplicates": total - seen["validated"],
+        "uncleanable": seen["uncleanable"],
+    }
+    return entries.sparkSession.range(1).select(*[F.lit(n).cast("bigint").alias(k) for k, n in row.items()])
+
+
+def observed_run(entries: DataFrame, failures: DataFrame, seen: Mapping[str, int]) -> DataFrame:
+    """``run`` of observed entries: only sources are looked for, in one column."""
+    names = [
+        "sources_processed",
+        "sources_failed",
+        "domains_fetched",
+        "domains_validated",
+        "domains_published",
+    ]
+
+    def part(rows: DataFrame, **values: int) -> DataFrame:
+        return rows.select(*[F.lit(values.get(n, 0)).cast("bigint").alias(n) for n in names])
+
+    counts = part(
+        entries.sparkSession.range(1),
+        domains_fetched=seen["fetched"],
+        domains_validated=seen["validated"],
+        domains_published=seen["published"],
+    )
+    processed = part(entries.select("source").distinct(), sources_processed=1)
+    failed = part(failures.select("source").distinct(), sources_failed=1)
+    return processed.unionByName(failed).unionByName(counts).agg(*[_sum(n) for n in names])
+
+
 def run(entries: DataFrame, failures: DataFrame) -> DataFrame:
     """One row on an ingest run, from parsed entries and failed documents.
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sievelake.operators import lists, messages, stats, validate
@@ -67,16 +67,27 @@ def run(
     """Ingest a landing folder and publish to Kafka (options) or to a folder.
 
     The lines are read and parsed once into ``work`` (by default a folder in the shared
-    one). Messages and statistics come from there, so they count what was sent.
+    one). Messages come from there. Entries are counted by the writes themselves, in their
+    last stage, where each task counts once.
     """
     landed = files.scan_lists(spark, landing, manifest)
     work = work or folders.scratch(spark, "ingest")
 
+    counts = {"entries": stats.entry_counts(), "valid": stats.valid_counts()}
+    seen: dict[str, int] = {}
+
     def keep(name: str, frame: DataFrame) -> DataFrame:
-        frame.write.parquet(f"{work}/{name}")
+        observed = Observation(name)
+        frame.observe(observed, *counts[name]).write.parquet(f"{work}/{name}")
+        seen.update(observed.get)
         return spark.read.schema(frame.schema).parquet(f"{work}/{name}")
 
     job = plan(landed.lines, landed.documents, registry, as_of, keep)
+    job = replace(
+        job,
+        statistics=stats.observed_run(job.entries, job.failures, seen),
+        validation=stats.observed_validation(job.entries, seen),
+    )
     publish(job.messages, kafka=kafka, path=path)
     return job
 

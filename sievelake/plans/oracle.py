@@ -415,6 +415,13 @@ ORACLE = {
     "gold_merge": published(MERGED),
     "gold_stream": GOLD,
     "stream_recovery": GOLD,
+    "stream_counts": f"""
+    WITH t AS ({cleaned(f'({SIGHTINGS} UNION ALL BY NAME SELECT * EXCLUDE (kind) FROM ({DIRTY}))')})
+    SELECT 'bronze' AS layer, 'rows' AS measure, count(*) AS n FROM t
+    UNION ALL SELECT 'bronze', 'unreadable', count(*) FILTER (WHERE domain IS NULL) FROM t
+    UNION ALL SELECT 'silver', 'rows', count(*) FROM t
+    UNION ALL SELECT 'silver', 'valid', count(cleaned) FROM t
+    UNION ALL SELECT 'silver', 'invalid', count(*) - count(cleaned) FROM t""",
     "stream_files": f"SELECT count(*) AS n, true AS several, 0 AS with_spare_files FROM ({SIGHTINGS})",
     "layer_views": f"""
     SELECT 'bronze' AS layer, source AS what, count(*) AS n FROM ({SIGHTINGS})

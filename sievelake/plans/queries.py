@@ -19,7 +19,7 @@ from sievelake.settings import FRESHNESS_MINUTES
 from sievelake.sinks.publish import publish
 from sievelake.sources import files, layers
 from sievelake.sources.topics import message_stream
-from sievelake.streaming import gold_table, pipeline
+from sievelake.streaming import gold_table, pipeline, progress
 from sievelake.tables import batches, catalog, folders, upkeep
 
 CHECKED_AT = "2024-01-31 00:20:00"
@@ -441,6 +441,31 @@ def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return published(gold_table.read(spark, f"{root}/gold", feeds.AS_OF))
 
 
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the first two streams counted while they wrote, from the progress of their batches."""
+    root = folders.scratch(spark, "stream")
+    entries = feeds.sightings(spark, sf_dir).unionByName(feeds.dirty_entries(spark, sf_dir).drop("kind"))
+    publish(feeds.transport(entries.repartition(3)), path=f"{root}/topics")
+    counts = progress.Counts()
+    spark.streams.addListener(counts)
+    try:
+        raw = pipeline.bronze(
+            message_stream(spark, path=f"{root}/topics", max_files_per_trigger=1),
+            f"{root}/bronze", f"{root}/checkpoints/bronze", interval=None, as_of=feeds.AS_OF,
+        )
+        raw.awaitTermination()
+        flagged = pipeline.silver(
+            spark, f"{root}/bronze", f"{root}/silver", f"{root}/checkpoints/silver",
+            interval=None, as_of=feeds.AS_OF,
+        )
+        flagged.awaitTermination()
+        found = {**counts.of(raw), **counts.of(flagged)}
+    finally:
+        spark.streams.removeListener(counts)
+    rows = [(layer, measure, n) for layer, seen in found.items() for measure, n in seen.items()]
+    return spark.createDataFrame(rows, "layer string, measure string, n bigint")
+
+
 def layer_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three layers by SQL on their names while the streams' tables grow."""
     root = folders.scratch(spark, "stream")
@@ -679,6 +704,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         gold_merge,
         gold_stream,
         stream_recovery,
+        stream_counts,
         stream_files,
         layer_views,
         gold_compacted,

@@ -1,4 +1,7 @@
-"""The three refinement streams. Each returns its running query."""
+"""The three refinement streams. Each returns its running query.
+
+The first two observe what they write; ``progress.Counts`` adds it up.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +17,7 @@ from sievelake.operators import silver as silver_rules
 from sievelake.settings import COMPACT_EVERY_BATCHES, TRIGGERS
 from sievelake.sinks.append import append_stream, batch_stream
 from sievelake.sources import layers
-from sievelake.streaming import gold_table
+from sievelake.streaming import gold_table, progress
 from sievelake.tables.batches import BATCH, open_view
 from sievelake.tables.catalog import ensure_table
 
@@ -38,7 +41,7 @@ def bronze(
     ensure_table(messages.sparkSession, path, schemas.BRONZE, [*BATCH, "ingestion_date"])
     open_view(messages.sparkSession, "bronze.domains", path, schemas.BRONZE, properties)
     return append_stream(
-        bronze_rules.transform(messages, as_of),
+        bronze_rules.transform(messages, as_of).observe("bronze", *progress.bronze_counts()),
         path,
         checkpoint,
         partition_by=["ingestion_date"],
@@ -67,7 +70,7 @@ def silver(
     open_view(spark, "silver.domains", path, schemas.SILVER, properties)
     rows = layers.table_stream(spark, bronze_path, schemas.BRONZE, max_files_per_trigger)
     return append_stream(
-        silver_rules.transform(rows, as_of),
+        silver_rules.transform(rows, as_of).observe("silver", *progress.silver_counts()),
         path,
         checkpoint,
         partition_by=["ingestion_date"],

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from sievelake import schemas
-from sievelake.operators import bronze
+from sievelake.operators import bronze, stats
 from sievelake.plans import ingest
 from sievelake.sources import files
 from sievelake.sources.registry import registry
@@ -45,7 +45,7 @@ def test_landing_to_messages_and_statistics(spark, tmp_path):
         "total": 5, "valid": 4, "invalid": 0, "duplicates": 1, "uncleanable": 0,
     }
     # Lines were parsed once: what is left reads the written entries.
-    for frame in (job.messages, job.published, job.validation):
+    for frame in (job.messages, job.published, job.statistics):
         assert frame.inputFiles() and not any("/landing/" in f for f in frame.inputFiles())
     overall = job.published.filter("level = 'overall'").first()
     assert (overall.malware, overall.ads_trackers, overall.total) == (2, 2, 4)
@@ -95,3 +95,28 @@ def test_lists_stream_in_splits(spark, tmp_path):
     got = {(r.source, r.domain, int(r.metadata["line_number"])) for r in rows}
     assert got == {("h", f"host{i}.example.org", i + 2) for i in range(4000)} | {("a", "late.example.net", 1)}
     assert len(rows) == 4001
+
+
+def test_an_empty_landing_counts_nothing(spark, tmp_path):
+    (tmp_path / "landing" / "source=void").mkdir(parents=True)
+    (tmp_path / "landing" / "source=void" / "list.txt").write_text("")
+    job = ingest.run(
+        spark, str(tmp_path / "landing"), registry(spark, SOURCES), path=str(tmp_path / "topics"), as_of="2024-02-01"
+    )
+    assert set(job.validation.first().asDict().values()) == {0}
+    assert job.statistics.first().asDict() == {
+        "sources_processed": 0, "sources_failed": 5, "domains_fetched": 0, "domains_validated": 0, "domains_published": 0,
+    }
+
+
+def test_observed_statistics_equal_those_counted_from_the_entries(spark, tmp_path):
+    for source, content in FILES.items():
+        (tmp_path / "landing" / f"source={source}").mkdir(parents=True)
+        (tmp_path / "landing" / f"source={source}" / "list.txt").write_text(content)
+    job = ingest.run(
+        spark, str(tmp_path / "landing"), registry(spark, SOURCES), path=str(tmp_path / "topics"), as_of="2024-02-01"
+    )
+    assert job.statistics.first() == stats.run(job.entries, job.failures).first()
+    assert job.validation.first() == stats.validation(job.entries).first()
+    # Counts came with the writes: no table is read for the validation.
+    assert not job.validation.inputFiles()

@@ -1,15 +1,16 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sievelake import schemas
 from sievelake.operators import bronze, gold, messages, silver
-from sievelake.sinks.append import trigger
+from sievelake.sinks.append import batch_stream, trigger
 from sievelake.sinks.publish import publish
 from sievelake.sources import layers
 from sievelake.sources.topics import message_stream
-from sievelake.streaming import gold_table, pipeline
+from sievelake.streaming import gold_table, pipeline, progress
 from sievelake.tables import batches, catalog, folders, upkeep
 
 AS_OF = "2024-02-01"
@@ -396,3 +397,30 @@ def test_triggers():
     for bad in ("2 hours", "soon", "", "seconds"):
         with pytest.raises(ValueError):
             trigger(bad)
+
+
+def test_a_batch_tried_again_counts_its_rows_once(spark, tmp_path):
+    rows = [("a.com", "malware"), ("-bad", "malware"), ("b.com", "ads_trackers")]
+    spark.createDataFrame(rows, "domain string, category string").write.parquet(str(tmp_path / "in"))
+    landed = spark.readStream.schema("domain string, category string").parquet(str(tmp_path / "in"))
+    seen = landed.observe("landed", F.count(F.lit(1)).alias("rows"), F.count_if(F.col("domain") == "-bad").alias("bad"))
+    failing = []
+
+    def write(batch, run, number):
+        batch.write.mode("overwrite").parquet(str(tmp_path / "out"))
+        if not failing:
+            failing.append(number)
+            raise ValueError("once")
+
+    counts = progress.Counts()
+    spark.streams.addListener(counts)
+    try:
+        first = batch_stream(seen, write, str(tmp_path / "checkpoint"), interval=None)
+        with pytest.raises(StreamingQueryException):
+            first.awaitTermination()
+        assert counts.of(first) == {}
+        again = batch_stream(seen, write, str(tmp_path / "checkpoint"), interval=None)
+        again.awaitTermination()
+        assert counts.of(again) == {"landed": {"rows": 3, "bad": 1}}
+    finally:
+        spark.streams.removeListener(counts)
