@@ -20,8 +20,8 @@ from sievelake.tables import folders
 
 # Bytes of input that make one file of a clustered table.
 FILE_BYTES = 256 << 20
-# Rows of the sample that ranges are cut by, and bits of a range's number at most.
-SAMPLE, MOST_BITS = 4096, 8
+# Rows of the sample that ranges are cut by, and ranges of a column at most.
+SAMPLE, MOST_RANGES = 4096, 256
 
 
 def compact(
@@ -53,9 +53,10 @@ def cluster(
 ) -> None:
     """Rewrite a table clustered by ``columns``, so that lookups skip files by their min/max.
 
-    Rows are sorted by one column, and along a space-filling curve by several: each column
-    is cut into even ranges, and the bits of the ranges' numbers are interleaved to the key
-    that files are cut by. A lookup on any of k columns then opens about files**(1 - 1/k).
+    Rows are sorted by one column, and along a space-filling curve by several: it runs
+    through the table in even slabs of one column, through each slab in slabs of the next,
+    and back and forth, and files are cut from it. A lookup on any of k columns then opens
+    about files**(1 - 1/k), however the columns depend on each other.
     Without ``files`` there are as many as give each ``FILE_BYTES`` of the input. The row
     id as last range column splits a value that fills more than one file.
     """
@@ -69,22 +70,24 @@ def cluster(
 
 
 def _curve(rows: DataFrame, columns: Sequence[str], files: int) -> Column:
-    """The place of a row on the curve: bits of the columns' ranges in turn, highest first.
+    """The place of a row on the curve: the numbers of its ranges, each first one the slowest.
 
-    The ranges come from a random sample of ``SAMPLE`` rows; it shapes files, not rows.
+    Every other slab is run through backwards, so a file that holds the end of one slab and the
+    start of the next spans a short piece of the column behind. The ranges come from a
+    random sample of ``SAMPLE`` rows; it shapes files, not rows.
     """
-    bits = min(MOST_BITS, -(-files.bit_length() // len(columns)) + 2)
+    slabs = min(MOST_RANGES, max(1, round(files ** (1 / len(columns)))))
     sample = rows.select(*columns).orderBy(F.rand(SAMPLE)).limit(SAMPLE).collect()
-    ranges = []
+    place = F.lit(0).cast("long")
     for c in columns:
+        # Files are cut anywhere in the last column, so it is told finely.
+        n = MOST_RANGES if c == columns[-1] else slabs
         values = sorted(r[c] for r in sample if r[c] is not None)
-        cuts = sorted({values[i * len(values) >> bits] for i in range(1, 1 << bits)}) if values else []
+        cuts = sorted({values[i * len(values) // n] for i in range(1, n)}) if values else []
         kind = rows.schema[c].dataType
-        ranges.append(F.when(F.col(c).isNull(), 0).otherwise(_range(F.col(c), [F.lit(v).cast(kind) for v in cuts], 0)))
-    place = F.lit(0).cast("long")
-    for bit in range(bits - 1, -1, -1):
-        for number in ranges:
-            place = F.shiftleft(place, 1).bitwiseOR(F.shiftright(number, bit).bitwiseAND(F.lit(1)))
+        number = F.when(F.col(c).isNull(), 0).otherwise(_range(F.col(c), [F.lit(v).cast(kind) for v in cuts], 0))
+        turned = F.when(place % 2 == 0, number).otherwise(n - 1 - number)
+        place = place * n + turned
     return place
 
 

@@ -104,6 +104,19 @@ def test_a_curve_serves_lookups_on_each_column(spark, tmp_path):
         assert files == 64 and on_average <= 2 * 8
 
 
+def test_a_curve_opens_little_more_than_the_root_of_the_files(spark, tmp_path):
+    """Files span short pieces of both columns, whether these depend on each other or not."""
+    at = [F.pmod(F.xxhash64("id", F.lit(n)), F.lit(1 << 40)) / float(1 << 40) for n in range(2)]
+    cases = {"apart": at, "narrowing": [at[0], F.when(at[0] < 0.5, at[1]).otherwise(at[1] * 0.4)]}
+    for case, (a, b) in cases.items():
+        rows = spark.range(8000).select(a.alias("a"), b.alias("b"))
+        rows.write.parquet(f"{tmp_path}/{case}")
+        upkeep.cluster(spark, f"{tmp_path}/{case}", rows.schema, f"{tmp_path}/{case}-out", ["a", "b"], files=64)
+        out = layers.table(spark, f"{tmp_path}/{case}-out", rows.schema)
+        assert out.count() == 8000
+        assert all(r.files == 64 and r.opened <= 1.25 * 8 for r in upkeep.lookups(out, ["a", "b"]).collect())
+
+
 def test_curve_of_equal_null_and_no_rows(spark, tmp_path):
     for case, rows in {
         "equal": spark.range(500).select(F.lit("x").alias("domain"), F.lit(None).cast("date").alias("day")),
