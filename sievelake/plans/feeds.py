@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from sievelake.operators import messages, silver
 from sievelake.sources.registry import registry
+from sievelake.tables import folders
 
+# Bytes of a table's files whose rows are taken apart, or made messages, by one task.
+TASK_BYTES = 4 << 20
 AS_OF = "2024-02-01 00:00:00"
 FETCHED = "2024-01-31 12:00:00"
 
@@ -32,15 +35,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tasks(spark: SparkSession, sf_dir: str, *names: str) -> int:
+    """Tasks for work on some tables that makes their rows many or long: one for ``TASK_BYTES``."""
+    size = sum(folders.size(spark, f"{sf_dir}/{name}.parquet") for name in names)
+    return max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+
+
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose long texts are to be taken apart.
+    """A table whose long texts are to be taken apart, dealt out by its id.
 
-    A large table is read in many splits. One too small to give every core a split is
-    spread first, since a row of text here becomes thousands of rows.
+    A row of text here becomes hundreds of rows, and splits of the file do not bound a task:
+    a file may hold all its texts in one row group, which is read by one task.
     """
     table = load(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(tasks(spark, sf_dir, name), table.columns[0])
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +91,14 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).unionByName(pages(spark, sf_dir))
 
 
+def spread(spark: SparkSession, sf_dir: str, entries: DataFrame) -> DataFrame:
+    """Sightings dealt out by their offset, since messages are many times as long as rows of events.
+
+    Dealt by a key, no task sorts its rows first, as it does when they are dealt in turn.
+    """
+    return entries.repartition(tasks(spark, sf_dir, "events", "pages"), "offset")
+
+
 def transport(entries: DataFrame) -> DataFrame:
     """Entries as message rows."""
     return messages.to_messages(entries).withColumn("partition", F.lit(0))

@@ -32,7 +32,7 @@ class Lists:
     starts: str
 
 
-def _pieces(spark: SparkSession, landing: str, only: Sequence[str] | None) -> DataFrame:
+def _pieces(spark: SparkSession, landing: str, only: Sequence[str] | None = None) -> DataFrame:
     """Lines with the file split they start in and an id that grows in file order.
 
     The scan ends lines at line feeds; the other, rare line breaks are split afterwards.
