@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +15,22 @@ from sievelake.sinks.publish import publish
 from sievelake.sources import files
 from sievelake.tables import folders
 
+# Bytes of the written entries that one task ranks, and of their row groups. A row is some 20
+# bytes in a file and 400 in a sort.
+SPLIT_BYTES, ROW_GROUP_BYTES = 16 << 20, 8 << 20
+
+
+@contextmanager
+def _split(spark: SparkSession, size: int) -> Iterator[None]:
+    """Files are read in splits of at most ``size`` bytes by actions that start within."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
 
 @dataclass
 class Ingest:
@@ -68,7 +85,8 @@ def run(
 
     The lines are read and parsed once into ``work`` (by default a folder in the shared
     one). Messages come from there. Entries are counted by the writes themselves, in their
-    last stage, where each task counts once.
+    last stage, where each task counts once. While valid entries are ranked, the session reads files
+    in smaller splits; do not scan lists in it at that time.
     """
     landed = files.scan_lists(spark, landing, manifest)
     work = work or folders.scratch(spark, "ingest")
@@ -78,7 +96,10 @@ def run(
 
     def keep(name: str, frame: DataFrame) -> DataFrame:
         observed = Observation(name)
-        frame.observe(observed, *counts[name]).write.parquet(f"{work}/{name}")
+        writer = frame.observe(observed, *counts[name]).write.option("parquet.block.size", str(ROW_GROUP_BYTES))
+        # Valid entries are ranked from written ones; lists are read as they were counted.
+        with _split(spark, SPLIT_BYTES) if name == "valid" else nullcontext():
+            writer.parquet(f"{work}/{name}")
         seen.update(observed.get)
         return spark.read.schema(frame.schema).parquet(f"{work}/{name}")
 

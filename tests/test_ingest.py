@@ -1,3 +1,4 @@
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from sievelake import schemas
@@ -61,6 +62,30 @@ def test_landing_to_messages_and_statistics(spark, tmp_path):
     assert {r.metadata["content_length"] for r in rows.filter("source = 'h'").collect()} == {str(len(FILES["h"]))}
 
 
+def test_written_entries_are_ranked_in_small_splits(spark, tmp_path, monkeypatch):
+    """A task that ranks entries reads a bounded part of them; other reads are as the session says."""
+    (tmp_path / "landing" / "source=h").mkdir(parents=True)
+    lines = "".join(f"0.0.0.0 host{i}.example.org\n" for i in range(4000))
+    (tmp_path / "landing" / "source=h" / "list.txt").write_text(lines)
+    monkeypatch.setattr(ingest, "SPLIT_BYTES", 2000, raising=False)
+    setting = "spark.sql.files.maxPartitionBytes"
+    splits, before, parquet = {}, spark.conf.get(setting), DataFrameWriter.parquet
+
+    def written(self, path, *args, **kwargs):
+        if path.endswith("/valid"):
+            entries = spark.read.parquet(str(tmp_path / "work" / "entries"))
+            splits["ranked"] = entries.rdd.getNumPartitions(), len(entries.inputFiles())
+        return parquet(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", written)
+    job = ingest.run(
+        spark, str(tmp_path / "landing"), registry(spark, SOURCES), path=str(tmp_path / "topics"),
+        work=str(tmp_path / "work"), as_of="2024-02-01",
+    )
+    assert splits["ranked"][0] >= 8 > splits["ranked"][1]
+    assert job.valid.count() == 4000 and spark.conf.get(setting) == before
+
+
 def test_lists_stream_in_splits(spark, tmp_path):
     """Files of two batches, one of them in many splits, give what one run over all gives."""
     landing, topics = tmp_path / "landing", str(tmp_path / "topics")
