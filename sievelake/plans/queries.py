@@ -256,6 +256,11 @@ def ingest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _share(spark: SparkSession, pattern: str, batches: int) -> int:
+    """Files a micro-batch takes, for so many of them."""
+    return max(1, -(-len(folders.glob(spark, pattern)) // batches))
+
+
 def list_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lists landed as files and streamed, some files a batch: entries sent, by topic."""
     root = folders.scratch(spark, "list-stream")
@@ -293,7 +298,7 @@ def publish_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folders.scratch(spark, "topics")
     unrouted = F.when(F.col("source") == "signup", "unclassified").otherwise(F.col("category"))
     entries = feeds.sightings(spark, sf_dir).withColumn("category", unrouted)
-    publish(feeds.transport(entries), path=path)
+    publish(feeds.transport(feeds.spread(spark, sf_dir, entries)), path=path)
     sent = spark.read.schema(schemas.TRANSPORT).parquet(path)
     return sent.groupBy("topic").agg(
         F.count("*").alias("messages"),
@@ -417,10 +422,15 @@ def streamed(spark: SparkSession, root: str, interval: str | None = None, files:
             query.stop()
 
 
+def _send(spark: SparkSession, sf_dir: str, entries: DataFrame, root: str) -> None:
+    """Entries as messages in the topics below ``root``, each task with its own files."""
+    publish(feeds.transport(feeds.spread(spark, sf_dir, entries)), path=f"{root}/topics")
+
+
 def gold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages through all three streams, then read by the name in the catalog."""
     root = folders.scratch(spark, "stream")
-    publish(feeds.transport(feeds.sightings(spark, sf_dir)), path=f"{root}/topics")
+    _send(spark, sf_dir, feeds.sightings(spark, sf_dir), root)
     streamed(spark, root)
     return published(spark.sql("SELECT * FROM gold.domains"))
 
@@ -433,10 +443,10 @@ def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = folders.scratch(spark, "stream")
     entries = feeds.sightings(spark, sf_dir)
     newer = F.col("ingestion_timestamp") >= F.lit("2024-01-15").cast("timestamp")
-    publish(feeds.transport(entries.filter(newer)), path=f"{root}/topics")
+    _send(spark, sf_dir, entries.filter(newer), root)
     streamed(spark, root, interval="1 second")
     gold_table.publish(spark, f"{root}/gold", f"{root}/published", as_of=feeds.AS_OF)
-    publish(feeds.transport(entries.filter(~newer)), path=f"{root}/topics")
+    _send(spark, sf_dir, entries.filter(~newer), root)
     streamed(spark, root)
     return published(gold_table.read(spark, f"{root}/gold", feeds.AS_OF))
 
@@ -445,12 +455,13 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the first two streams counted while they wrote, from the progress of their batches."""
     root = folders.scratch(spark, "stream")
     entries = feeds.sightings(spark, sf_dir).unionByName(feeds.dirty_entries(spark, sf_dir).drop("kind"))
-    publish(feeds.transport(entries.repartition(3)), path=f"{root}/topics")
+    _send(spark, sf_dir, entries, root)
+    share = _share(spark, f"{root}/topics/topic=*/*.parquet", 6)
     counts = progress.Counts()
     spark.streams.addListener(counts)
     try:
         raw = pipeline.bronze(
-            message_stream(spark, path=f"{root}/topics", max_files_per_trigger=1),
+            message_stream(spark, path=f"{root}/topics", max_files_per_trigger=share),
             f"{root}/bronze", f"{root}/checkpoints/bronze", interval=None, as_of=feeds.AS_OF,
         )
         raw.awaitTermination()
@@ -469,7 +480,7 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three layers by SQL on their names while the streams' tables grow."""
     root = folders.scratch(spark, "stream")
-    publish(feeds.transport(feeds.sightings(spark, sf_dir)), path=f"{root}/topics")
+    _send(spark, sf_dir, feeds.sightings(spark, sf_dir), root)
     streamed(spark, root)
     day = "DATE '2024-01-10'"
     return spark.sql(
@@ -492,10 +503,11 @@ def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     root = folders.scratch(spark, "stream")
     entries = feeds.sightings(spark, sf_dir)
-    publish(feeds.transport(entries.repartition(3)), path=f"{root}/topics")
+    _send(spark, sf_dir, entries, root)
+    share = _share(spark, f"{root}/topics/topic=*/*.parquet", 3)
     for _ in range(2):
         pipeline.bronze(
-            message_stream(spark, path=f"{root}/topics", max_files_per_trigger=2),
+            message_stream(spark, path=f"{root}/topics", max_files_per_trigger=share),
             f"{root}/bronze",
             f"{root}/checkpoint",
             interval=None,
@@ -607,8 +619,9 @@ def live_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = folders.scratch(spark, "stream")
     entries = feeds.sightings(spark, sf_dir)
     even = F.col("offset") % 2 == 0
-    publish(feeds.transport(entries.filter(even).repartition(3)), path=f"{root}/topics")
-    streamed(spark, root, files=2)
+    _send(spark, sf_dir, entries.filter(even), root)
+    share = _share(spark, f"{root}/topics/topic=*/*.parquet", 3)
+    streamed(spark, root, files=share)
 
     def files() -> int:
         return spark.table("bronze.domains").select(F.input_file_name()).distinct().count()
@@ -616,8 +629,8 @@ def live_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = files()
     batches.compact(spark, "bronze.domains", schemas.BRONZE, f"{root}/compacted", ["ingestion_date"])
     fewer = files() < before
-    publish(feeds.transport(entries.filter(~even)), path=f"{root}/topics")
-    streamed(spark, root, files=2)
+    _send(spark, sf_dir, entries.filter(~even), root)
+    streamed(spark, root, files=share)
     counted = [
         spark.sql(f"SELECT '{layer}' AS layer, ingestion_date, source, {offset} AS off FROM {layer}.domains")
         for layer, offset in (("bronze", "kafka_offset"), ("silver", "bronze_offset"))

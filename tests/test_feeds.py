@@ -47,3 +47,17 @@ def test_texts_of_one_row_group_are_dealt_out(spark, tables):
 def test_documents_of_one_row_group_are_dealt_out(spark, tables):
     largest, rows = most(feeds.list_documents(spark, tables))
     assert rows == 4000 and largest < 800
+
+
+def test_messages_of_streams_are_dealt_out_by_size(spark, tables, monkeypatch):
+    """Each task has files of its own, and their number leaves the batches as they are."""
+    roots = []
+    monkeypatch.setattr(
+        queries.folders, "scratch", lambda s, label, f=folders.scratch: roots.append(f(s, label)) or roots[-1]
+    )
+    row = queries.stream_files(spark, tables).first()
+    assert (row.n, row.several, row.with_spare_files) == (8000, True, 0)
+    sent = folders.glob(spark, f"{roots[0]}/topics/topic=*/*.parquet")
+    assert len(sent) >= 2 * 16
+    batches = {os.path.basename(p) for p in folders.glob(spark, f"{roots[0]}/bronze/run=*/batch_id=*")}
+    assert len({b for b in batches if not b.endswith("=-1")}) <= 3
