@@ -262,7 +262,10 @@ def _share(spark: SparkSession, pattern: str, batches: int) -> int:
 
 
 def list_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists landed as files and streamed, some files a batch: entries sent, by topic."""
+    """Lists landed as files and streamed, some files a batch: entries sent, by topic.
+
+    As more files land, batches take more of them, and do not become more.
+    """
     root = folders.scratch(spark, "list-stream")
     documents = feeds.list_documents(spark, sf_dir).unionByName(feeds.faulty_documents(spark, sf_dir))
     lists.lines(documents).select(F.col("line").alias("value"), "source").write.partitionBy(
@@ -270,7 +273,8 @@ def list_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).text(f"{root}/landing")
     ingest.stream(
         spark, f"{root}/landing", feeds.list_registry(spark), f"{root}/checkpoint",
-        path=f"{root}/topics", interval=None, max_files_per_trigger=16, as_of=feeds.FETCHED,
+        path=f"{root}/topics", interval=None, as_of=feeds.FETCHED,
+        max_files_per_trigger=max(16, _share(spark, f"{root}/landing/source=*/*", 4)),
     ).awaitTermination()
     sent = spark.read.schema(schemas.TRANSPORT).parquet(f"{root}/topics")
     value = F.from_json(F.col("value").cast("string"), schemas.MESSAGE_VALUE)
