@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 from sievelake.functions.text import WHITESPACE_CLASS as WS
 from sievelake.settings import MAX_DOMAIN_LENGTH, REJECTED_LAST_LABELS
 
+# Letters are spelled out, as Java looks up a class of single characters in one table and
+# tries the ranges of any other class one after the other.
+LETTER = "abcdefghijklmnopqrstuvwxyz"
+ALNUM = f"{LETTER}0123456789"
+
 # A name of at most 253 characters. Labels have at most 63 and end in a letter or digit;
 # only the first one must not start with a hyphen; the last one is letters only and not a
 # reserved label. The shortest text of that form has the four characters a name needs.
 NAME = (
-    rf"(?![a-z0-9.-]{{{MAX_DOMAIN_LENGTH}}}\.*[a-z0-9-])"
-    r"[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?"
-    r"(?:\.[a-z0-9-]{0,62}[a-z0-9])*"
-    rf"\.(?!(?:{'|'.join(REJECTED_LAST_LABELS)})(?![a-z0-9-]))[a-z]{{2,}}"
+    rf"(?![{ALNUM}.-]{{{MAX_DOMAIN_LENGTH}}}\.*[{ALNUM}-])"
+    rf"[{ALNUM}](?:[{ALNUM}-]{{0,61}}[{ALNUM}])?"
+    rf"(?:\.[{ALNUM}-]{{0,62}}[{ALNUM}])*"
+    rf"\.(?!(?:{'|'.join(REJECTED_LAST_LABELS)})(?![{ALNUM}-]))[{LETTER}]{{2,}}"
 )
 
 # A name and nothing else but surrounding whitespace.
@@ -41,14 +46,25 @@ def names(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
 
 
-def cleaned(domain: Column) -> Column:
-    """Array with the bare lower-case domain of a dirty one, or empty."""
-    return names(F.lower(domain), DIRTY)
+def _may_change(name: Column) -> Column:
+    """Whether cleaning may change a valid lower-case name: it takes off no more than "www."."""
+    return F.startswith(name, F.lit("www."))
+
+
+def cleaned(domain: Column, named: bool = False) -> Column:
+    """Array with the bare lower-case domain of a dirty one, or empty.
+
+    ``named`` tells that all are valid lower-case names, as the parsers find them, so that most
+    need no second search.
+    """
+    found = names(F.lower(domain), DIRTY)
+    return F.when(_may_change(domain), found).otherwise(F.array(domain)) if named else found
 
 
-def clean(domain: Column) -> Column:
+def clean(domain: Column, named: bool = False) -> Column:
     """Bare lower-case domain of a dirty one; null when nothing valid is left."""
-    return F.get(cleaned(domain), F.lit(0))
+    found = F.get(cleaned(domain), F.lit(0))
+    return F.when(_may_change(domain), found).otherwise(domain) if named else found
 
 
 def is_valid(domain: Column) -> Column:

@@ -26,11 +26,22 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def _has_rare_breaks(text: Column) -> Column:
+    """Whether lines end at more than line feeds, by plain searches."""
+    return reduce(or_, [F.contains(text, F.lit(c)) for c in RARE_LINE_BREAKS])
+
+
 def split_lines(text: Column) -> Column:
-    """Array of lines; a break at the very end opens no further line."""
+    """Array of lines; a break at the very end opens no further line.
+
+    Texts with line feeds alone, as nearly all have, are cut by a plain search.
+    """
     closed = F.regexp_replace(text, rf"(?:{LINE_BREAK})\z", "")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(
-        F.split(closed, LINE_BREAK, -1)
+    ended = F.when(F.endswith(text, F.lit("\n")), F.left(text, F.length(text) - 1)).otherwise(text)
+    return (
+        F.when(text == "", F.array().cast("array<string>"))
+        .when(_has_rare_breaks(text), F.split(closed, LINE_BREAK, -1))
+        .otherwise(F.split(ended, "\n", -1))
     )
 
 
@@ -42,5 +53,4 @@ def split_line(line: Column) -> Column:
     ended = F.when(
         F.endswith(line, F.lit("\r")), F.left(line, F.length(line) - 1)
     ).otherwise(line)
-    several = reduce(or_, [F.contains(line, F.lit(c)) for c in RARE_LINE_BREAKS])
-    return F.when(several, F.split(ended, LINE_BREAK, -1)).otherwise(F.array(line))
+    return F.when(_has_rare_breaks(line), F.split(ended, LINE_BREAK, -1)).otherwise(F.array(line))

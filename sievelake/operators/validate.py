@@ -41,9 +41,12 @@ def strict(entries: DataFrame, order: Sequence[str] = ("path", "line_number")) -
 
 
 def clean_and_validate(
-    entries: DataFrame, order: Sequence[str] = ("path", "line_number")
+    entries: DataFrame, order: Sequence[str] = ("path", "line_number"), named: bool = False
 ) -> DataFrame:
-    """Entries under their cleaned domain; what cannot be cleaned is dropped."""
+    """Entries under their cleaned domain; what cannot be cleaned is dropped.
+
+    ``named`` tells that entries were parsed, so that their domains are valid names.
+    """
     others = [c for c in entries.columns if c != "domain"]
-    cleaned = entries.select(F.explode(domains.cleaned(F.col("domain"))).alias("domain"), *others)
+    cleaned = entries.select(F.explode(domains.cleaned(F.col("domain"), named)).alias("domain"), *others)
     return dedupe(cleaned, order)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievelake.functions.domains import ALNUM, LETTER
 from sievelake.operators import messages, silver
 from sievelake.sources.registry import registry
 from sievelake.tables import folders
@@ -172,30 +173,42 @@ def list_registry(spark: SparkSession) -> DataFrame:
     return registry(spark, LIST_SOURCES)
 
 
+def _around_words(before: str, after: Column) -> Column:
+    """A line for each of the ``words`` between two texts; null without words."""
+    between = F.concat(after, F.lit(f"\n{before}"))
+    joined = F.call_function("array_join", F.col("words"), between)
+    return F.when(F.size("words") > 0, F.concat(F.lit(before), joined, after))
+
+
 def list_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as one list document of its source: all words of its HTML as names."""
     host = F.regexp_extract("url", "^[a-z]+://([^/?#]+)", 1)
-    words = F.regexp_extract_all("html", F.lit("[A-Za-z0-9.-]+"), F.lit(0))
+    words = F.regexp_extract_all("html", F.lit(f"[{LETTER.upper()}{ALNUM}.-]+"), F.lit(0))
     id_text = F.col("page_id").cast("string")
     slot = F.col("page_id") % 4
     source = F.element_at(
         F.array(*[F.lit(name) for name in PAGE_SOURCES]), (slot + 1).cast("int")
     )
-    hosts = F.concat(
-        F.array(F.concat(F.lit("# list "), id_text), F.lit(""), F.lit("127.0.0.1 localhost")),
-        F.transform("words", lambda w: F.concat(F.lit("0.0.0.0 "), w, F.lit("."), "host")),
-        F.array(F.concat(F.lit("0.0.0.0 "), "host", F.lit(" # note"))),
-    )
-    rules = F.concat(
-        F.array(F.lit("[Adblock Plus 2.0]"), F.concat(F.lit("! list "), id_text), F.lit("")),
-        F.transform("words", lambda w: F.concat(F.lit("||"), w, F.lit("."), "host", F.lit("^"))),
-        F.array(
-            F.concat(F.lit("||"), "host", F.lit("^$third-party")),
-            F.lit("##.banner"),
-            F.concat(F.lit("||"), "host", F.lit("/ads^")),
-        ),
+    # The words of a text are joined at once by what stands between them.
+    hosts = [
+        F.concat(F.lit("# list "), id_text),
+        F.lit(""),
+        F.lit("127.0.0.1 localhost"),
+        _around_words("0.0.0.0 ", F.concat(F.lit("."), "host")),
+        F.concat(F.lit("0.0.0.0 "), "host", F.lit(" # note")),
+    ]
+    rules = [
+        F.lit("[Adblock Plus 2.0]"),
+        F.concat(F.lit("! list "), id_text),
+        F.lit(""),
+        _around_words("||", F.concat(F.lit("."), "host", F.lit("^"))),
+        F.concat(F.lit("||"), "host", F.lit("^$third-party")),
+        F.lit("##.banner"),
+        F.concat(F.lit("||"), "host", F.lit("/ads^")),
+    ]
+    body = F.when(F.col("words").isNull(), "").otherwise(
+        F.when(slot < 2, F.concat_ws("\n", *hosts)).otherwise(F.concat_ws("\n", *rules))
     )
-    body = F.concat_ws("\n", F.when(slot < 2, hosts).otherwise(rules))
     documents = (
         texts(spark, sf_dir, "pages")
         .withColumns({"host": host, "words": words, "slot": slot, "source": source})

@@ -58,15 +58,15 @@ def plan(
     """
     entries = keep("entries", lists.parse(numbered, registry, as_of))
     failures = lists.failures(documents, registry)
-    valid = keep("valid", validate.clean_and_validate(entries))
+    valid = keep("valid", validate.clean_and_validate(entries, named=True))
     return Ingest(
         entries=entries,
         failures=failures,
         valid=valid,
         messages=messages.to_messages(valid),
-        statistics=stats.run(entries, failures),
+        statistics=stats.run(entries, failures, named=True),
         published=stats.publish(valid),
-        validation=stats.validation(entries),
+        validation=stats.validation(entries, named=True),
     )
 
 
@@ -141,7 +141,7 @@ def stream(
         session = batch.sparkSession
         landed = files.scan_lists(session, landing, manifest, only)
         try:
-            valid = validate.clean_and_validate(lists.parse(landed.lines, registry, as_of))
+            valid = validate.clean_and_validate(lists.parse(landed.lines, registry, as_of), named=True)
             publish(messages.to_messages(valid), kafka=kafka, path=path)
         finally:
             folders.delete(session, landed.starts)

@@ -168,7 +168,7 @@ def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = validate.clean_and_validate(_entries(spark, sf_dir))
+    kept = validate.clean_and_validate(_entries(spark, sf_dir), named=True)
     return kept.select(
         "source", "domain", "raw_entry", F.col("path").alias("page_id"), "line_number"
     )

@@ -134,3 +134,24 @@ def test_lines_and_strip_follow_unicode(spark):
     padded = ["　 x \x1f", "\t\x85y\xa0\n", "z"]
     frame = spark.createDataFrame([(t,) for t in padded], "t string")
     assert [r[0] for r in frame.select(text.strip(F.col("t"))).collect()] == ["x", "y", "z"]
+
+
+def test_names_of_parsers_are_cleaned_alike(spark):
+    """A valid name loses no more than "www.", so that most need no second search."""
+    names = {c for _, c in CASES if c} | {c for c, _ in CASES if c}
+    names |= {f"{front}{n}" for n in list(names) for front in ("www.", "www.www.", "wwww.", "a.www.")}
+    frame = spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    valid = frame.select(F.lower("name").alias("name")).filter(F.col("name").rlike(rf"\A{domains.NAME}\z"))
+    rows = valid.select(
+        domains.clean(F.col("name")).alias("full"),
+        domains.clean(F.col("name"), named=True).alias("short"),
+        domains.cleaned(F.col("name")).alias("all_full"),
+        domains.cleaned(F.col("name"), named=True).alias("all_short"),
+    ).collect()
+    assert len(rows) > 50 and any(r.full is None for r in rows)
+    assert all(r.full == r.short and r.all_full == r.all_short for r in rows)
+
+
+def test_classes_of_names_are_spelled_out():
+    """Ranges cost a call each for every character of every name."""
+    assert not any(r in domains.NAME for r in ("a-z", "0-9"))

@@ -61,3 +61,23 @@ def test_messages_of_streams_are_dealt_out_by_size(spark, tables, monkeypatch):
     assert len(sent) >= 2 * 16
     batches = {os.path.basename(p) for p in folders.glob(spark, f"{roots[0]}/bronze/run=*/batch_id=*")}
     assert len({b for b in batches if not b.endswith("=-1")}) <= 3
+
+
+def test_list_documents_hold_every_word(spark, tmp_path):
+    """One line for each word; null texts stay empty, and a null host leaves out its lines."""
+    pages = [
+        (0, "http://h.org/", "a <b> C-1.x"), (1, "http://h.org/", ""), (2, "http://h.org/x", "é a"),
+        (3, "http://h.org/", None), (4, None, "a"), (6, None, "a"),
+    ]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    frame = feeds.list_documents(spark, str(tmp_path))
+    assert {r.path: r.content for r in frame.collect()} == {
+        0: "# list 0\n\n127.0.0.1 localhost\n0.0.0.0 a.h.org\n0.0.0.0 b.h.org\n0.0.0.0 C-1.x.h.org\n0.0.0.0 h.org # note",
+        1: "# list 1\n\n127.0.0.1 localhost\n0.0.0.0 h.org # note",
+        2: "[Adblock Plus 2.0]\n! list 2\n\n||a.h.org^\n||h.org^$third-party\n##.banner\n||h.org/ads^",
+        3: "",
+        4: "# list 4\n\n127.0.0.1 localhost",
+        6: "[Adblock Plus 2.0]\n! list 6\n\n##.banner",
+    }
+    assert all(r.content_length == len(r.content) for r in frame.collect())
+    assert "transform(" not in frame._jdf.queryExecution().optimizedPlan().toString()

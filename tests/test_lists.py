@@ -2,6 +2,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from sievelake.functions.text import split_lines
 from sievelake.operators import lists
 from sievelake.sources import files
 from sievelake.sources.registry import registry
@@ -246,3 +247,15 @@ def test_documents_of_an_unregistered_source_fail(spark):
     documents = spark.createDataFrame([("a", "p", 3), ("stray", "q", 3)], "source string, path string, content_length long")
     found = {(r.source, r.path, r.reason) for r in lists.failures(documents, registry).collect()}
     assert found == {("stray", "q", "Unknown source")}
+
+
+def test_texts_with_line_feeds_alone_are_cut_alike(spark):
+    """Plain searches for most texts, the expression for those with other line breaks."""
+    texts = ["", "\n", "\n\n", "a", "a\n", "a\n\n", "\na", "a\nb", "é\nü\n", None]
+    texts += [t.replace("\n", b) for t in texts if t for b in ("\r\n", "\r", "\x0b", "\x1e", "\x85", "\u2028", "\n\r", "\u2029\n")]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = frame.select("text", split_lines(F.col("text")).alias("lines")).collect()
+    assert len(rows) == len(texts)
+    assert all(r.lines == (None if r.text is None else r.text.splitlines()) for r in rows)
+    plan = frame.select(split_lines(F.col("text")).alias("lines"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2

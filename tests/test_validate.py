@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -78,3 +80,13 @@ def test_run_statistics(spark):
         "domains_validated": 3,
         "domains_published": 2,
     }
+
+
+def test_run_statistics_hold_no_category_by_domain(spark):
+    given = entries(spark, ["www.a.com", "a.com", "www.com"]).withColumn("category", F.lit("malware"))
+    failed = spark.createDataFrame([], "source string, path string, reason string")
+    assert stats.run(given, failed, named=True).first() == stats.run(given, failed).first()
+    assert stats.validation(given, named=True).first() == stats.validation(given).first()
+    plan = stats.run(given, failed, named=True)._jdf.queryExecution().optimizedPlan().toString()
+    keys = re.findall(r"Aggregate \[(source[^]]*domain[^]]*)\]", plan)
+    assert keys and not any("category" in k for k in keys)
