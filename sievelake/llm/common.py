@@ -97,6 +97,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+# More rows than these are not gathered at the driver for a join.
+FEW = 100_000
+
+
+def by_merge(facts: DataFrame, total: int | None = None) -> DataFrame:
+    """``facts`` for a join that leaves them in their tasks, unless they are few of ``total``.
+
+    Spark guesses their size from the compressed file far behind them, whatever a Python step
+    or an explode makes of its rows. By that guess it would send millions through the driver.
+    """
+    return facts if total is not None and total <= FEW else facts.hint("merge")
+
+
 def dealt(rows: DataFrame, key: str, order: str, limit: int, weight: str | None = None) -> DataFrame:
     """``rows`` of keys that occur at least twice, with columns ``part_a, part_b, own``.
 
@@ -113,7 +126,7 @@ def dealt(rows: DataFrame, key: str, order: str, limit: int, weight: str | None
     )
     piece = F.pmod(F.xxhash64(F.col(order)), F.col("_pieces")).cast("int")
     return (
-        rows.join(sizes, key)
+        rows.join(by_merge(sizes), key)
         .withColumn("own", piece)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
         .withColumn("part_a", F.least("own", "_other"))
@@ -142,7 +155,7 @@ def looked_up(rows: DataFrame, facts: DataFrame, key: str, count: str, total: in
     return (
         rows.join(F.broadcast(frequent), key, "left")
         .withColumn(salt, F.when(F.col(mark), turn).otherwise(0))
-        .join(others, [key, salt], "left")
+        .join(by_merge(others, total), [key, salt], "left")
         .select(*rows.columns, *[F.coalesce(F.col(own[c]), F.col(c)).alias(c) for c in names])
     )
 

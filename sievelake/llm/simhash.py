@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from sievelake.llm.common import (
     Forest,
+    by_merge,
     by_part,
     components,
     dealt,
@@ -390,10 +391,11 @@ def _grouped(docs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
     links = parts.mapInPandas(_links(search.radius), "a binary, b binary")
     if search.similarity:
         links = _verified(docs, rows, links, search)
-    roots = components(links)
+    total = classes.count()
+    roots = by_merge(components(links), total)
     linked = roots.join(classes, roots["node"] == classes["fp"]).select("root", "fp", "first_id")
     least = linked.groupBy("root").agg(F.min("first_id").alias("component"), F.count("*").alias("members"))
-    merged = looked_up(linked, least, "root", "members", classes.count()).select("fp", "root", "component")
+    merged = looked_up(linked, least, "root", "members", total).select("fp", "root", "component")
     classes = classes.join(merged, "fp", "left").select(
         "fp",
         F.coalesce("root", "fp").alias("root"),

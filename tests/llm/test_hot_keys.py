@@ -1,11 +1,58 @@
 """Joins and cuts in which one key or one moment holds most rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from sievelake.llm.common import HOT_SHARE, components, looked_up
+from sievelake.llm import simhash
+from sievelake.llm.common import FEW, HOT_SHARE, components, dealt, looked_up
 from sievelake.llm.mixing import mix
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    """Spark may still choose to broadcast by its guess, and fails where a table is larger than this."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "12m")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
+def test_many_keys_are_dealt_without_the_driver(spark, small_broadcasts):
+    """The rows are many times as many as those that Spark guesses their number from."""
+
+    def twice(frames):
+        for frame in frames:
+            for turn in range(40):
+                yield frame.assign(key=frame["id"] // 2 * 40 + turn)
+
+    rows = spark.range(20_000).mapInPandas(twice, "id long, key long")
+    found = dealt(rows, "key", "id", 4096)
+    assert found.columns == ["key", "id", "own", "part_a", "part_b"]
+    assert found.agg(F.count("*"), F.countDistinct("key")).first()[:] == (800_000, 400_000)
+
+
+def test_many_facts_are_looked_up_without_the_driver(spark, small_broadcasts):
+    n = 3 * FEW
+    rows = spark.range(n).select("id", (F.col("id") * 7).alias("k"))
+    facts = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    found = looked_up(rows, facts, "k", "n", n)
+    assert found.agg(F.count("*"), F.count_if(F.col("least") == F.col("id"))).first()[:] == (n, n)
+
+
+def joins_of_roots(spark, capsys):
+    docs = spark.createDataFrame([(i, f"word {i // 2}") for i in range(40)], "doc_id long, text string")
+    _, classes = simhash._grouped(docs, simhash.exact_search())
+    classes.explain()
+    said = capsys.readouterr().out
+    return said.count("SortMergeJoin [node") + said.count("SortMergeJoin [root"), classes.count()
+
+
+def test_roots_are_joined_without_the_driver_unless_few(spark, monkeypatch, capsys):
+    few, n = joins_of_roots(spark, capsys)
+    monkeypatch.setattr("sievelake.llm.common.FEW", 3, raising=False)
+    many, same = joins_of_roots(spark, capsys)
+    assert few == 0 and many >= 2 and n == same == 20
+
+
 def test_a_hot_key_is_dealt_out(spark):
     rows = spark.range(40_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     facts = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.lit(None).cast("string").alias("none"))
